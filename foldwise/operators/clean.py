@@ -156,7 +156,7 @@ def anomaly_rules(df: DataFrame, rules: Mapping[str, Mapping]) -> DataFrame:
             aggs += [F.count_if(cond).alias(f"n{i}"), F.min(F.when(cond, x)).alias(f"lo{i}"),
                      F.max(F.when(cond, x)).alias(f"hi{i}")]
     wide = df.agg(*aggs)
-    parts = [F.struct(F.lit(c).alias("column"), F.lit(n).alias("rule"), F.col(f"n{i}").alias("n_violations"),
+    parts = [F.struct(F.lit(c).alias("feature"), F.lit(n).alias("rule"), F.col(f"n{i}").alias("n_violations"),
                       F.col(f"lo{i}").cast("double").alias("min_violating"),
                       F.col(f"hi{i}").cast("double").alias("max_violating"))
              for i, (c, n) in enumerate(meta)]

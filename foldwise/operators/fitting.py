@@ -1,13 +1,13 @@
 """Fitting machinery shared by every learnt operator.
 
-A fitted operator is a *params table*: an ordinary DataFrame with one row per column (and per
+A fitted operator is a *params table*: an ordinary DataFrame with one row per feature (and per
 fold when fitted fold-wise). Fitting is one aggregation over a long (unpivoted) view of the
 input; applying is a projection.
 
 Fold-wise fitting: the params for rows of fold *f* are fitted on the rows whose fold is not
 *f*. Instead of re-reading the data k times, every statistic is computed as a *mergeable
-partial* per (fold, column) — counts, sums, mean/M2, min/max, value counts, or KLL sketches —
-and the k partial rows of each column are then replicated to the k-1 training folds they
+partial* per (fold, feature) — counts, sums, mean/M2, min/max, value counts, or KLL sketches —
+and the k partial rows of each feature are then replicated to the k-1 training folds they
 belong to and merged. The replicated table has k·(k-1)·columns rows (or distinct values for
 exact quantiles), so the data itself is scanned and shuffled once, whatever k is.
 """
@@ -23,18 +23,18 @@ MAX_PARAM_ROWS = 100_000
 
 
 def long_values(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """(keys..., column, value DOUBLE) — one row per input row and column."""
+    """(keys..., feature, value DOUBLE) — one row per input row and feature."""
     cols = list(cols)
     if not cols:
         raise ValueError("no columns")
     proj = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols])
-    return proj.unpivot(list(keys), cols, "column", "value")
+    return proj.unpivot(list(keys), cols, "feature", "value")
 
 
 def to_training_folds(partials: DataFrame, k: int, fold_col: str = "fold") -> DataFrame:
     """Replicate each per-fold partial row to the k-1 folds whose training set contains it.
 
-    Output keeps the column name ``fold_col`` but it now means "params for rows of this fold".
+    Output keeps the feature name ``fold_col`` but it now means "params for rows of this fold".
     """
     if k < 2:
         raise ValueError("k must be >= 2")
@@ -52,7 +52,7 @@ def _keys(fold_col: str | None) -> list[str]:
 
 def fit_moments(df: DataFrame, cols: Sequence[str], fold_col: str | None = None,
                 k: int | None = None) -> DataFrame:
-    """(fold?, column, n, mean, std_pop, std_samp, min, max, sum) per column.
+    """(fold?, feature, n, mean, std_pop, std_samp, min, max, sum) per feature.
 
     Without folds Spark's own one-pass aggregates are used. With folds, per-fold
     (n, mean, M2, min, max) partials are merged with the parallel-variance rule, which stays
@@ -60,27 +60,27 @@ def fit_moments(df: DataFrame, cols: Sequence[str], fold_col: str | None = None,
     """
     lv = long_values(df, cols, _keys(fold_col))
     if not fold_col:
-        return lv.groupBy("column").agg(
+        return lv.groupBy("feature").agg(
             F.count("value").alias("n"), F.avg("value").alias("mean"),
             F.stddev_pop("value").alias("std_pop"), F.stddev_samp("value").alias("std_samp"),
             F.min("value").alias("min"), F.max("value").alias("max"), F.sum("value").alias("sum"))
-    part = lv.groupBy(fold_col, "column").agg(
+    part = lv.groupBy(fold_col, "feature").agg(
         F.count("value").alias("n_i"), F.avg("value").alias("mean_i"),
         (F.var_pop("value") * F.count("value")).alias("m2_i"),
         F.min("value").alias("min_i"), F.max("value").alias("max_i"), F.sum("value").alias("sum_i"))
     tr = to_training_folds(part, k, fold_col).where(F.col("n_i") > 0)
-    w = Window.partitionBy(fold_col, "column")
+    w = Window.partitionBy(fold_col, "feature")
     n = F.sum("n_i").over(w)
     mean = F.sum(F.col("n_i") * F.col("mean_i")).over(w) / n
     tr = tr.withColumn("n", n).withColumn("mean", mean)
-    merged = tr.groupBy(fold_col, "column").agg(
+    merged = tr.groupBy(fold_col, "feature").agg(
         F.first("n").alias("n"), F.first("mean").alias("mean"),
         (F.sum(F.col("m2_i") + F.col("n_i") * F.pow(F.col("mean_i") - F.col("mean"), 2))).alias("m2"),
         F.min("min_i").alias("min"), F.max("max_i").alias("max"), F.sum("sum_i").alias("sum"))
-    # A fold whose training rows are all NULL for a column has no row here; applying such
+    # A fold whose training rows are all NULL for a feature has no row here; applying such
     # params yields NULL (no-op) for that fold.
     return merged.select(
-        fold_col, "column", F.col("n").cast("long").alias("n"), "mean",
+        fold_col, "feature", F.col("n").cast("long").alias("n"), "mean",
         F.sqrt(F.col("m2") / F.col("n")).alias("std_pop"),
         F.when(F.col("n") > 1, F.sqrt(F.col("m2") / (F.col("n") - 1))).alias("std_samp"),
         "min", "max", "sum")
@@ -101,14 +101,14 @@ def _q_names(probs: Sequence[float], names: Sequence[str] | None) -> list[str]:
 def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                   names: Sequence[str] | None = None, fold_col: str | None = None,
                   k: int | None = None, exact: bool = True, by: Sequence[str] = ()) -> DataFrame:
-    """(by..., fold?, column, <one column per prob>) — linear-interpolated quantiles.
+    """(by..., fold?, feature, <one feature per prob>) — linear-interpolated quantiles.
 
     ``exact=True`` uses ``percentile`` (same interpolation as NumPy / pandas). Its buffer is a
     value→count map per group, so it is meant for moderate cardinality. Fold-wise, exact mode
     merges *value counts* per fold (duplicates collapse before replication) and evaluates
     ``percentile(value, p, count)``.
 
-    ``exact=False`` uses KLL sketches: one small sketch per (fold, column), merged per training
+    ``exact=False`` uses KLL sketches: one small sketch per (fold, feature), merged per training
     fold — bounded memory at any row count.
     """
     probs = [float(p) for p in probs]
@@ -118,18 +118,18 @@ def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     parr = F.array(*[F.lit(p) for p in probs])
     if exact:
         if fold_col:
-            counts = lv.groupBy(*keys, "column", "value").agg(F.count(F.lit(1)).alias("cnt"))
+            counts = lv.groupBy(*keys, "feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
             counts = to_training_folds(counts, k, fold_col)
-            agg = counts.groupBy(*keys, "column").agg(
+            agg = counts.groupBy(*keys, "feature").agg(
                 F.percentile(F.col("value"), parr, F.col("cnt")).alias("_q"))
         else:
-            agg = lv.groupBy(*keys, "column").agg(F.percentile(F.col("value"), parr).alias("_q"))
-        return agg.select(*keys, "column", *[F.col("_q")[i].alias(n) for i, n in enumerate(qn)])
-    sk = lv.groupBy(*keys, "column").agg(F.expr("kll_sketch_agg_double(value)").alias("_sk"))
+            agg = lv.groupBy(*keys, "feature").agg(F.percentile(F.col("value"), parr).alias("_q"))
+        return agg.select(*keys, "feature", *[F.col("_q")[i].alias(n) for i, n in enumerate(qn)])
+    sk = lv.groupBy(*keys, "feature").agg(F.expr("kll_sketch_agg_double(value)").alias("_sk"))
     if fold_col:
-        sk = to_training_folds(sk, k, fold_col).groupBy(*keys, "column").agg(
+        sk = to_training_folds(sk, k, fold_col).groupBy(*keys, "feature").agg(
             F.expr("kll_merge_agg_double(_sk)").alias("_sk"))
-    return sk.select(*keys, "column", *[
+    return sk.select(*keys, "feature", *[
         F.expr(f"kll_sketch_get_quantile_double(_sk, {p})").alias(n) for p, n in zip(probs, qn)])
 
 
@@ -139,15 +139,15 @@ def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
 def fit_mode(df: DataFrame, cols: Sequence[str], fold_col: str | None = None,
              k: int | None = None) -> DataFrame:
-    """(fold?, column, mode): value counts per (fold, column, value), merged per training fold,
+    """(fold?, feature, mode): value counts per (fold, feature, value), merged per training fold,
     then the highest count wins with the smallest value on ties."""
     keys = _keys(fold_col)
     counts = (long_values(df, cols, keys).where(F.col("value").isNotNull())
-              .groupBy(*keys, "column", "value").agg(F.count(F.lit(1)).alias("cnt")))
+              .groupBy(*keys, "feature", "value").agg(F.count(F.lit(1)).alias("cnt")))
     if fold_col:
-        counts = to_training_folds(counts, k, fold_col).groupBy(*keys, "column", "value").agg(
+        counts = to_training_folds(counts, k, fold_col).groupBy(*keys, "feature", "value").agg(
             F.sum("cnt").alias("cnt"))
-    return counts.groupBy(*keys, "column").agg(
+    return counts.groupBy(*keys, "feature").agg(
         F.max_by(F.col("value"), F.struct(F.col("cnt"), -F.col("value"))).alias("mode"))
 
 
@@ -156,9 +156,9 @@ def fit_mode(df: DataFrame, cols: Sequence[str], fold_col: str | None = None,
 # ---------------------------------------------------------------------------------------------
 
 def collect_params(params: DataFrame, fold_col: str | None, max_rows: int = MAX_PARAM_ROWS) -> dict:
-    """Bring a per-column params table to the driver as {(fold, column): row-dict}.
+    """Bring a per-feature params table to the driver as {(fold, feature): row-dict}.
 
-    Params tables have one row per (fold, column); the bound is checked, never assumed.
+    Params tables have one row per (fold, feature); the bound is checked, never assumed.
     """
     rows = params.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
@@ -166,17 +166,17 @@ def collect_params(params: DataFrame, fold_col: str | None, max_rows: int = MAX_
     out = {}
     for r in rows:
         d = r.asDict()
-        out[(d.get(fold_col) if fold_col else None, d["column"])] = d
+        out[(d.get(fold_col) if fold_col else None, d["feature"])] = d
     return out
 
 
-def param_expr(table: dict, column: str, field: str, fold_col: str | None) -> Column:
+def param_expr(table: dict, feature: str, field: str, fold_col: str | None) -> Column:
     """Literal (or CASE over folds) for one fitted value."""
     if not fold_col:
-        v = table.get((None, column), {}).get(field)
+        v = table.get((None, feature), {}).get(field)
         return F.lit(v).cast("double")
     out = F.lit(None).cast("double")
     for (f, c), d in sorted(table.items(), key=lambda kv: (kv[0][0], kv[0][1])):
-        if c == column:
+        if c == feature:
             out = F.when(F.col(fold_col) == F.lit(f), F.lit(d.get(field)).cast("double")).otherwise(out)
     return out

@@ -29,18 +29,18 @@ def fit_simple(df: DataFrame, cols: Sequence[str], strategy: str = "median",
     if strategy == "median":
         p = fitting.fit_quantiles(df, cols, [0.5], ["value"], fold_col, k, exact)
     elif strategy == "mean":
-        p = fitting.fit_moments(df, cols, fold_col, k).select(*keys, "column", F.col("mean").alias("value"))
+        p = fitting.fit_moments(df, cols, fold_col, k).select(*keys, "feature", F.col("mean").alias("value"))
     elif strategy == "most_frequent":
-        p = fitting.fit_mode(df, cols, fold_col, k).select(*keys, "column", F.col("mode").alias("value"))
+        p = fitting.fit_mode(df, cols, fold_col, k).select(*keys, "feature", F.col("mode").alias("value"))
     elif strategy == "constant":
         if fill_value is None:
             raise ValueError("constant strategy needs fill_value")
         spark = df.sparkSession
         rows = [(c, float(fill_value)) for c in cols]
-        p = spark.createDataFrame(rows, "column string, value double")
+        p = spark.createDataFrame(rows, "feature string, value double")
         if fold_col:
             p = p.withColumn(fold_col, F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-            p = p.select(fold_col, "column", "value")
+            p = p.select(fold_col, "feature", "value")
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     return p

@@ -31,7 +31,7 @@ def fit_scaler(df: DataFrame, cols: Sequence[str], kind: str = "standard", fold_
         center, scale = F.col("q2"), F.col("q3") - F.col("q1")
     else:
         raise ValueError(f"unknown scaler {kind!r}")
-    return m.select(*keys, "column", center.alias("center"),
+    return m.select(*keys, "feature", center.alias("center"),
                     F.when(scale == 0, F.lit(1.0)).otherwise(scale).alias("scale"))
 
 
