@@ -1 +1,304 @@
-"""Registered queries."""
+"""Queries over folds, weights, metrics, selection, voting and importances (E4 E5 J4 J11–J18
+J23 J24 J26 C5 E6 F2–F4 D22 D24 D27), and over model training (J1 J2 J5–J8 J10 J19–J22 J25 J27)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from foldwise.operators import ensemble, fitting, folds, importance, metrics, select, weights
+from foldwise.plans.common import CP_SQL
+from foldwise.plans.registry import query
+from foldwise.plans.views_sql import with_views
+from foldwise.sources import tables
+
+K = 5
+SEED = 42
+
+
+def r6(c):
+    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+
+
+# -- E4 E5 -----------------------------------------------------------------------------------------
+
+@query("stratified_folds", with_views(folds.fold_sql("id", "label", K, SEED, "t").replace("SELECT *,", "SELECT id, label,"), "t"))
+def stratified_folds(spark, d):
+    t = tables.labelled_text(spark, d).select("id", "label")
+    return folds.stratified_folds(t, "id", "label", K, SEED).select("id", "label", "fold")
+
+
+@query("fold_balance", with_views(
+    f"WITH f AS ({folds.fold_sql('id', 'label', K, SEED, 't')})\n"
+    "SELECT fold, label, count(*) AS n FROM f GROUP BY fold, label", "t"))
+def fold_balance(spark, d):
+    f = stratified_folds(spark, d)
+    return f.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("holdout_split", with_views(f"SELECT id, label, {folds.holdout_sql('id')} AS is_holdout FROM t", "t"))
+def holdout_split(spark, d):
+    t = tables.labelled_text(spark, d).select("id", "label")
+    return t.select("id", "label", folds.holdout_flag("id").alias("is_holdout"))
+
+
+# -- J4 ---------------------------------------------------------------------------------------------
+
+@query("class_weights", """
+WITH c AS (SELECT quality AS label, count(*) AS n FROM labels WHERE quality IS NOT NULL GROUP BY 1)
+SELECT label, n, round((SELECT sum(n) FROM c) / ((SELECT count(*) FROM c) * n), 6) AS weight FROM c""")
+def class_weights(spark, d):
+    lab = tables.load(spark, d, "labels", ["quality"])
+    w = weights.class_weights(lab, "quality", "balanced")
+    return w.select("label", "n", r6("weight").alias("weight"))
+
+
+@query("class_weights_applied", """
+WITH c AS (SELECT quality AS label, count(*) AS n FROM labels WHERE quality IS NOT NULL GROUP BY 1),
+w AS (SELECT label, (SELECT sum(n) FROM c) / ((SELECT count(*) FROM c) * n) AS weight FROM c)
+SELECT l.doc_id, l.quality, round(w.weight, 6) AS weight FROM labels l JOIN w ON l.quality = w.label""")
+def class_weights_applied(spark, d):
+    lab = tables.load(spark, d, "labels", ["doc_id", "quality"])
+    x = weights.with_weights(lab, "quality", weights.class_weights(lab, "quality", "balanced"))
+    return x.select("doc_id", "quality", r6("weight").alias("weight"))
+
+
+# -- J11 J12 J13 J14 J15 D22 on the rule-based predictor --------------------------------------------
+
+def _rp_folds(spark, d):
+    rp = tables.rule_predictions(spark, d)
+    return folds.stratified_folds(rp, "id", "label", K, SEED)
+
+
+_RPF = f"f AS ({folds.fold_sql('id', 'label', K, SEED, 'rp')}),\nks AS (SELECT CAST(range AS INTEGER) AS k FROM range({K}))"
+_CNT = ("count(*) FILTER (WHERE label = 1 AND pred = 1) AS tp, count(*) FILTER (WHERE label <> 1 AND pred = 1) AS fp, "
+        "count(*) FILTER (WHERE label = 1 AND pred <> 1) AS fn, count(*) FILTER (WHERE label <> 1 AND pred <> 1) AS tn")
+_MET = ("round(CASE WHEN tp + fp + fn + tn > 0 THEN (tp + tn) / (tp + fp + fn + tn) ELSE 0 END, 6) AS accuracy, "
+        "round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END, 6) AS precision, "
+        "round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END, 6) AS recall, "
+        "round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END, 6) AS f1")
+_BY_FOLD_SQL = (f"WITH {_RPF},\n"
+                f"v AS (SELECT fold, 'validation' AS split, {_CNT} FROM f GROUP BY fold),\n"
+                f"t AS (SELECT ks.k AS fold, 'train' AS split, {_CNT} FROM f JOIN ks ON f.fold <> ks.k GROUP BY ks.k),\n"
+                "u AS (SELECT * FROM v UNION ALL SELECT * FROM t),\n"
+                f"m AS (SELECT fold, split, tp, fp, fn, tn, {_MET} FROM u)\n")
+
+
+def _metrics_by_fold(spark, d):
+    f = _rp_folds(spark, d)
+    val = metrics.confusion_counts(f, "label", "pred", ["fold"])
+    train = fitting.to_training_folds(val, K, "fold").groupBy("fold").agg(
+        *[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")])
+    both = val.withColumn("split", F.lit("validation")).unionByName(train.withColumn("split", F.lit("train")))
+    m = metrics.binary_metrics(both, ["fold", "split"])
+    return m.select(F.col("fold").cast("int").alias("fold"), "split", "tp", "fp", "fn", "tn",
+                    *[r6(c).alias(c) for c in ("accuracy", "precision", "recall", "f1")])
+
+
+@query("metrics_by_fold", with_views(_BY_FOLD_SQL + "SELECT * FROM m", "rp"))
+def metrics_by_fold(spark, d):
+    return _metrics_by_fold(spark, d)
+
+
+@query("metrics_summary", with_views(
+    _BY_FOLD_SQL + ", l AS (UNPIVOT m ON accuracy, f1, precision, recall INTO NAME metric VALUE value)\n"
+    "SELECT split, metric, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, count(*) AS n_folds "
+    "FROM l GROUP BY split, metric", "rp").replace("FROM u)\n, l AS", "FROM u),\nl AS"))
+def metrics_summary(spark, d):
+    m = _metrics_by_fold(spark, d)
+    s = metrics.fold_summary(metrics.metrics_long(m, ["fold", "split"]), ["split"])
+    return s.select("split", "metric", r6("mean").alias("mean"), r6("std").alias("std"), "n_folds")
+
+
+_PC_SQL = ("pc AS (SELECT fold, cls, sum(is_true) AS support, count(*) FILTER (WHERE is_true = 0) AS n_pred, "
+           "sum(CASE WHEN is_true = 1 THEN hit ELSE 0 END) AS tp FROM ("
+           "SELECT fold, label AS cls, 1 AS is_true, CAST(label = pred AS INTEGER) AS hit FROM f "
+           "UNION ALL SELECT fold, pred AS cls, 0 AS is_true, CAST(label = pred AS INTEGER) AS hit FROM f) GROUP BY fold, cls),\n"
+           "m0 AS (SELECT fold, cls, CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0 END AS p, "
+           "CASE WHEN support > 0 THEN tp / support ELSE 0 END AS r, support FROM pc),\n"
+           "m2 AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f1 FROM m0)\n")
+
+
+@query("weighted_f1", with_views(f"WITH {_RPF},\n{_PC_SQL}"
+                                 "SELECT fold, round(sum(f1 * support) / sum(support), 6) AS weighted_f1 FROM m2 GROUP BY fold", "rp"))
+def weighted_f1(spark, d):
+    w = metrics.weighted_f1(_rp_folds(spark, d), "label", "pred", ["fold"])
+    return w.select(F.col("fold").cast("int").alias("fold"), r6("weighted_f1").alias("weighted_f1"))
+
+
+@query("class_report", with_views(
+    "WITH f AS (SELECT 0 AS fold, label, pred FROM rp),\n" + _PC_SQL.replace("m2 AS", "m2 AS") +
+    ", rep AS (SELECT CAST(cls AS VARCHAR) AS class, p AS precision, r AS recall, f1, CAST(support AS BIGINT) AS support FROM m2 "
+    "UNION ALL SELECT 'macro avg', avg(p), avg(r), avg(f1), CAST(sum(support) AS BIGINT) FROM m2 "
+    "UNION ALL SELECT 'weighted avg', sum(p * support) / sum(support), sum(r * support) / sum(support), "
+    "sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM m2)\n"
+    "SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM rep",
+    "rp").replace("FROM m2)\n, rep AS", "FROM m2),\nrep AS"))
+def class_report(spark, d):
+    r = metrics.class_report(tables.rule_predictions(spark, d), "label", "pred")
+    return r.select("class", *[r6(c).alias(c) for c in ("precision", "recall", "f1")], F.col("support").cast("long").alias("support"))
+
+
+@query("confusion", with_views("SELECT label, pred, count(*) AS n FROM rp GROUP BY label, pred", "rp"))
+def confusion(spark, d):
+    return metrics.confusion_matrix(tables.rule_predictions(spark, d), "label", "pred")
+
+
+_PR_SQL = ("WITH per AS (SELECT score AS threshold, count(*) FILTER (WHERE label = 1) AS pos, "
+           "count(*) FILTER (WHERE label <> 1) AS neg FROM rp GROUP BY score),\n"
+           "tot AS (SELECT count(*) FILTER (WHERE label = 1) AS np FROM rp),\n"
+           "c AS (SELECT threshold, pos, sum(pos) OVER (ORDER BY threshold DESC) AS tp, "
+           "sum(neg) OVER (ORDER BY threshold DESC) AS fp FROM per),\n"
+           "pr AS (SELECT threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, tp / (tp + fp) AS precision, "
+           "CASE WHEN np > 0 THEN tp / np ELSE 0 END AS recall, CASE WHEN np > 0 THEN pos / np ELSE 0 END AS recall_step FROM c, tot)\n")
+
+
+@query("pr_curve", with_views(_PR_SQL + "SELECT threshold, tp, fp, round(precision, 6) AS precision, round(recall, 6) AS recall "
+                              "FROM pr", "rp"))
+def pr_curve(spark, d):
+    c = metrics.pr_curve(tables.rule_predictions(spark, d), "label", "score")
+    return c.select("threshold", "tp", "fp", r6("precision").alias("precision"), r6("recall").alias("recall"))
+
+
+@query("average_precision", with_views(_PR_SQL + "SELECT round(sum(recall_step * precision), 6) AS average_precision FROM pr", "rp"))
+def average_precision(spark, d):
+    ap = metrics.average_precision(metrics.pr_curve(tables.rule_predictions(spark, d), "label", "score"))
+    return ap.select(r6("average_precision").alias("average_precision"))
+
+
+# -- J16 J18 F2 F3 on the metric rows M ---------------------------------------------------------------
+
+GRID = {"max_depth": [3, 5, 7], "learning_rate": [0.05, 0.1], "n_estimators": [100, 200]}
+
+
+def _grid_sql():
+    rows = select.param_grid(GRID)
+    vals = ", ".join(f"({i}, '{r['max_depth']}', '{r['learning_rate']}', '{r['n_estimators']}')" for i, r in enumerate(rows))
+    return f"g AS (SELECT * FROM (VALUES {vals}) AS g(candidate, max_depth, learning_rate, n_estimators))"
+
+
+@query("param_grid", with_views(
+    f"WITH {_grid_sql()},\ns AS (SELECT candidate, avg(value) AS mean_f1 FROM m WHERE split = 'validation' GROUP BY candidate)\n"
+    "SELECT CAST(g.candidate AS BIGINT) AS candidate, max_depth, learning_rate, n_estimators, round(s.mean_f1, 6) AS mean_f1 "
+    "FROM g LEFT JOIN s ON g.candidate = s.candidate", "m"))
+def param_grid(spark, d):
+    g = select.grid_frame(spark, GRID)  # 12 rows, size known from the parameter
+    s = tables.cv_metrics(spark, d).where(F.col("split") == "validation").groupBy("candidate").agg(
+        F.avg("value").alias("mean_f1"))
+    return F.broadcast(g).join(s, "candidate", "left").select(
+        "candidate", "max_depth", "learning_rate", "n_estimators", r6("mean_f1").alias("mean_f1"))
+
+
+_SEL_SQL = ("s AS (SELECT candidate, avg(value) FILTER (WHERE split = 'validation') AS mean, "
+            "stddev_pop(value) FILTER (WHERE split = 'validation') AS std, avg(value) FILTER (WHERE split = 'train') AS train_mean "
+            "FROM m WHERE metric = 'f1' GROUP BY candidate),\n"
+            "s2 AS (SELECT *, coalesce(greatest(0.0, train_mean - mean), 0.0) AS gap FROM s),\n"
+            "s3 AS (SELECT *, mean AS score_mean, mean - std AS score_mean_minus_std, mean - 0.5 * std AS score_mean_minus_half_std, "
+            "mean - std - 1.0 * gap AS score_mean_minus_std_minus_gap, mean - 0.5 * std - 1.0 * gap AS score_mean_minus_half_std_minus_gap FROM s2)\n")
+
+
+@query("selection_score", with_views("WITH " + _SEL_SQL + "SELECT candidate, " + ", ".join(
+    f"round({c}, 6) AS {c}" for c in ["mean", "std", "train_mean", "gap"] + [f"score_{m}" for m in select.MODES]) + " FROM s3", "m"))
+def selection_score(spark, d):
+    s = select.selection_scores(tables.cv_metrics(spark, d))
+    return s.select("candidate", *[r6(c).alias(c) for c in s.columns if c != "candidate"])
+
+
+@query("best_candidate", with_views("WITH " + _SEL_SQL + ", l AS (UNPIVOT s3 ON " + ", ".join(
+    f"score_{m}" for m in select.MODES) + " INTO NAME mode VALUE score),\n"
+    "r AS (SELECT *, row_number() OVER (PARTITION BY mode ORDER BY score DESC, candidate ASC) AS rn FROM l)\n"
+    "SELECT replace(mode, 'score_', '') AS mode, candidate, round(score, 6) AS score FROM r WHERE rn = 1", "m")
+    .replace("FROM s2)\n, l AS", "FROM s2),\nl AS"))
+def best_candidate(spark, d):
+    s = select.selection_scores(tables.cv_metrics(spark, d))
+    long = s.unpivot(["candidate"], [f"score_{m}" for m in select.MODES], "mode", "score")
+    b = select.best_by(long, "score", "candidate", ["mode"])
+    return b.select(F.regexp_replace("mode", "^score_", "").alias("mode"), "candidate", r6("score").alias("score"))
+
+
+def _family(c):
+    return F.when(c % 4 == 0, "RF").when(c % 4 == 1, "GBT").when(c % 4 == 2, "SVM").otherwise("DT")
+
+
+@query("best_model", with_views(
+    "WITH f AS (SELECT CASE candidate % 4 WHEN 0 THEN 'RF' WHEN 1 THEN 'GBT' WHEN 2 THEN 'SVM' ELSE 'DT' END AS model, "
+    "avg(value) AS score FROM m WHERE split = 'validation' GROUP BY 1)\n"
+    "SELECT model, round(score, 6) AS score FROM f ORDER BY score DESC, model ASC LIMIT 1", "m"))
+def best_model(spark, d):
+    m = tables.cv_metrics(spark, d).where(F.col("split") == "validation")
+    f = m.groupBy(_family(F.col("candidate")).alias("model")).agg(F.avg("value").alias("score"))
+    return select.leaderboard(f, "score", ["model", "score"], 1, tie="model").select("model", r6("score").alias("score"))
+
+
+# -- J23 J24 C5 E6 F4 D27 on per-fold importances I -----------------------------------------------
+
+_NORM_SQL = ("n AS (SELECT fold, feature, CASE WHEN sum(importance) OVER (PARTITION BY fold) > 0 "
+             "THEN importance / sum(importance) OVER (PARTITION BY fold) ELSE 0.0 END AS importance_norm FROM i),\n"
+             f"cm AS (SELECT feature, sum(importance_norm) / {K} AS cv_mean_importance_norm, count(*) AS n_folds_present "
+             "FROM n GROUP BY feature)\n")
+
+
+def _imp_mean(spark, d):
+    return importance.cv_mean(importance.normalize(tables.fold_importance(spark, d)), K)
+
+
+@query("importance_norm_mean", with_views("WITH " + _NORM_SQL + "SELECT feature, round(cv_mean_importance_norm, 6) AS "
+                                          "cv_mean_importance_norm, n_folds_present FROM cm", "i"))
+def importance_norm_mean(spark, d):
+    return _imp_mean(spark, d).select("feature", r6("cv_mean_importance_norm").alias("cv_mean_importance_norm"),
+                                      "n_folds_present")
+
+
+@query("importance_rank", with_views(
+    "WITH " + _NORM_SQL.split("cm AS")[0].rstrip().rstrip(",") +
+    ",\nr AS (SELECT *, rank() OVER (PARTITION BY fold ORDER BY importance_norm DESC) AS rank FROM n)\n"
+    "SELECT feature, count(*) FILTER (WHERE rank = 1) AS n_first, "
+    "round(sum(CASE WHEN rank <= 4 THEN importance_norm ELSE 0.0 END), 6) AS top_share_sum FROM r GROUP BY feature", "i"))
+def importance_rank(spark, d):
+    r = importance.rank_within(importance.normalize(tables.fold_importance(spark, d)))
+    fp = importance.first_places(r, 4)
+    return fp.select("feature", "n_first", r6("top_share_sum").alias("top_share_sum"))
+
+
+@query("importance_top10", with_views("WITH " + _NORM_SQL + "SELECT feature, round(cv_mean_importance_norm, 6) AS "
+                                      "cv_mean_importance_norm FROM cm ORDER BY cv_mean_importance_norm DESC, feature ASC LIMIT 10", "i"))
+def importance_top10(spark, d):
+    m = _imp_mean(spark, d)
+    return select.leaderboard(m, "cv_mean_importance_norm", ["feature", "cv_mean_importance_norm"], 10, tie="feature") \
+        .select("feature", r6("cv_mean_importance_norm").alias("cv_mean_importance_norm"))
+
+
+@query("family_share", with_views("WITH " + _NORM_SQL + "SELECT split_part(feature, '__', 1) AS family, "
+                                  "round(sum(cv_mean_importance_norm), 6) AS share FROM cm GROUP BY 1", "i"))
+def family_share(spark, d):
+    s = importance.family_share(_imp_mean(spark, d))
+    return s.select("family", r6("share").alias("share"))
+
+
+# -- J26 D24 majority vote over 4 rule-based fold models on P -----------------------------------------
+
+VOTE_MODELS = 4
+
+
+def _vote_preds(spark, d):
+    p = tables.profile(spark, d).select("id", "num_c")
+    preds = [F.when(F.col("num_c") > 80 + 10 * k, 1).otherwise(0).alias(f"pred_{k}") for k in range(VOTE_MODELS)]
+    return p.select("id", *preds)
+
+
+_VOTE_SQL = ("l AS (" + " UNION ALL ".join(
+    f"SELECT id, CASE WHEN num_c > {80 + 10 * k} THEN 1 ELSE 0 END AS pred FROM p" for k in range(VOTE_MODELS)) + "),\n"
+    "c AS (SELECT id, pred, count(*) AS n FROM l GROUP BY id, pred),\n"
+    "v AS (SELECT id, pred AS vote, n AS votes, sum(n) OVER (PARTITION BY id) AS n_models, "
+    "row_number() OVER (PARTITION BY id ORDER BY n DESC, pred ASC) AS rn FROM c)\n")
+
+
+@query("vote_majority", with_views("WITH " + _VOTE_SQL + "SELECT id, vote, votes, CAST(n_models AS BIGINT) AS n_models FROM v WHERE rn = 1", "p"))
+def vote_majority(spark, d):
+    long = ensemble.to_long(_vote_preds(spark, d), "id", [f"pred_{k}" for k in range(VOTE_MODELS)])
+    return ensemble.majority_vote(long, "id")
+
+
+@query("prediction_counts", with_views("WITH " + _VOTE_SQL + "SELECT count(*) FILTER (WHERE vote = 0) AS n_0, "
+                                       "count(*) FILTER (WHERE vote = 1) AS n_1, count(*) AS total FROM v WHERE rn = 1", "p"))
+def prediction_counts(spark, d):
+    return ensemble.prediction_counts(vote_majority(spark, d), "vote", [0, 1])
