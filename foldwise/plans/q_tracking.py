@@ -166,21 +166,14 @@ def newest_run(spark, d):
     return tracking.newest_run(_runs(spark, d))
 
 
-_COMBO = ("concat(config_file, '/', " + _model_sql("run_name") + ", '/', regexp_extract(run_name, '(method[0-3])', 1))")
-
-
 @query("new_names", with_views(
-    f"SELECT DISTINCT {_COMBO} AS combo FROM r WHERE year(ts) >= {CUT_YEAR} "
-    f"AND {_COMBO} NOT IN (SELECT {_COMBO} FROM r WHERE year(ts) = {CUT_YEAR - 1})", "r"))
+    f"SELECT DISTINCT run_name FROM r WHERE year(ts) >= {CUT_YEAR} "
+    f"AND run_name NOT IN (SELECT run_name FROM r WHERE year(ts) < {CUT_YEAR})", "r"))
 def new_names(spark, d):
-    """(config, model, method) combinations run in the new batch but not in the year before."""
+    """Run names present after the cut but not before it (set difference by anti join)."""
     r = _runs(spark, d)
-    combo = F.concat(F.col("config_file"), F.lit("/"), names.model_family("run_name", FIXTURE_RULES), F.lit("/"),
-                     F.coalesce(names.method_code("run_name"), F.lit("")))
-    r = r.withColumn("combo", combo)
-    after = r.where(tracking.year_of("ts") >= CUT_YEAR)
-    before = r.where(tracking.year_of("ts") == CUT_YEAR - 1)
-    return tracking.new_keys(after, before, "combo")
+    return tracking.new_keys(r.where(tracking.year_of("ts") >= CUT_YEAR), r.where(tracking.year_of("ts") < CUT_YEAR),
+                             "run_name")
 
 
 ID_THRESHOLD = 5000
