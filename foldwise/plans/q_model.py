@@ -302,3 +302,114 @@ def vote_majority(spark, d):
                                        "count(*) FILTER (WHERE vote = 1) AS n_1, count(*) AS total FROM v WHERE rn = 1", "p"))
 def prediction_counts(spark, d):
     return ensemble.prediction_counts(vote_majority(spark, d), "vote", [0, 1])
+
+
+# ---------------------------------------------------------------------------------------------------
+# Model training, CV, search and prediction (rows-only checks; properties in tests/)
+# ---------------------------------------------------------------------------------------------------
+
+from foldwise.functions import text as tx  # noqa: E402
+from foldwise.operators import train, vectors  # noqa: E402
+from foldwise.plans.q_text import KEYWORDS_A, KEYWORDS_B, POSITIVE  # noqa: E402
+
+
+def _features(df):
+    return df.select("*", *tx.handcrafted("text", KEYWORDS_A, KEYWORDS_B, POSITIVE))
+
+
+def train_frame(spark, d):
+    """Labelled documents → 15 text features, stratified fold, balanced class weight, vector."""
+    t = _features(tables.labelled_text(spark, d)).drop("text", "lang")
+    t = folds.stratified_folds(t, "id", "label", K, SEED)
+    t = weights.with_weights(t, "label", weights.class_weights(t, "label", "balanced"))
+    return vectors.assemble(t, tx.FEATURE_NAMES).select("id", "label", "fold", "weight", "features").cache()
+
+
+def unlabelled_frame(spark, d):
+    docs = tables.load(spark, d, "documents", ["doc_id", "text"])
+    lab = tables.load(spark, d, "labels", ["doc_id"])
+    u = _features(docs.join(lab, "doc_id", "left_anti").withColumnRenamed("doc_id", "id")).drop("text")
+    return vectors.assemble(u, tx.FEATURE_NAMES).select("id", "features")
+
+
+MODEL_PARAMS = {"rf": {"numTrees": 20, "maxDepth": 5}, "gbt": {"maxIter": 20, "maxDepth": 3},
+                "tree": {"maxDepth": 5}, "svm": {"maxIter": 50, "regParam": 0.01}}
+
+
+def _cv(kind, early=None):
+    def fn(spark, d):
+        m, _, _ = train.cross_validate(train_frame(spark, d), kind, MODEL_PARAMS[kind], K, weight="weight",
+                                       early_stopping=early, feature_names=tx.FEATURE_NAMES)
+        return m
+    return fn
+
+
+query("train_rf")(_cv("rf"))
+query("train_gbt")(_cv("gbt", early=0.2))
+query("train_tree")(_cv("tree"))
+query("train_svm")(_cv("svm"))
+
+
+@query("cv_report")
+def cv_report(spark, d):
+    """D22 over a real CV: mean and population std of each metric over folds, per split."""
+    m, _, _ = train.cross_validate(train_frame(spark, d), "rf", MODEL_PARAMS["rf"], K, weight="weight",
+                                   feature_names=tx.FEATURE_NAMES)
+    return metrics.fold_summary(metrics.metrics_long(m, ["fold", "split"]), ["split"])
+
+
+@query("cv_importance")
+def cv_importance(spark, d):
+    """J22 → J23 → J24: per-fold importances of a CV, normalised, averaged with missing = 0."""
+    _, imp, _ = train.cross_validate(train_frame(spark, d), "rf", MODEL_PARAMS["rf"], K, weight="weight",
+                                     feature_names=tx.FEATURE_NAMES)
+    return importance.cv_mean(importance.normalize(imp), K).orderBy(F.desc("cv_mean_importance_norm"))
+
+
+SEARCH_GRID = {"numTrees": [10, 20], "maxDepth": [3, 5]}
+SEARCH_SPACE = {"maxDepth": [2, 3, 4], "maxIter": [10, 20], "stepSize": [0.05, 0.1]}
+
+
+@query("grid_search")
+def grid_search(spark, d):
+    scores, best = train.search(train_frame(spark, d), "rf", select.param_grid(SEARCH_GRID), K,
+                                weight="weight", feature_names=tx.FEATURE_NAMES)
+    return scores.join(best.select("candidate", F.lit(True).alias("is_best")), "candidate", "left") \
+        .withColumn("is_best", F.coalesce("is_best", F.lit(False)))
+
+
+@query("random_search")
+def random_search(spark, d):
+    scores, best = train.search(train_frame(spark, d), "gbt", train.random_candidates(SEARCH_SPACE, 3, SEED), K,
+                                weight="weight", feature_names=tx.FEATURE_NAMES)
+    return scores.join(best.select("candidate", F.lit(True).alias("is_best")), "candidate", "left") \
+        .withColumn("is_best", F.coalesce("is_best", F.lit(False)))
+
+
+@query("predict_full")
+def predict_full(spark, d):
+    """J21 refit on every labelled row, J25 predict the unlabelled documents, B6 back-map."""
+    model = train.make_estimator("rf", MODEL_PARAMS["rf"], weight="weight").fit(train_frame(spark, d))
+    p = train.predict(model, unlabelled_frame(spark, d))
+    from foldwise.operators import clean
+    return p.withColumn("pred_raw", clean.backmap_labels("pred", {1: 1, 0: 2}))
+
+
+@query("predict_fold")
+def predict_fold(spark, d):
+    """The k fold models of a CV vote on the unlabelled documents."""
+    _, _, models = train.cross_validate(train_frame(spark, d), "tree", MODEL_PARAMS["tree"], K, weight="weight")
+    return train.predict_vote(models, unlabelled_frame(spark, d))
+
+
+@query("predict_all_runs")
+def predict_all_runs(spark, d):
+    """One refit per configuration, every model scores the same cached input, long result."""
+    tf = train_frame(spark, d)
+    u = unlabelled_frame(spark, d).cache()
+    out = None
+    for kind in ("rf", "tree", "gbt"):
+        model = train.make_estimator(kind, MODEL_PARAMS[kind], weight="weight").fit(tf)
+        p = train.predict(model, u).select("id", F.lit(kind).alias("run"), "pred")
+        out = p if out is None else out.unionByName(p)
+    return out
