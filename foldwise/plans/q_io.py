@@ -1 +1,130 @@
-"""Registered queries."""
+"""Queries over sources and sinks (A1 A3–A9 A11 A12 A14 A16 G1 H9): each writes derived data to
+the session's shared checkpoint folder and reads it back (rows-only checks; round-trip
+properties are asserted in tests/)."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from foldwise.operators import bounds, impute, metrics, profile, tracking
+from foldwise.plans.common import cleaned_profile
+from foldwise.plans.registry import query
+from foldwise.session import scratch_path
+from foldwise.sources import files, tables
+
+PROFILE_SCHEMA = T.StructType([
+    T.StructField("id", T.LongType()), T.StructField("target_raw", T.IntegerType()),
+    T.StructField("cat_a", T.StringType()), T.StructField("cat_b", T.StringType()),
+    T.StructField("num_a", T.DoubleType()), T.StructField("num_b", T.DoubleType()),
+    T.StructField("num_c", T.DoubleType()), T.StructField("long_tail", T.DoubleType()),
+    T.StructField("ord_a", T.DoubleType()), T.StructField("raw_num", T.DoubleType()),
+    T.StructField("note", T.StringType()),
+])
+
+
+@query("csv_roundtrip")
+def csv_roundtrip(spark, d):
+    """A1: the profile written as CSV with NULLs as 'NA' and read back typed; '#NUM!' → NULL."""
+    p = tables.profile(spark, d)
+    path = scratch_path(spark, "profile_csv")
+    p.write.mode("overwrite").option("header", True).option("nullValue", "NA").csv(path)
+    return files.read_csv(spark, path, PROFILE_SCHEMA)
+
+
+@query("prediction_write")
+def prediction_write(spark, d):
+    """A3 + A4 + D24: write the rule predictions (and a 'latest' copy), append one stats row,
+    read the stats table back."""
+    rp = tables.rule_predictions(spark, d)
+    base = scratch_path(spark, "predictions")
+    out = files.write_predictions(rp, f"{base}/submission", f"{base}/submission_latest", "pred", "id")
+    stats = out.agg(F.count_if(F.col("target") == 1).alias("n_1"), F.count_if(F.col("target") == 0).alias("n_0"),
+                    F.count(F.lit(1)).alias("total")) \
+        .select(F.current_timestamp().alias("timestamp"), F.lit("rule").alias("experiment"), F.lit("full").alias("mode"),
+                "n_1", "n_0", "total", F.lit(f"{base}/submission").alias("output_file"))
+    files.append_rows(stats, f"{base}/prediction_stats")
+    return spark.read.option("header", True).schema("id long, target int").csv(f"{base}/submission")
+
+
+@query("tracking_append")
+def tracking_append(spark, d):
+    """Back up the record table, append the new batch (G1 aligns columns by name),
+    write the comparison table, read the record table back."""
+    r = tables.runs(spark, d)
+    base = scratch_path(spark, "records")
+    history = r.where(F.year("ts") < 1998)
+    batch = files.experiment_log_row(r.where(F.year("ts") >= 1998).withColumn("max_depth", F.lit(None).cast("int"))
+                                     .withColumn("depth", (F.col("run_id") % 7 + 2).cast("int")))
+    files.append_rows(history, f"{base}/record")
+    files.snapshot(spark, f"{base}/record", f"{base}/record_backup_1")
+    empty = spark.createDataFrame([], history.schema)
+    files.append_rows(tracking.append(empty, batch), f"{base}/record")
+    cur = tracking.latest_per_key(batch.drop("max_depth", "depth", "depth_used"), "config_file")
+    prev = tracking.latest_per_key(history, "config_file", only_success=True)
+    files.write_csv(tracking.compare_to_previous(cur, prev, "config_file", "mean_f1").drop("_prev", "_new", "_delta"),
+                    f"{base}/comparison")
+    return spark.read.option("mergeSchema", True).parquet(f"{base}/record")
+
+
+@query("result_json_scan")
+def result_json_scan(spark, d):
+    """A9 + A11: one nested result record per run (metrics, per-fold lists, importance summary),
+    written as JSON, then all of them read back with an explicit schema."""
+    m = tables.cv_metrics(spark, d)
+    by_cand = m.where(F.col("split") == "validation").groupBy("candidate").agg(
+        F.avg("value").alias("mean_f1"), F.stddev_pop("value").alias("std_f1"),
+        F.sort_array(F.collect_list(F.struct("fold", "value"))).alias("_folds"))
+    rec = by_cand.select(
+        F.concat(F.lit("exp_"), F.lpad(F.col("candidate").cast("string"), 3, "0")).alias("run"),
+        "mean_f1", "std_f1",
+        F.create_map(F.lit("f1"), F.transform("_folds", lambda s: s["value"])).alias("fold_results"),
+        F.struct(F.array(F.struct(F.lit("num__a").alias("feature"), F.lit(1.0).alias("cv_mean_importance_norm")))
+                 .alias("cv_summary")).alias("feature_importance"))
+    path = scratch_path(spark, "results_json")
+    files.write_results_json(rec, path)
+    return files.read_results_json(spark, path)
+
+
+@query("params_roundtrip")
+def params_roundtrip(spark, d):
+    """Fitted clip bounds and medians saved as Parquet, loaded, applied."""
+    x = cleaned_profile(spark, d).select("id", "num_a", "num_b")
+    cols = ["num_a", "num_b"]
+    base = scratch_path(spark, "params")
+    files.save_params(bounds.fit_clip_bounds(x, cols), f"{base}/clip")
+    files.save_params(impute.fit_simple(x, cols, "median"), f"{base}/median")
+    y = bounds.apply_clip_bounds(x, files.load_params(spark, f"{base}/clip"))
+    return impute.apply_fill(y, files.load_params(spark, f"{base}/median"))
+
+
+@query("model_roundtrip")
+def model_roundtrip(spark, d):
+    """A fitted pipeline (assembler + tree) saved and loaded, then used to predict."""
+    from foldwise.plans.q_model import train_frame
+    tf = train_frame(spark, d)
+    model = Pipeline(stages=[DecisionTreeClassifier(labelCol="label", featuresCol="features", maxDepth=4, seed=42)]).fit(tf)
+    path = scratch_path(spark, "model")
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    return loaded.transform(tf).select("id", "label", F.col("prediction").cast("int").alias("pred"))
+
+
+@query("profile_export")
+def profile_export(spark, d):
+    """Describe and missing-value profiles exported as CSV, read back."""
+    p = tables.profile(spark, d)
+    base = scratch_path(spark, "profile_export")
+    files.write_csv(profile.describe(p, ["num_a", "num_b", "num_c"]), f"{base}/describe")
+    files.write_csv(profile.null_profile(p, ["cat_a", "num_a", "num_b", "note"]), f"{base}/missing")
+    return spark.read.option("header", True).option("inferSchema", False).csv(f"{base}/describe")
+
+
+@query("confusion_export")
+def confusion_export(spark, d):
+    """A16 for evaluation tables: the confusion matrix written and read back."""
+    base = scratch_path(spark, "confusion")
+    files.write_csv(metrics.confusion_matrix(tables.rule_predictions(spark, d), "label", "pred"), base)
+    return spark.read.option("header", True).schema("label int, pred int, n long").csv(base)

@@ -333,7 +333,7 @@ def unlabelled_frame(spark, d):
 
 
 MODEL_PARAMS = {"rf": {"numTrees": 20, "maxDepth": 5}, "gbt": {"maxIter": 20, "maxDepth": 3},
-                "tree": {"maxDepth": 5}, "svm": {"maxIter": 50, "regParam": 0.01}}
+                "tree": {"maxDepth": 5}, "svm": {"maxIter": 20, "regParam": 0.01}}
 
 
 def _cv(kind, early=None):
