@@ -23,11 +23,29 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def load(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+# Tables whose rows carry long texts: per-row work (regex, tokenising) dominates their scans.
+TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
+
+
+def load(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
+         balance: bool | None = None) -> DataFrame:
+    """Read one table (only ``columns``).
+
+    ``balance`` (default: on for text tables) spreads the rows over the cluster when the scan
+    yields fewer splits than there are cores — e.g. a file written as one row group. With
+    many input splits (the normal case at scale) it does nothing.
+    """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    if balance is None:
+        balance = name in TEXT_TABLES and (not columns or "text" in columns)
+    if balance:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+    return df
 
 
 def _mod(c: str, k: int):
