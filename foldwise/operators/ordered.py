@@ -22,7 +22,8 @@ DEFAULT_BUCKETS = 256
 def _bucketize(df: DataFrame, key: str, n_buckets: int) -> DataFrame:
     probs = [i / n_buckets for i in range(1, n_buckets)]
     qs = df.select(F.percentile_approx(F.col(key).cast("double"), probs, 10_000).alias("q")).first()["q"] or []
-    splits = [float("-inf")] + sorted({float(q) for q in qs}) + [float("inf")]
+    inner = sorted({float(q) for q in qs}) or [0.0]  # Bucketizer needs at least one inner split
+    splits = [float("-inf")] + inner + [float("inf")]
     x = df.withColumn("_k", F.col(key).cast("double"))
     return Bucketizer(splits=splits, inputCol="_k", outputCol="_bucket", handleInvalid="keep").transform(x).drop("_k")
 

@@ -413,3 +413,35 @@ def predict_all_runs(spark, d):
         p = train.predict(model, u).select("id", F.lit(kind).alias("run"), "pred")
         out = p if out is None else out.unionByName(p)
     return out
+
+
+# -- J2 SMOTE on the stored embeddings (class = label) ---------------------------------------------
+
+from foldwise.operators import resample  # noqa: E402
+
+SMOTE_K = 5
+
+
+@query("smote_neighbours", f"""
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+p AS (SELECT a.label, a.vec_id AS id, b.vec_id AS neighbour_id,
+        sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda x: (x[1] - x[2]) * (x[1] - x[2])))) AS d
+      FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, neighbour_id) AS rank FROM p)
+SELECT label, id, CAST(rank AS INTEGER) AS rank, neighbour_id, round(d, 6) AS distance FROM r WHERE rank <= {SMOTE_K}""")
+def smote_neighbours(spark, d):
+    """Exact k nearest neighbours inside each class (band-pruned, never all pairs)."""
+    e = tables.load(spark, d, "embeddings", ["vec_id", "label", "embedding"]).withColumnRenamed("vec_id", "id")
+    nb = resample.knn_within_class(e, "id", "embedding", "label", SMOTE_K)
+    return nb.select("label", "id", F.col("rank").cast("int").alias("rank"), "neighbour_id",
+                     F.round("distance", 6).alias("distance"))
+
+
+@query("smote_rows")
+def smote_rows(spark, d):
+    """Synthetic rows for the smallest class up to the size of the largest one."""
+    e = tables.load(spark, d, "embeddings", ["vec_id", "label", "embedding"]).withColumnRenamed("vec_id", "id")
+    counts = {r["label"]: r["n"] for r in e.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per class
+    minority = min(counts, key=lambda c: (counts[c], c))
+    n_new = max(counts.values()) - counts[minority]
+    return resample.smote(e, "id", "embedding", "label", minority, n_new, SMOTE_K)
