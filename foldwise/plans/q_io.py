@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from foldwise.operators import bounds, impute, metrics, profile, tracking
 from foldwise.plans.common import cleaned_profile
 from foldwise.plans.registry import query
+from foldwise.plans.views_sql import with_views
 from foldwise.session import scratch_path
 from foldwise.sources import files, tables
 
@@ -25,16 +26,20 @@ PROFILE_SCHEMA = T.StructType([
 ])
 
 
-@query("csv_roundtrip")
+@query("csv_roundtrip", with_views(
+    "SELECT id, target_raw, cat_a, cat_b, num_a, num_b, num_c, long_tail, ord_a, TRY_CAST(raw_num AS DOUBLE) AS raw_num, "
+    "CASE WHEN trim(note) IN (" + ", ".join("'" + t + "'" for t in files.NA_TOKENS) + ") THEN NULL ELSE note END AS note FROM p", "p"))
 def csv_roundtrip(spark, d):
-    """A1: the profile written as CSV with NULLs as 'NA' and read back typed; '#NUM!' → NULL."""
+    """A1: the profile written as CSV with NULLs as 'NA' and read back typed: NA tokens → NULL,
+    '#NUM!' → NULL, doubles exact (shortest round-trip text)."""
     p = tables.profile(spark, d)
     path = scratch_path(spark, "profile_csv")
-    p.write.mode("overwrite").option("header", True).option("nullValue", "NA").csv(path)
+    (p.write.mode("overwrite").option("header", True).option("nullValue", "NA")
+      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return files.read_csv(spark, path, PROFILE_SCHEMA)
 
 
-@query("prediction_write")
+@query("prediction_write", with_views("SELECT id, pred AS target FROM rp", "rp"))
 def prediction_write(spark, d):
     """A3 + A4 + D24: write the rule predictions (and a 'latest' copy), append one stats row,
     read the stats table back."""
@@ -88,7 +93,13 @@ def result_json_scan(spark, d):
     return files.read_results_json(spark, path)
 
 
-@query("params_roundtrip")
+@query("params_roundtrip", with_views(
+    "WITH x AS (SELECT id, num_a, num_b FROM p),\n"
+    "b AS (SELECT quantile_cont(num_a, 0.01) AS a_lo, quantile_cont(num_a, 0.99) AS a_hi, "
+    "quantile_cont(num_b, 0.01) AS b_lo, quantile_cont(num_b, 0.99) AS b_hi FROM x),\n"
+    "m AS (SELECT quantile_cont(num_a, 0.5) AS ma, quantile_cont(num_b, 0.5) AS mb FROM x)\n"
+    "SELECT id, round(coalesce(CASE WHEN num_a IS NULL THEN NULL ELSE least(greatest(num_a, a_lo), a_hi) END, ma), 6) AS num_a, "
+    "round(coalesce(CASE WHEN num_b IS NULL THEN NULL ELSE least(greatest(num_b, b_lo), b_hi) END, mb), 6) AS num_b FROM x, b, m", "p"))
 def params_roundtrip(spark, d):
     """Fitted clip bounds and medians saved as Parquet, loaded, applied."""
     x = cleaned_profile(spark, d).select("id", "num_a", "num_b")
@@ -97,7 +108,8 @@ def params_roundtrip(spark, d):
     files.save_params(bounds.fit_clip_bounds(x, cols), f"{base}/clip")
     files.save_params(impute.fit_simple(x, cols, "median"), f"{base}/median")
     y = bounds.apply_clip_bounds(x, files.load_params(spark, f"{base}/clip"))
-    return impute.apply_fill(y, files.load_params(spark, f"{base}/median"))
+    y = impute.apply_fill(y, files.load_params(spark, f"{base}/median"))
+    return y.select("id", *[F.round(c, 6).alias(c) for c in cols])
 
 
 @query("model_roundtrip")
@@ -122,7 +134,7 @@ def profile_export(spark, d):
     return spark.read.option("header", True).option("inferSchema", False).csv(f"{base}/describe")
 
 
-@query("confusion_export")
+@query("confusion_export", with_views("SELECT label, pred, count(*) AS n FROM rp GROUP BY label, pred", "rp"))
 def confusion_export(spark, d):
     """A16 for evaluation tables: the confusion matrix written and read back."""
     base = scratch_path(spark, "confusion")

@@ -37,7 +37,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, na_tokens: Se
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Headed CSV (NULL written as an empty field)."""
-    df.write.mode(mode).option("header", True).option("nullValue", "").csv(path)
+    (df.write.mode(mode).option("header", True).option("nullValue", "").option("emptyValue", '""')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_predictions(df: DataFrame, path: str, latest_path: str | None, pred_col: str, id_col: str | None = "id",
