@@ -35,6 +35,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    # Python workers (only the optional mapInPandas embedding hook uses them) must import this
+    # package; on a cluster ship it with --py-files, locally point the workers at its root.
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [root] + [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    builder = builder.config("spark.executorEnv.PYTHONPATH", os.pathsep.join(dict.fromkeys(paths)))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
