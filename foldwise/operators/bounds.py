@@ -12,7 +12,7 @@ from foldwise.operators import fitting
 
 
 def fit_clip_bounds(df: DataFrame, cols: Sequence[str], lower_pct: float = 1.0, upper_pct: float = 99.0,
-                    fold_col: str | None = None, k: int | None = None, exact: bool = True) -> DataFrame:
+                    fold_col: str | None = None, k: int | None = None, exact: bool | None = None) -> DataFrame:
     """(fold?, column, lower, upper) from interpolated percentiles (given in percent).
 
     An all-NULL column yields NULL bounds, and NULL bounds mean "do not clip".
@@ -32,7 +32,7 @@ def apply_clip_bounds(df: DataFrame, params: DataFrame, fold_col: str | None = N
 
 
 def clip_quantile(df: DataFrame, cols: Sequence[str], lower_pct: float = 1.0, upper_pct: float = 99.0,
-                  fold_col: str | None = None, k: int | None = None, exact: bool = True) -> DataFrame:
+                  fold_col: str | None = None, k: int | None = None, exact: bool | None = None) -> DataFrame:
     """Fit and apply in one call."""
     return apply_clip_bounds(df, fit_clip_bounds(df, cols, lower_pct, upper_pct, fold_col, k, exact),
                              fold_col)

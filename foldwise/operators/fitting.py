@@ -20,6 +20,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_PARAM_ROWS = 100_000
+QUANTILE_CONF = "foldwise.quantiles"
+
+
+def resolve_exact(df: DataFrame, exact: bool | None) -> bool:
+    """``exact=None`` follows the session setting ``foldwise.quantiles`` (``exact`` by default,
+    ``sketch`` for bounded-memory KLL sketches on very large or high-cardinality inputs)."""
+    if exact is not None:
+        return exact
+    mode = (df.sparkSession.conf.get(QUANTILE_CONF, "exact") or "exact").lower()
+    if mode not in ("exact", "sketch"):
+        raise ValueError(f"{QUANTILE_CONF} must be 'exact' or 'sketch'")
+    return mode == "exact"
 
 
 def long_values(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -100,7 +112,7 @@ def _q_names(probs: Sequence[float], names: Sequence[str] | None) -> list[str]:
 
 def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                   names: Sequence[str] | None = None, fold_col: str | None = None,
-                  k: int | None = None, exact: bool = True, by: Sequence[str] = ()) -> DataFrame:
+                  k: int | None = None, exact: bool | None = None, by: Sequence[str] = ()) -> DataFrame:
     """(by..., fold?, feature, <one feature per prob>) — linear-interpolated quantiles.
 
     ``exact=True`` uses ``percentile`` (same interpolation as NumPy / pandas). Its buffer is a
@@ -111,6 +123,7 @@ def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     ``exact=False`` uses KLL sketches: one small sketch per (fold, feature), merged per training
     fold — bounded memory at any row count.
     """
+    exact = resolve_exact(df, exact)
     probs = [float(p) for p in probs]
     qn = _q_names(probs, names)
     keys = list(by) + _keys(fold_col)

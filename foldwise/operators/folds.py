@@ -6,9 +6,15 @@ executor loss or re-execution, and the SQL oracle computes the same value.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+ROWS_PER_BUCKET = 1_000_000
+# the per-(class, bucket) offsets table is broadcast: at most classes × 16^5 rows
+MAX_PREFIX_DIGITS = 5
+
 
 def row_hash(id_col: str, seed: int) -> Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{int(seed)}")))
@@ -30,18 +36,24 @@ def holdout_split(df: DataFrame, id_col: str, test_size: float = 0.33, seed: int
 
 
 def stratified_folds(df: DataFrame, id_col: str, label_col: str, k: int = 5, seed: int = 42,
-                     prefix_digits: int = 3, fold_col: str = "fold") -> DataFrame:
+                     prefix_digits: int | None = None, fold_col: str = "fold") -> DataFrame:
     """Shuffled stratified k-fold. Within each class rows are ordered by (h, id) and dealt
     round-robin: fold = (rank − 1) mod k, so class counts per fold differ by at most one.
 
     The global per-class rank is computed without putting a class into one task: rows are
-    bucketed by the first ``prefix_digits`` hex digits of h (4096 buckets by default); the
+    bucketed by the first ``prefix_digits`` hex digits of h (by default sized from the row count
+    to about a million rows per bucket: 2 to 5 digits, i.e. 256 to ~1M buckets); the
     per-(class, bucket) counts (at most classes × 16^digits rows — a bounded table) give each
     bucket's starting offset, and the rank is offset + rank inside the bucket. Because md5 hex
     order is prefix order, this equals the rank over the whole class.
     """
     if k < 2:
         raise ValueError("k must be >= 2")
+    if prefix_digits is None:
+        n = df.count()
+        prefix_digits = max(2, min(MAX_PREFIX_DIGITS, math.ceil(math.log(max(n, 1) / ROWS_PER_BUCKET, 16))))
+    if not 1 <= prefix_digits <= MAX_PREFIX_DIGITS:
+        raise ValueError(f"prefix_digits must be in 1..{MAX_PREFIX_DIGITS}")
     h = row_hash(id_col, seed)
     x = df.withColumn("_h", h).withColumn("_b", F.substring(F.col("_h"), 1, prefix_digits))
     counts = x.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("_n"))

@@ -18,7 +18,7 @@ from foldwise.operators import fitting
 
 def fit_simple(df: DataFrame, cols: Sequence[str], strategy: str = "median",
                fill_value: float | None = None, fold_col: str | None = None,
-               k: int | None = None, exact: bool = True) -> DataFrame:
+               k: int | None = None, exact: bool | None = None) -> DataFrame:
     """(fold?, column, value). strategy: median | mean | most_frequent | constant.
 
     median = exact interpolated median (I1), mean (I2), most_frequent with ties → smallest,

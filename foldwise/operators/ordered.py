@@ -16,10 +16,18 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 256
+ROWS_PER_RANGE = 500_000
+MAX_RANGES = 100_000
 
 
-def _bucketize(df: DataFrame, key: str, n_buckets: int) -> DataFrame:
+def auto_ranges(df: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> int:
+    """Number of ranges so that each holds about ``rows_per_range`` rows (2 … MAX_RANGES)."""
+    n = df.count()
+    return int(max(2, min(MAX_RANGES, -(-n // rows_per_range))))
+
+
+def _bucketize(df: DataFrame, key: str, n_buckets: int | None) -> DataFrame:
+    n_buckets = n_buckets or auto_ranges(df)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     qs = df.select(F.percentile_approx(F.col(key).cast("double"), probs, 10_000).alias("q")).first()["q"] or []
     inner = sorted({float(q) for q in qs}) or [0.0]  # Bucketizer needs at least one inner split
@@ -29,7 +37,7 @@ def _bucketize(df: DataFrame, key: str, n_buckets: int) -> DataFrame:
 
 
 def running_sums(df: DataFrame, key: str, sum_cols: Sequence[str], descending: bool = True,
-                 tie_cols: Sequence[str] = (), n_buckets: int = DEFAULT_BUCKETS,
+                 tie_cols: Sequence[str] = (), n_buckets: int | None = None,
                  include_ties: bool = True) -> DataFrame:
     """Adds ``cum_<c>`` = running sum of c in ``key`` order (descending by default).
 
@@ -53,7 +61,7 @@ def running_sums(df: DataFrame, key: str, sum_cols: Sequence[str], descending: b
 
 
 def global_row_number(df: DataFrame, key: str, tie_cols: Sequence[str] = (), out: str = "seq",
-                      n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      n_buckets: int | None = None) -> DataFrame:
     """1-based row number in (key, tie_cols) ascending order, computed range by range."""
     x = df.withColumn("_one", F.lit(1))
     r = running_sums(x, key, ["_one"], descending=False, tie_cols=list(tie_cols) or [key],

@@ -55,7 +55,7 @@ def _count_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.unpivot(["__total"], list(cols), "feature", "non_null").withColumnRenamed("__total", "total")
 
 
-def distinct_counts(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
+def distinct_counts(df: DataFrame, cols: Sequence[str], exact: bool | None = None) -> DataFrame:
     """(feature, n_distinct). Exact distinct counts per feature in long form (one shuffle on
     (feature, value)); ``exact=False`` uses HyperLogLog++ instead."""
     lv = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], list(cols), "feature", "value")
@@ -97,11 +97,13 @@ def missing_target_rate(df: DataFrame, cols: Sequence[str], target: str) -> Data
 # -- describe -------------------------------------------------------------------------------
 
 def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), extra_quantiles: bool = False,
-             exact: bool = True) -> DataFrame:
+             exact: bool | None = None) -> DataFrame:
     """Count, mean, sample std, min, quartiles, max per (group…, feature); with
     ``extra_quantiles`` also p01, p99 and the missing percentage."""
     by = list(by)
     lv = long_values(df, cols, by)
+    from foldwise.operators.fitting import resolve_exact
+    exact = resolve_exact(df, exact)
     probs = [0.25, 0.5, 0.75] + ([0.01, 0.99] if extra_quantiles else [])
     names = ["q1", "median", "q3"] + (["p01", "p99"] if extra_quantiles else [])
     if exact:
@@ -125,7 +127,7 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), extra_q
 # -- quantile bounds and clip impact --------------------------------------------------------
 
 def quantile_bounds(df: DataFrame, cols: Sequence[str], by: Sequence[str], ranges: Mapping[str, tuple],
-                    exact: bool = True) -> DataFrame:
+                    exact: bool | None = None) -> DataFrame:
     """D9 / C7 fit: (range, group…, feature, lower, upper) for several (lo %, hi %) ranges at
     once — all percentiles of a (group, feature) come from one aggregation buffer."""
     names = list(ranges)
@@ -152,7 +154,7 @@ def attach_bounds(df: DataFrame, cols: Sequence[str], by: Sequence[str], bounds:
 
 
 def clip_impact(df: DataFrame, cols: Sequence[str], by: Sequence[str], ranges: Mapping[str, tuple],
-                exact: bool = True) -> DataFrame:
+                exact: bool | None = None) -> DataFrame:
     """Per range × group × feature: bounds, valid n, below, above, clipped, clipped %."""
     b = quantile_bounds(df, cols, by, ranges, exact)
     j = attach_bounds(df, cols, by, b)
@@ -179,7 +181,7 @@ def clip_spread(impact: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def range_overlap(df: DataFrame, cols: Sequence[str], by: Sequence[str], ranges: Mapping[str, tuple],
-                  exact: bool = True) -> DataFrame:
+                  exact: bool | None = None) -> DataFrame:
     """For three ranges A, B, C: sizes of the clipped sets and their pairwise
     intersections with % of the smaller, via count_if of flag pairs (no set materialisation)."""
     names = list(ranges)
@@ -219,7 +221,7 @@ def reference_range_impact(df: DataFrame, cols: Sequence[str], group: str, ref:
 
 
 def reference_range_table(df: DataFrame, cols: Sequence[str], group: str, ref: DataFrame,
-                          exact: bool = True) -> DataFrame:
+                          exact: bool | None = None) -> DataFrame:
     """Given range next to observed min / p01 / p99 / max per (group, feature)."""
     q = fit_quantiles(df, cols, [0.01, 0.99], ["p01", "p99"], by=[group], exact=exact)
     mm = long_values(df, cols, [group]).groupBy(group, "feature").agg(F.min("value").alias("min"),
@@ -229,7 +231,7 @@ def reference_range_table(df: DataFrame, cols: Sequence[str], group: str, ref: D
                        _r(F.col("p01")).alias("p01"), _r(F.col("p99")).alias("p99"), _r(F.col("max")).alias("max")))
 
 
-def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, exact: bool = True) -> DataFrame:
+def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, exact: bool | None = None) -> DataFrame:
     """Q1, Q3, fences, n, outliers, %, outlier min/max, and the >5 % flag."""
     q = fit_quantiles(df, cols, [0.25, 0.75], ["q1", "q3"], exact=exact).select(
         "feature", "q1", "q3", (F.col("q1") - k * (F.col("q3") - F.col("q1"))).alias("lower"),

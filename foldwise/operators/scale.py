@@ -16,7 +16,7 @@ from foldwise.operators import bounds, fitting, impute
 
 
 def fit_scaler(df: DataFrame, cols: Sequence[str], kind: str = "standard", fold_col: str | None = None,
-               k: int | None = None, exact: bool = True) -> DataFrame:
+               k: int | None = None, exact: bool | None = None) -> DataFrame:
     """(fold?, column, center, scale)."""
     keys = [fold_col] if fold_col else []
     kind = kind.lower()
@@ -50,7 +50,7 @@ def scale(df: DataFrame, cols: Sequence[str], kind: str = "standard", **kw) -> D
 
 def numeric_chain(df: DataFrame, cols: Sequence[str], strategy: str = "median", lower_pct: float = 1.0,
                   upper_pct: float = 99.0, scaler: str = "standard", fold_col: str | None = None,
-                  k: int | None = None, exact: bool = True) -> DataFrame:
+                  k: int | None = None, exact: bool | None = None) -> DataFrame:
     """Impute → clip (bounds fitted on the imputed values) → scale (fitted after clip)."""
     x = impute.apply_fill(df, impute.fit_simple(df, cols, strategy, fold_col=fold_col, k=k, exact=exact), fold_col)
     x = bounds.clip_quantile(x, cols, lower_pct, upper_pct, fold_col, k, exact)
@@ -59,7 +59,7 @@ def numeric_chain(df: DataFrame, cols: Sequence[str], strategy: str = "median",
 
 def longtail_chain(df: DataFrame, cols: Sequence[str], strategy: str = "median", min_value: float = 0.0,
                    scaler: str = "standard", fold_col: str | None = None, k: int | None = None,
-                   exact: bool = True) -> DataFrame:
+                   exact: bool | None = None) -> DataFrame:
     """I16: impute → lower clip → log1p → scale."""
     x = impute.apply_fill(df, impute.fit_simple(df, cols, strategy, fold_col=fold_col, k=k, exact=exact), fold_col)
     repl = {c: F.log1p(exprs.clip_lower(c, min_value)).alias(c) for c in cols}
