@@ -50,6 +50,7 @@ FROM f GROUP BY target
 
 from foldwise.operators import derive, encode, folds, scale  # noqa: E402
 from foldwise.plans.common import CP_SQL  # noqa: E402
+from foldwise.session import materialize  # noqa: E402
 from foldwise.sources import tables  # noqa: E402
 
 IMP_COLS = ["num_a", "num_b", "num_c", "long_tail", "ord_a"]
@@ -286,7 +287,7 @@ def _folds_cp_sql() -> str:
     "WHERE f.cat_a IS NOT NULL GROUP BY ks.k, f.cat_a)\n"
     "SELECT f.id, f.fold, round(te.te, 6) AS te FROM f LEFT JOIN te ON f.fold = te.fold AND f.cat_a = te.cat_a"))
 def target_encode_oof(spark, d):
-    x = folds.stratified_folds(cleaned_profile(spark, d).select("id", "cat_a", TARGET), "id", TARGET, K, 42)
+    x = materialize(folds.stratified_folds(cleaned_profile(spark, d).select("id", "cat_a", TARGET), "id", TARGET, K, 42))
     p = encode.fit_target_mean_oof(x, "cat_a", TARGET, "fold", K)
     return encode.apply_target_mean_oof(x, p, "cat_a", "fold").select("id", "fold", r6("te").alias("te"))
 
@@ -302,7 +303,7 @@ def target_encode_oof(spark, d):
     "count(value) AS n FROM l GROUP BY fold, feature"))
 def fold_params(spark, d):
     from foldwise.operators import fitting
-    x = folds.stratified_folds(cleaned_profile(spark, d).select("id", TARGET, *_NUM3), "id", TARGET, K, 42)
+    x = materialize(folds.stratified_folds(cleaned_profile(spark, d).select("id", TARGET, *_NUM3), "id", TARGET, K, 42))
     q = fitting.fit_quantiles(x, _NUM3, [0.01, 0.99, 0.5], ["lower", "upper", "median"], "fold", K)
     m = fitting.fit_moments(x, _NUM3, "fold", K)
     j = q.join(m, ["fold", "feature"])

@@ -67,3 +67,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path for a written intermediate table inside the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` once to the shared checkpoint folder (reliable checkpoint) and
+    read it back. Used where one derived table (e.g. fold assignments) feeds several fits, so
+    they neither recompute it nor depend on executors that may be lost."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -51,3 +51,19 @@ def test_oracle_queries_stay_in_the_jvm(spark, name):
     p = _plan(df)
     for bad in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
         assert bad not in p, (name, bad)
+
+
+def _exchanges(df) -> int:
+    import re
+    return len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", _plan(df)))
+
+
+def test_fit_shuffles_do_not_grow_with_columns_or_folds(spark):
+    from foldwise.operators import fitting
+    x = tables.load(spark, SF_SMALL, "lineitem", ["l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    x = x.withColumn("fold", (F.col("l_orderkey") % 10).cast("int"))
+    two, four = ["l_quantity", "l_extendedprice"], ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    assert _exchanges(fitting.fit_quantiles(x, two, [0.5])) == _exchanges(fitting.fit_quantiles(x, four, [0.5]))
+    assert _exchanges(fitting.fit_moments(x, two, "fold", 3)) == _exchanges(fitting.fit_moments(x, four, "fold", 10))
+    assert _exchanges(fitting.fit_quantiles(x, two, [0.5], fold_col="fold", k=3)) == \
+        _exchanges(fitting.fit_quantiles(x, four, [0.5], fold_col="fold", k=10))
