@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import PCA, VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,15 +28,23 @@ def vector_long(df: DataFrame, keys: Sequence[str], vec_col: str) -> DataFrame:
 def mean_pool(df: DataFrame, keys: Sequence[str], vec_col: str, mask_col: str | None = None) -> DataFrame:
     """I22 long form: (keys…, pos, value) = Σ mask·v / max(Σ mask, 1e-9) per key and position.
 
-    Without a mask column every row has weight 1 (a plain element-wise mean).
+    One aggregation with ``Summarizer`` (a vector buffer per key, partial aggregation before the
+    shuffle); without a mask column every row has weight 1. A key whose masks are all 0 pools
+    to the zero vector (the 1e-9 clamp).
     """
-    sel = [*keys, F.posexplode(vec_col).alias("pos", "v")]
-    if mask_col:
-        sel.append(F.col(mask_col).cast("double").alias("m"))
-    x = df.select(*sel)
-    m = F.col("m") if mask_col else F.lit(1.0)
-    g = x.groupBy(*keys, "pos").agg(F.sum(F.col("v").cast("double") * m).alias("s"), F.sum(m).alias("w"))
-    return g.select(*keys, "pos", (F.col("s") / F.greatest(F.col("w"), F.lit(1e-9))).alias("value"))
+    x = df.select(*keys, array_to_vector(F.col(vec_col).cast("array<double>")).alias("_v"),
+                  (F.col(mask_col).cast("double") if mask_col else F.lit(1.0)).alias("_m"))
+    pos = x.where(F.col("_m") > 0)  # weight-0 rows add nothing to either sum
+    g = pos.groupBy(*keys).agg(Summarizer.mean(F.col("_v"), F.col("_m")).alias("_mean"))
+    out = g.select(*keys, F.posexplode(vector_to_array("_mean")).alias("pos", "value"))
+    if not mask_col:
+        return out
+    # keys whose rows are all masked out pool to the zero vector
+    empty = (df.groupBy(*keys).agg(F.max(F.col(mask_col).cast("double")).alias("_mx"),
+                                   F.max(F.size(vec_col)).alias("_dim"))
+               .where(~(F.col("_mx") > 0)))
+    zeros = empty.select(*keys, F.posexplode(F.array_repeat(F.lit(0.0), F.col("_dim"))).alias("pos", "value"))
+    return out.unionByName(zeros)
 
 
 def long_to_array(long_df: DataFrame, keys: Sequence[str], out: str = "vector") -> DataFrame:
@@ -49,18 +58,15 @@ def hashed_text_embedding(df: DataFrame, id_col: str, text_col: str, dim: int =
     """I21 (JVM-side default): every word run is a one-hot token vector in ``dim`` hashed
     buckets, and the document vector is their mean (mask = real tokens) — I22 applied to
     token vectors. Whole texts; a document without tokens gets the zero vector."""
-    tok = df.select(F.col(id_col).alias("_id"), F.explode_outer(word_runs(safe_text(text_col))).alias("t"))
-    bucket = F.pmod(F.xxhash64(F.col("t"), F.lit(seed)), F.lit(dim)).cast("int")
-    # token counts per (document, bucket); a document without tokens keeps one row with c = 0
-    per = tok.groupBy("_id", F.when(F.col("t").isNotNull(), bucket).alias("b")).agg(F.count("t").alias("c"))
-    # at most ``dim`` entries per document
-    j = per.groupBy("_id").agg(
-        F.sum("c").alias("_n"),
-        F.map_from_entries(F.collect_list(F.when(F.col("b").isNotNull(), F.struct("b", "c")))).alias("_m"))
+    # a document's tokens are all in its own row: count them per bucket in-row (higher-order
+    # functions, O(tokens × dim)) — a pure projection, no token rows are shuffled
+    buckets = F.transform(word_runs(safe_text(text_col)),
+                          lambda t: F.pmod(F.xxhash64(t, F.lit(seed)), F.lit(dim)).cast("int"))
+    x = df.select(F.col(id_col), buckets.alias("_b"))
+    n = F.greatest(F.size("_b"), F.lit(1)).cast("double")
     vec = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                      lambda i: F.coalesce(F.try_element_at(F.col("_m"), i), F.lit(0)).cast("double")
-                      / F.greatest(F.col("_n"), F.lit(1)).cast("double"))
-    return j.select(F.col("_id").alias(id_col), vec.alias(out))
+                      lambda i: F.size(F.filter(F.col("_b"), lambda b: b == i)).cast("double") / n)
+    return x.select(id_col, vec.alias(out))
 
 
 def embed_with_model(df: DataFrame, id_col: str, text_col: str, encode: Callable, dim: int,

@@ -61,3 +61,10 @@ def test_smote_rows_lie_between_base_and_neighbour(spark):
     again = resample.smote(emb, "id", "embedding", "label", 0, 25, 3, seed=1).collect()
     assert sorted(map(tuple, [(r["base_id"], r["j"], r["neighbour_id"]) for r in s])) == \
         sorted(map(tuple, [(r["base_id"], r["j"], r["neighbour_id"]) for r in again]))
+
+
+def test_masked_pool_all_masked_key_is_zero(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0], 0.0), (1, [3.0, 4.0], 0.0), (2, [1.0, 1.0], 1.0), (2, [3.0, 5.0], 0.0)],
+                               "k int, v array<double>, m double")
+    got = {(r["k"], r["pos"]): r["value"] for r in vectors.mean_pool(df, ["k"], "v", "m").collect()}
+    assert got == {(1, 0): 0.0, (1, 1): 0.0, (2, 0): 1.0, (2, 1): 1.0}
