@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.operators.fitting import to_training_folds
+from foldwise.operators.joins import attach
 
 MAX_CATEGORIES = 10_000
 
@@ -58,8 +59,9 @@ def fit_target_mean(df: DataFrame, cat: str, target: str) -> DataFrame:
 
 
 def apply_target_mean(df: DataFrame, params: DataFrame, cat: str, out: str = "te") -> DataFrame:
-    """Left join on the category (AQE broadcasts the table when it is small); unseen → NULL."""
-    return df.join(params.withColumnRenamed("te", out), cat, "left")
+    """Left join on the category (broadcast after a row-count check, see ``joins.attach``);
+    unseen → NULL."""
+    return attach(df, params.withColumnRenamed("te", out), [cat])
 
 
 def fit_target_mean_oof(df: DataFrame, cat: str, target: str, fold_col: str, k: int) -> DataFrame:
@@ -72,4 +74,4 @@ def fit_target_mean_oof(df: DataFrame, cat: str, target: str, fold_col: str, k:
 
 
 def apply_target_mean_oof(df: DataFrame, params: DataFrame, cat: str, fold_col: str, out: str = "te") -> DataFrame:
-    return df.join(params.withColumnRenamed("te", out), [fold_col, cat], "left")
+    return attach(df, params.withColumnRenamed("te", out), [fold_col, cat])

@@ -2,8 +2,8 @@
 
 Global imputers fit one value per column (per fold when fold-wise) and apply as
 ``coalesce(c, value)`` — a projection, no shuffle. Grouped imputers fit a table keyed by
-data values (its size depends on the data), so it is attached with a left join that AQE turns
-into a broadcast when the table is small and a skew-split shuffle join when it is not.
+data values (its size depends on the data), so it is attached with a left join that is a
+broadcast after a row-count check and a shuffle join (split by AQE when skewed) beyond it.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.operators import fitting
+from foldwise.operators.joins import attach
 
 
 def fit_simple(df: DataFrame, cols: Sequence[str], strategy: str = "median",
@@ -112,12 +113,12 @@ def apply_group_means(df: DataFrame, params: dict[str, DataFrame], parent: str,
     """coalesce(value, mean[parent, child], mean[parent], mean[global]).
 
     The global row is a single row (inlined as literals). The two keyed tables are left-joined
-    on their keys; AQE picks broadcast or shuffle from their runtime size.
+    on their keys with ``joins.attach`` (checked broadcast, shuffle join beyond the bound).
     """
     g = params["global"].collect()[0].asDict()
     ch = params["child"].select(parent, child, *[F.col(c).alias(f"_mc__{c}") for c in cols])
     pa = params["parent"].select(parent, *[F.col(c).alias(f"_mp__{c}") for c in cols])
-    j = df.join(ch, [parent, child], "left").join(pa, [parent], "left")
+    j = attach(attach(df, ch, [parent, child]), pa, [parent])
     repl = {c: F.coalesce(F.col(c).cast("double"), F.col(f"_mc__{c}"), F.col(f"_mp__{c}"),
                           F.lit(g[c]).cast("double")).alias(c) for c in cols}
     return j.select(*[repl.get(c, F.col(c)) for c in df.columns])

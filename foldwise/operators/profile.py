@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldwise.operators.fitting import fit_quantiles, long_values
+from foldwise.operators.joins import attach
 
 
 def _r(c: Column, nd: int = 6) -> Column:
@@ -150,7 +151,7 @@ def attach_bounds(df: DataFrame, cols: Sequence[str], by: Sequence[str], bounds:
     The bounds table has ranges × groups × columns rows; AQE broadcasts it when it is small.
     """
     lv = long_values(df, cols, list(id_cols) + list(by)).where(F.col("value").isNotNull())
-    return lv.join(bounds, list(by) + ["feature"])
+    return attach(lv, bounds, list(by) + ["feature"], how="inner")
 
 
 def clip_impact(df: DataFrame, cols: Sequence[str], by: Sequence[str], ranges: Mapping[str, tuple],
@@ -190,7 +191,7 @@ def range_overlap(df: DataFrame, cols: Sequence[str], by: Sequence[str], ranges:
     b = quantile_bounds(df, cols, by, ranges, exact)
     wide = b.groupBy(*by, "feature").pivot("range", names).agg(F.first("lower").alias("lo"), F.first("upper").alias("hi"))
     lv = long_values(df, cols, list(by)).where(F.col("value").isNotNull())
-    j = lv.join(wide, list(by) + ["feature"])
+    j = attach(lv, wide, list(by) + ["feature"], how="inner")
     flag = {r: (F.col("value") < F.col(f"`{r}_lo`")) | (F.col("value") > F.col(f"`{r}_hi`")) for r in names}
     a, bb, c = names
     g = j.groupBy(*by, "feature").agg(
