@@ -134,3 +134,30 @@ def test_auto_sizing_keeps_results(spark):
     r1 = ordered.running_sums(df, "s", ["one"])
     r2 = ordered.running_sums(df, "s", ["one"], n_buckets=16)
     assert r1.exceptAll(r2).count() == 0
+
+
+def test_attach_falls_back_to_shuffle_join_beyond_bound(spark):
+    from foldwise.operators import joins
+    df = spark.createDataFrame([(i % 7, i) for i in range(200)], "g int, v int")
+    t = df.groupBy("g").agg(F.sum("v").alias("s"))
+    small = joins.attach(df, t, ["g"])
+    big = joins.attach(df, t, ["g"], max_rows=3)
+    assert "BroadcastExchange" in small._jdf.queryExecution().executedPlan().toString()
+    assert small.exceptAll(big).count() == 0 and big.count() == 200
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    # key 0 holds a third of all rows; every per-key operator must stay exact
+    from foldwise.operators import encode, tracking
+    rows = [(i, 0 if i % 3 == 0 else i % 50, i % 2, float(i % 17)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "id long, g long, y int, x double")
+    te = encode.apply_target_mean(df, encode.fit_target_mean(df, "g", "y"), "g")
+    hot = te.where(F.col("g") == 0).select("te").distinct().collect()
+    ys = [r[2] for r in rows if r[1] == 0]
+    assert len(ys) >= 2000 and len(hot) == 1 and hot[0]["te"] == pytest.approx(sum(ys) / len(ys))
+    gm = impute.fit_group_means(df, "y", "g", ["x"])
+    assert gm["child"].count() == df.select("y", "g").distinct().count()
+    runs = df.select(F.col("id").alias("run_id"), F.col("g").cast("string").alias("config_file"),
+                     F.col("id").alias("ts"), F.lit("success").alias("status"))
+    last = {r["config_file"]: r["run_id"] for r in tracking.latest_per_key(runs, "config_file").collect()}
+    assert last["0"] == 5997
