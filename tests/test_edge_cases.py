@@ -150,3 +150,10 @@ def test_run_history_previous_is_latest_success(spark):
     assert got["new"]["previous_run"] == "" and got["new"]["prev_mean_f1"] == ""
     c = tracking.comparison_counters(cmp).collect()[0]
     assert (c["improved"], c["new"], c["degraded"]) == (1, 1, 0)
+
+
+def test_group_constants_keyed_by_encoded_target(spark):
+    # The per-class table is keyed by the encoded label, so both classes hit their own row
+    df = spark.createDataFrame([(1, None), (0, None), (None, None), (1, 5.0)], "target int, x double")
+    out = [r["x"] for r in impute.fill_constant_by_group(df, "target", {1: {"x": 10.0}, 0: {"x": 20.0}}, ["x"]).collect()]
+    assert out == [10.0, 20.0, 15.0, 5.0]
