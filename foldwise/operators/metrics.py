@@ -34,9 +34,13 @@ def binary_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
                          _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"))
 
 
+METRIC_NAMES = ("accuracy", "f1", "precision", "recall", "weighted_f1")
+
+
 def metrics_long(metrics: DataFrame, by: Sequence[str]) -> DataFrame:
-    """(by…, metric, value) from a wide metrics frame."""
-    return metrics.unpivot(list(by), ["accuracy", "f1", "precision", "recall"], "metric", "value")
+    """(by…, metric, value) from a wide metrics frame (every metric column present)."""
+    cols = [c for c in METRIC_NAMES if c in metrics.columns]
+    return metrics.unpivot(list(by), cols, "metric", "value")
 
 
 def fold_summary(long: DataFrame, by: Sequence[str]) -> DataFrame:

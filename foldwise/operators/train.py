@@ -57,7 +57,8 @@ def cross_validate(df: DataFrame, kind: str, params: Mapping | None, k: int, fol
                    parallelism: int = 4):
     """Fit on fold ≠ f, predict fold f (validation) and its own training rows (train).
 
-    Returns (metrics rows (fold, split, tp, fp, fn, tn, accuracy, precision, recall, f1),
+    Returns (metrics rows (fold, split, tp, fp, fn, tn, accuracy, precision, recall, f1,
+    weighted_f1),
     importance rows (fold, feature, importance), fold models).
     """
     spark = df.sparkSession
@@ -86,6 +87,7 @@ def cross_validate(df: DataFrame, kind: str, params: Mapping | None, k: int, fol
     for p in preds[1:]:
         allp = allp.unionByName(p)
     m = metrics.binary_metrics(metrics.confusion_counts(allp, "label", "pred", ["fold", "split"]), ["fold", "split"])
+    m = m.join(metrics.weighted_f1(allp, "label", "pred", ["fold", "split"]), ["fold", "split"])  # 2k rows each
     imp = imps[0]
     for i in imps[1:]:
         imp = imp.unionByName(i)
@@ -106,14 +108,21 @@ def importance_rows(spark: SparkSession, model, fold: int, feature_names: Sequen
 
 
 def search(df: DataFrame, kind: str, candidates: Sequence[Mapping], k: int, metric: str = "f1",
-           mode: str = "mean_minus_std_minus_gap", gap_lambda: float = 1.0, **cv_kw) -> tuple[DataFrame, DataFrame]:
+           mode: str = "mean_minus_std_minus_gap", gap_lambda: float = 1.0, candidate_parallelism: int = 2,
+           **cv_kw) -> tuple[DataFrame, DataFrame]:
     """Every candidate × fold on the same cached folds; selection score per candidate
     and the best one (F2, first candidate wins ties). Returns (scores, best)."""
     select.score_expr(mode, gap_lambda)  # fail before any job
-    rows = []
-    for i, params in enumerate(candidates):
+
+    def run(item):
+        i, params = item
         m, _, _ = cross_validate(df, kind, params, k, **cv_kw)
-        rows.append(metrics.metrics_long(m, ["fold", "split"]).withColumn("candidate", F.lit(i)))
+        return metrics.metrics_long(m, ["fold", "split"]).withColumn("candidate", F.lit(i))
+
+    # candidates are independent: their CVs are submitted concurrently (each CV already fits its
+    # folds concurrently), so the scheduler keeps the executors busy between small ML jobs
+    with ThreadPoolExecutor(max_workers=max(1, min(candidate_parallelism, len(candidates)))) as pool:
+        rows = list(pool.map(run, enumerate(candidates)))
     allm = rows[0]
     for r in rows[1:]:
         allm = allm.unionByName(r)

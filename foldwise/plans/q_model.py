@@ -380,8 +380,9 @@ def grid_search(spark, d):
 
 @query("random_search")
 def random_search(spark, d):
+    """Seeded random trials scored by weighted F1 over the folds."""
     scores, best = train.search(train_frame(spark, d), "gbt", train.random_candidates(SEARCH_SPACE, 3, SEED), K,
-                                weight="weight", feature_names=tx.FEATURE_NAMES)
+                                metric="weighted_f1", weight="weight", feature_names=tx.FEATURE_NAMES)
     return scores.join(best.select("candidate", F.lit(True).alias("is_best")), "candidate", "left") \
         .withColumn("is_best", F.coalesce("is_best", F.lit(False)))
 
