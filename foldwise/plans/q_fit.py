@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from foldwise.functions import exprs
 from foldwise.operators import bounds, impute
-from foldwise.plans.common import NUMERIC, TARGET, cleaned_profile, r6
+from foldwise.plans.common import TARGET, cleaned_profile, r6
 from foldwise.plans.registry import query
 from foldwise.plans.views_sql import with_views
 

@@ -74,13 +74,18 @@ def tracking_append(spark, d):
     return spark.read.option("mergeSchema", True).parquet(f"{base}/record")
 
 
-@query("result_json_scan")
+@query("result_json_scan", with_views(
+    "SELECT concat('exp_', lpad(CAST(candidate AS VARCHAR), 3, '0')) AS run, "
+    "CAST(NULL AS DOUBLE) AS mean_accuracy, round(avg(value), 6) AS mean_f1, CAST(NULL AS DOUBLE) AS mean_precision, "
+    "CAST(NULL AS DOUBLE) AS mean_recall, CAST(NULL AS DOUBLE) AS std_accuracy, round(stddev_pop(value), 6) AS std_f1, "
+    "CAST(NULL AS DOUBLE) AS std_precision, CAST(NULL AS DOUBLE) AS std_recall FROM m WHERE split = 'validation' "
+    "GROUP BY candidate", "m"))
 def result_json_scan(spark, d):
     """A9 + A11: one nested result record per run (metrics, per-fold lists, importance summary),
     written as JSON, then all of them read back with an explicit schema."""
     m = tables.cv_metrics(spark, d)
     by_cand = m.where(F.col("split") == "validation").groupBy("candidate").agg(
-        F.avg("value").alias("mean_f1"), F.stddev_pop("value").alias("std_f1"),
+        F.round(F.avg("value"), 6).alias("mean_f1"), F.round(F.stddev_pop("value"), 6).alias("std_f1"),
         F.sort_array(F.collect_list(F.struct("fold", "value"))).alias("_folds"))
     rec = by_cand.select(
         F.concat(F.lit("exp_"), F.lpad(F.col("candidate").cast("string"), 3, "0")).alias("run"),
@@ -90,7 +95,7 @@ def result_json_scan(spark, d):
                  .alias("cv_summary")).alias("feature_importance"))
     path = scratch_path(spark, "results_json")
     files.write_results_json(rec, path)
-    return files.read_results_json(spark, path)
+    return files.flatten_metrics(files.read_results_json(spark, path))
 
 
 @query("params_roundtrip", with_views(

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foldwise.operators import ensemble, fitting, folds, importance, metrics, select, weights
-from foldwise.plans.common import CP_SQL
 from foldwise.plans.registry import query
 from foldwise.plans.views_sql import with_views
 from foldwise.sources import tables

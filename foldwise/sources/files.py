@@ -7,7 +7,7 @@ its own part files and a lost executor only re-runs its tasks.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -112,7 +112,7 @@ def load_params(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def flatten_metrics(df: DataFrame, metrics: Mapping[str, str] | None = None) -> DataFrame:
-    """A11 helper: the eight mean/std metrics as plain columns."""
+def flatten_metrics(df: DataFrame) -> DataFrame:
+    """The eight mean/std metrics of each result as plain columns (absent keys → NULL)."""
     names = [f"{s}_{m}" for s in ("mean", "std") for m in ("accuracy", "f1", "precision", "recall")]
     return df.select("run", *names)
