@@ -20,9 +20,9 @@ TEXT = ["note"]
 ALL_NUMERIC = NUMERIC + LONG_TAIL + ORDINAL + ["raw_num"]
 
 
-def cleaned_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cleaned_profile(spark: SparkSession, sf_dir: str, with_note: bool = False) -> DataFrame:
     """A2 on the profile view: coerce the dirty number, encode the target, drop null targets."""
-    p = tables.profile(spark, sf_dir).withColumnRenamed("target_raw", TARGET)
+    p = tables.profile(spark, sf_dir, with_note).withColumnRenamed("target_raw", TARGET)
     return clean.load_and_clean(p, TARGET, TARGET_MAP, numeric=DIRTY)
 
 

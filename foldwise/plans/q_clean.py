@@ -78,7 +78,7 @@ SELECT id,
   coalesce(cat_a, 'Unknown') AS cat_a, coalesce(note, '') AS note
 FROM s""", "p"))
 def swap_and_fixed_clip(spark, d):
-    x = tables.profile(spark, d).select("id", "num_a", "num_b", "cat_a", "note")
+    x = tables.profile(spark, d, with_note=True).select("id", "num_a", "num_b", "cat_a", "note")
     x = clean.swap_when(x, "num_a", "num_b", F.col("num_a") < F.col("num_b"))
     x = bounds.clip_fixed(x, {"num_a": (100, 250), "num_b": (30, 200)})
     x = clean.fill_missing(x, {"cat_a": "Unknown", "note": ""})

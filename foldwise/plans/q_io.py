@@ -32,7 +32,7 @@ PROFILE_SCHEMA = T.StructType([
 def csv_roundtrip(spark, d):
     """A1: the profile written as CSV with NULLs as 'NA' and read back typed: NA tokens → NULL,
     '#NUM!' → NULL, doubles exact (shortest round-trip text)."""
-    p = tables.profile(spark, d)
+    p = tables.profile(spark, d, with_note=True)
     path = scratch_path(spark, "profile_csv")
     (p.write.mode("overwrite").option("header", True).option("nullValue", "NA")
       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
@@ -132,7 +132,7 @@ def model_roundtrip(spark, d):
 @query("profile_export")
 def profile_export(spark, d):
     """Describe and missing-value profiles exported as CSV, read back."""
-    p = tables.profile(spark, d)
+    p = tables.profile(spark, d, with_note=True)
     base = scratch_path(spark, "profile_export")
     files.write_csv(profile.describe(p, ["num_a", "num_b", "num_c"]), f"{base}/describe")
     files.write_csv(profile.null_profile(p, ["cat_a", "num_a", "num_b", "note"]), f"{base}/missing")

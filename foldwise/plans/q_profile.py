@@ -64,7 +64,7 @@ def top_categories(spark, d):
     f"WITH l AS ({long_sql('p', P_ALL, cast_double=False)})\n"
     "SELECT feature, count(DISTINCT value) AS n_distinct FROM l WHERE value IS NOT NULL GROUP BY feature", "p"))
 def distinct_counts(spark, d):
-    return profile.distinct_counts(tables.profile(spark, d), P_ALL)
+    return profile.distinct_counts(tables.profile(spark, d, with_note=True), P_ALL)
 
 
 _NULL_SQL = "SELECT feature, count(*) - count(value) AS null_count, count(value) AS non_null, " \
@@ -75,7 +75,7 @@ _NULL_SQL = "SELECT feature, count(*) - count(value) AS null_count, count(value)
     f"WITH l AS ({long_sql('p', P_ALL, cast_double=False)}),\nn AS ({_NULL_SQL})\n"
     "SELECT * FROM n WHERE null_count > 0", "p"))
 def null_profile(spark, d):
-    return profile.null_profile(tables.profile(spark, d), P_ALL)
+    return profile.null_profile(tables.profile(spark, d, with_note=True), P_ALL)
 
 
 _G_NUM = ["num_a", "num_b", "num_c", "long_tail", "ord_a"]

@@ -52,21 +52,24 @@ def _mod(c: str, k: int):
     return F.col(c) % F.lit(k)
 
 
-def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+def profile(spark: SparkSession, sf_dir: str, with_note: bool = False) -> DataFrame:
     """View P. Customer ⋈ nation ⋈ region, left ⋈ documents on doc_id = custkey.
 
     nation and region are fixed-size dimension tables (25 and 5 rows at every scale), so they
-    are broadcast. The document side is projected to the short note before the join so the
-    shuffle carries at most 60 characters per row.
+    are broadcast. The document join only feeds ``note``: it is made when ``with_note`` is set
+    (``doc_id`` is the documents key, so the left join never changes the row count), and the
+    document side is projected to the short note first so the shuffle carries at most 60
+    characters per row. Without it the view has no ``note`` column at all.
     """
     c = load(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"])
     n = load(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
     r = load(spark, sf_dir, "region", ["r_regionkey", "r_name"])
-    d = load(spark, sf_dir, "documents", ["doc_id", "text"]).select(
-        F.col("doc_id"), F.substring("text", 1, 60).alias("doc_note"))
     j = (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
-          .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey)
-          .join(d, F.col("doc_id") == F.col("c_custkey"), "left"))
+          .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey))
+    if with_note:
+        d = load(spark, sf_dir, "documents", ["doc_id", "text"]).select(
+            F.col("doc_id"), F.substring("text", 1, 60).alias("doc_note"))
+        j = j.join(d, F.col("doc_id") == F.col("c_custkey"), "left")
     key = "c_custkey"
     acct = F.col("c_acctbal")
     return j.select(
@@ -89,8 +92,8 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise((1 + _mod(key, 5)).cast("double")).alias("ord_a"),
         F.when(_mod(key, 13) == 0, F.lit("#NUM!"))
          .otherwise(_mod(key, 200).cast("string")).alias("raw_num"),
-        F.when(_mod(key, 5) == 0, F.lit(None).cast("string"))
-         .otherwise(F.col("doc_note")).alias("note"),
+        *([F.when(_mod(key, 5) == 0, F.lit(None).cast("string")).otherwise(F.col("doc_note")).alias("note")]
+          if with_note else []),
     )
 
 
