@@ -306,6 +306,6 @@ def fold_params(spark, d):
     x = materialize(folds.stratified_folds(cleaned_profile(spark, d).select("id", TARGET, *_NUM3), "id", TARGET, K, 42))
     q = fitting.fit_quantiles(x, _NUM3, [0.01, 0.99, 0.5], ["lower", "upper", "median"], "fold", K)
     m = fitting.fit_moments(x, _NUM3, "fold", K)
-    j = q.join(m, ["fold", "feature"])
+    j = q.join(F.broadcast(m), ["fold", "feature"])  # k × columns rows by construction
     return j.select(F.col("fold").cast("int").alias("fold"), "feature", *[r6(c).alias(c) for c in ("lower", "upper", "median", "mean")],
                     r6("std_pop").alias("std"), "n")
