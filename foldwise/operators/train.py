@@ -15,11 +15,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        RandomForestClassifier)
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.operators import ensemble, folds, metrics, select
+from foldwise.operators import ensemble, folds, metrics, resample, select
 
 FAMILIES = ("rf", "gbt", "tree", "svm")
 
@@ -51,12 +51,36 @@ def _with_stop_set(df: DataFrame, id_col: str, share: float, seed: int) -> DataF
     return df.withColumn("_is_val", folds.holdout_flag(id_col, share, seed + 1))
 
 
+def oversample_minority(tr: DataFrame, id_col: str = "id", label: str = "label", features: str = "features",
+                        k_neighbors: int = 5, seed: int = 42) -> DataFrame:
+    """J2 inside one training set: SMOTE rows for the smallest class up to the largest class.
+    Synthetic rows get negative ids (never equal to a real id) and no fold."""
+    counts = {r["c"]: r["n"] for r in tr.groupBy(F.col(label).alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(counts) < 2:
+        return tr
+    minority = min(counts, key=lambda c: (counts[c], c))
+    n_new = max(counts.values()) - counts[minority]
+    if n_new == 0 or counts[minority] < 2:
+        return tr
+    x = tr.withColumn("_arr", vector_to_array(features))
+    syn = resample.smote(x, id_col, "_arr", label, minority, n_new, k_neighbors, seed)
+    cols = {id_col: (-(F.col("base_id") * 1024 + F.col("j") + 1)).cast(tr.schema[id_col].dataType),
+            label: F.lit(minority).cast(tr.schema[label].dataType),
+            features: array_to_vector("vector")}
+    out = syn.select(*[cols[c].alias(c) if c in cols else F.lit(None).cast(tr.schema[c].dataType).alias(c)
+                       for c in tr.columns])
+    return tr.unionByName(out)
+
+
 def cross_validate(df: DataFrame, kind: str, params: Mapping | None, k: int, fold_col: str = "fold",
                    id_col: str = "id", label: str = "label", weight: str | None = None,
                    early_stopping: float | None = None, seed: int = 42, feature_names: Sequence[str] = (),
-                   parallelism: int = 4):
+                   parallelism: int = 4, oversample: bool = False):
     """Fit on fold ≠ f, predict fold f (validation) and its own training rows (train).
 
+    ``oversample`` adds SMOTE rows to each training set (J2); the train-split metrics are still
+    computed on the original, un-resampled training rows (S11).
+
     Returns (metrics rows (fold, split, tp, fp, fn, tn, accuracy, precision, recall, f1,
     weighted_f1),
     importance rows (fold, feature, importance), fold models).
@@ -65,6 +89,8 @@ def cross_validate(df: DataFrame, kind: str, params: Mapping | None, k: int, fol
 
     def fit_fold(f: int):
         tr = df.where(F.col(fold_col) != f)
+        if oversample:  # training rows of this fold only; scoring stays on the original rows
+            tr = oversample_minority(tr, id_col, label, seed=seed + f)
         vcol = None
         if early_stopping and kind == "gbt":
             tr = _with_stop_set(tr, id_col, early_stopping, seed)

@@ -349,6 +349,14 @@ query("train_tree")(_cv("tree"))
 query("train_svm")(_cv("svm"))
 
 
+@query("train_rf_smote")
+def train_rf_smote(spark, d):
+    """J1 + J2: CV where each training fold is over-sampled with SMOTE (no class weights)."""
+    m, _, _ = train.cross_validate(train_frame(spark, d), "rf", MODEL_PARAMS["rf"], K, oversample=True,
+                                   feature_names=tx.FEATURE_NAMES)
+    return m
+
+
 @query("cv_report")
 def cv_report(spark, d):
     """D22 over a real CV: mean and population std of each metric over folds, per split."""

@@ -68,3 +68,17 @@ def test_masked_pool_all_masked_key_is_zero(spark):
                                "k int, v array<double>, m double")
     got = {(r["k"], r["pos"]): r["value"] for r in vectors.mean_pool(df, ["k"], "v", "m").collect()}
     assert got == {(1, 0): 0.0, (1, 1): 0.0, (2, 0): 1.0, (2, 1): 1.0}
+
+
+def test_oversample_minority_balances_and_keeps_originals(spark):
+    from pyspark.ml.functions import array_to_vector
+    from foldwise.operators import train
+    rng = np.random.default_rng(1)
+    rows = [(i, 1 if i % 4 == 0 else 0, [float(x) for x in rng.normal(size=3)]) for i in range(80)]
+    df = spark.createDataFrame(rows, "id long, label int, v array<double>").select(
+        "id", "label", array_to_vector("v").alias("features"))
+    out = train.oversample_minority(df, seed=3).cache()
+    counts = {r["label"]: r["count"] for r in out.groupBy("label").count().collect()}
+    assert counts[0] == counts[1] == 60
+    assert out.where(F.col("id") >= 0).count() == 80
+    assert out.where(F.col("id") < 0).select("label").distinct().collect()[0]["label"] == 1
