@@ -24,8 +24,9 @@ def _r(c: Column, nd: int = 6) -> Column:
 # -- frequencies ----------------------------------------------------------------------------
 
 def freq_table(df: DataFrame, c: str) -> DataFrame:
-    """(value, n), NULL excluded. Ordering is applied by the caller when it matters."""
-    return df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    """(value, n), NULL excluded, most frequent first (ties by value)."""
+    return (df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+              .orderBy(F.desc("n"), F.asc("value")))
 
 
 def freq_ratio(df: DataFrame, c: str) -> DataFrame:
@@ -71,7 +72,8 @@ def null_profile(df: DataFrame, cols: Sequence[str], only_missing: bool = True)
     c = _count_long(df, cols).select(
         "feature", (F.col("total") - F.col("non_null")).alias("null_count"), "non_null",
         _r((F.col("total") - F.col("non_null")) * 100.0 / F.col("total")).alias("null_pct"))
-    return c.where(F.col("null_count") > 0) if only_missing else c
+    c = c.where(F.col("null_count") > 0) if only_missing else c
+    return c.orderBy(F.desc("null_pct"), F.asc("feature"))
 
 
 def null_grade(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
@@ -270,7 +272,7 @@ def corr_target(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """R of each feature with the target, plus |r| for ordering."""
     wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in cols])
     return wide.unpivot([], list(cols), "feature", "r").select(
-        "feature", _r(F.col("r")).alias("r"), _r(F.abs(F.col("r"))).alias("abs_r"))
+        "feature", _r(F.col("r")).alias("r"), _r(F.abs(F.col("r"))).alias("abs_r")).orderBy(F.desc("abs_r"), "feature")
 
 
 # -- group comparisons ----------------------------------------------------------------------
