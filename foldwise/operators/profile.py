@@ -327,4 +327,4 @@ def out_of_range_samples(df: DataFrame, cols: Sequence[str], by: str, bounds: Da
     j = j.where((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper")))
     w = Window.partitionBy(by, "feature").orderBy(id_col)
     return (j.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n)
-             .select(by, "feature", id_col, _r(F.col("value")).alias("value"), "rn"))
+             .select(by, "feature", id_col, _r(F.col("value")).alias("value"), F.col("rn").cast("long").alias("rn")))

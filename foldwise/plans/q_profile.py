@@ -211,8 +211,8 @@ def range_overlap(spark, d):
 
 # Parameter table of the fixture: given (target, feature) → (ref_lo, ref_hi).
 REF_RANGES = [(1, "num_a", 150.0, 200.0), (0, "num_a", 140.0, 190.0), (1, "num_b", 50.0, 90.0), (0, "num_b", 40.0, 80.0)]
-_REF_SQL = "r AS (SELECT * FROM (VALUES " + ", ".join(f"({t}, '{c}', {lo}, {hi})" for t, c, lo, hi in REF_RANGES) \
-           + ") AS r(target, feature, ref_lo, ref_hi))"
+_REF_SQL = ("r AS (SELECT target, feature, CAST(ref_lo AS DOUBLE) AS ref_lo, CAST(ref_hi AS DOUBLE) AS ref_hi FROM (VALUES "
+            + ", ".join(f"({t}, '{c}', {lo}, {hi})" for t, c, lo, hi in REF_RANGES) + ") AS r(target, feature, ref_lo, ref_hi))")
 
 
 def _ref(spark):

@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_mod
 from foldwise.sources.tables import TABLES
-from tools.oracle_check import _rows
+from tools.oracle_check import _rows, type_diffs
 
 from conftest import SF_SMALL
 
@@ -22,7 +22,9 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(entry_mod.oracle_sql()))
 def test_matches_duckdb(spark, con, name):
-    sp = entry_mod.queries()[name](spark, SF_SMALL).toPandas()
+    sdf = entry_mod.queries()[name](spark, SF_SMALL)
+    assert type_diffs(sdf, con.sql(entry_mod.oracle_sql()[name])) == []
+    sp = sdf.toPandas()
     dk = con.execute(entry_mod.oracle_sql()[name]).df()
     sc, sr = _rows(sp)
     dc, dr = _rows(dk)
