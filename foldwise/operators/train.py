@@ -19,7 +19,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.operators import ensemble, folds, metrics, resample, select
+from foldwise.operators import ensemble, folds, metrics, resample, select, weights
 
 FAMILIES = ("rf", "gbt", "tree", "svm")
 
@@ -51,11 +51,20 @@ def _with_stop_set(df: DataFrame, id_col: str, share: float, seed: int) -> DataF
     return df.withColumn("_is_val", folds.holdout_flag(id_col, share, seed + 1))
 
 
+def class_counts(df: DataFrame, label: str) -> dict:
+    """{class: rows}; one row per class, brought to the driver after a size check."""
+    rows = (df.groupBy(F.col(label).alias("c")).agg(F.count(F.lit(1)).alias("n"))
+              .limit(weights.MAX_CLASSES + 1).collect())
+    if len(rows) > weights.MAX_CLASSES:
+        raise ValueError(f"more than {weights.MAX_CLASSES} classes")
+    return {r["c"]: r["n"] for r in rows}
+
+
 def oversample_minority(tr: DataFrame, id_col: str = "id", label: str = "label", features: str = "features",
                         k_neighbors: int = 5, seed: int = 42) -> DataFrame:
     """J2 inside one training set: SMOTE rows for the smallest class up to the largest class.
     Synthetic rows get negative ids (never equal to a real id) and no fold."""
-    counts = {r["c"]: r["n"] for r in tr.groupBy(F.col(label).alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = class_counts(tr, label)
     if len(counts) < 2:
         return tr
     minority = min(counts, key=lambda c: (counts[c], c))

@@ -449,7 +449,7 @@ def smote_neighbours(spark, d):
 def smote_rows(spark, d):
     """Synthetic rows for the smallest class up to the size of the largest one."""
     e = tables.load(spark, d, "embeddings", ["vec_id", "label", "embedding"]).withColumnRenamed("vec_id", "id")
-    counts = {r["label"]: r["n"] for r in e.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per class
+    counts = train.class_counts(e, "label")
     minority = min(counts, key=lambda c: (counts[c], c))
     n_new = max(counts.values()) - counts[minority]
     return resample.smote(e, "id", "embedding", "label", minority, n_new, SMOTE_K)
