@@ -76,3 +76,42 @@ def test_exp_id_and_model_family(spark):
     assert [r["i"] for r in got] == [3, 12, -1, 7, None, 9]  # a missing name has no id
     assert [r["m"] for r in got] == ["CatBoost", "RandomForest", "Other", "LightGBM", "Unknown", "XGBoost"]
     assert got[3]["k"] == names.METHOD_NAMES["method1"] and got[0]["k"] is None
+
+
+def test_numeric_operators_match_numpy_pandas(spark):
+    import numpy as np
+    from foldwise.operators import bounds, impute, profile, scale
+    from foldwise.plans.common import cleaned_profile
+    from conftest import SF_MID
+    cols = ["num_a", "num_b", "num_c", "long_tail"]
+    x = cleaned_profile(spark, SF_MID).select("id", "target", "cat_a", "cat_b", *cols).cache()
+    pdf = x.toPandas().set_index("id").sort_index()
+    # clip bounds = np.nanpercentile(1, 99)
+    b = {r["feature"]: (r["lower"], r["upper"]) for r in bounds.fit_clip_bounds(x, cols).collect()}
+    for c in cols:
+        lo, hi = np.nanpercentile(pdf[c].to_numpy(dtype=float), [1, 99])
+        assert b[c] == pytest.approx((lo, hi))
+    # median / mean imputation = pandas median / mean
+    for strategy, fn in (("median", "median"), ("mean", "mean")):
+        got = impute.apply_fill(x, impute.fit_simple(x, cols, strategy)).toPandas().set_index("id").sort_index()
+        for c in cols:
+            exp = pdf[c].fillna(getattr(pdf[c], fn)())
+            assert np.allclose(got[c].to_numpy(dtype=float), exp.to_numpy(dtype=float))
+    # standard scaling with population std
+    got = scale.scale(x, ["num_c"], "standard").toPandas().set_index("id").sort_index()["num_c"]
+    exp = (pdf["num_c"] - pdf["num_c"].mean()) / pdf["num_c"].std(ddof=0)
+    assert np.allclose(got.to_numpy(dtype=float), exp.to_numpy(dtype=float), equal_nan=True)
+    # describe = pandas describe (sample std, linear quartiles)
+    d = {r["feature"]: r for r in profile.describe(x, cols).collect()}
+    for c in cols:
+        s = pdf[c].describe()
+        r = d[c]
+        assert (r["count"], r["mean"], r["std"], r["min"], r["q1"], r["median"], r["q3"], r["max"]) == pytest.approx(
+            (s["count"], s["mean"], s["std"], s["min"], s["25%"], s["50%"], s["75%"], s["max"]), abs=1e-6)
+    # grouped mean imputation: (cat_b, cat_a) → cat_b → global
+    params = impute.fit_group_means(x, "cat_b", "cat_a", ["num_a"])
+    got = impute.apply_group_means(x, params, "cat_b", "cat_a", ["num_a"]).toPandas().set_index("id").sort_index()["num_a"]
+    child = pdf.groupby(["cat_b", "cat_a"])["num_a"].transform("mean")
+    parent = pdf.groupby("cat_b")["num_a"].transform("mean")
+    exp = pdf["num_a"].fillna(child).fillna(parent).fillna(pdf["num_a"].mean())
+    assert np.allclose(got.to_numpy(dtype=float), exp.to_numpy(dtype=float))
