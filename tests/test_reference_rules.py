@@ -115,3 +115,39 @@ def test_numeric_operators_match_numpy_pandas(spark):
     parent = pdf.groupby("cat_b")["num_a"].transform("mean")
     exp = pdf["num_a"].fillna(child).fillna(parent).fillna(pdf["num_a"].mean())
     assert np.allclose(got.to_numpy(dtype=float), exp.to_numpy(dtype=float))
+
+
+def _py_ap(labels, scores):
+    # scikit-learn: thresholds at distinct scores, descending; AP = Σ (R_n − R_{n−1}) · P_n
+    pos = sum(labels)
+    ap, prev_r, tp, fp = 0.0, 0.0, 0, 0
+    for s in sorted(set(scores), reverse=True):
+        tp += sum(1 for y, sc in zip(labels, scores) if sc == s and y == 1)
+        fp += sum(1 for y, sc in zip(labels, scores) if sc == s and y != 1)
+        r = tp / pos
+        ap += (r - prev_r) * (tp / (tp + fp))
+        prev_r = r
+    return ap
+
+
+def test_metrics_match_sklearn_definitions(spark):
+    from foldwise.operators import metrics
+    from foldwise.sources import tables
+    from conftest import SF_MID
+    rp = tables.rule_predictions(spark, SF_MID).cache()
+    rows = rp.collect()
+    y, p, s = [r["label"] for r in rows], [r["pred"] for r in rows], [r["score"] for r in rows]
+    tp = sum(a == 1 and b == 1 for a, b in zip(y, p)); fp = sum(a == 0 and b == 1 for a, b in zip(y, p))
+    fn = sum(a == 1 and b == 0 for a, b in zip(y, p))
+    m = metrics.binary_metrics(metrics.confusion_counts(rp, "label", "pred")).collect()[0]
+    assert m["precision"] == pytest.approx(tp / (tp + fp)) and m["recall"] == pytest.approx(tp / (tp + fn))
+    assert m["f1"] == pytest.approx(2 * tp / (2 * tp + fp + fn))
+    f1s, sup = [], []
+    for c in (0, 1):
+        tpc = sum(a == c and b == c for a, b in zip(y, p)); npred = sum(b == c for b in p); nsup = sum(a == c for a in y)
+        pr = tpc / npred if npred else 0.0; rc = tpc / nsup if nsup else 0.0
+        f1s.append(2 * pr * rc / (pr + rc) if pr + rc else 0.0); sup.append(nsup)
+    w = metrics.weighted_f1(rp, "label", "pred").collect()[0]["weighted_f1"]
+    assert w == pytest.approx(sum(f * n for f, n in zip(f1s, sup)) / sum(sup))
+    ap = metrics.average_precision(metrics.pr_curve(rp, "label", "score")).collect()[0]["average_precision"]
+    assert ap == pytest.approx(_py_ap(y, s))
