@@ -190,3 +190,19 @@ def predict_vote(models: Sequence, df: DataFrame, id_col: str = "id") -> DataFra
     for p in parts[1:]:
         long = long.unionByName(p)
     return ensemble.majority_vote(long, id_col)
+
+
+def save_fold_models(models: Sequence, path: str) -> None:
+    """One saved model per fold under ``path/fold=<i>``."""
+    for i, m in enumerate(models):
+        m.write().overwrite().save(f"{path.rstrip('/')}/fold={i}")
+
+
+def load_fold_models(path: str, k: int, kind: str) -> list:
+    """The k fold models saved by :func:`save_fold_models`."""
+    from pyspark.ml.classification import (DecisionTreeClassificationModel, GBTClassificationModel,
+                                           LinearSVCModel, RandomForestClassificationModel)
+    cls = {"rf": RandomForestClassificationModel, "gbt": GBTClassificationModel,
+           "tree": DecisionTreeClassificationModel, "svm": LinearSVCModel}[kind]
+    return [cls.load(f"{path.rstrip('/')}/fold={i}") for i in range(k)]
+

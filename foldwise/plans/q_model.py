@@ -309,6 +309,7 @@ def prediction_counts(spark, d):
 
 from foldwise.functions import text as tx  # noqa: E402
 from foldwise.operators import train, vectors  # noqa: E402
+from foldwise.session import scratch_path  # noqa: E402
 from foldwise.plans.q_text import KEYWORDS_A, KEYWORDS_B, POSITIVE  # noqa: E402
 
 
@@ -405,9 +406,11 @@ def predict_full(spark, d):
 
 @query("predict_fold")
 def predict_fold(spark, d):
-    """The k fold models of a CV vote on the unlabelled documents."""
+    """The k fold models of a CV (saved and reloaded, A12) vote on the unlabelled documents."""
     _, _, models = train.cross_validate(train_frame(spark, d), "tree", MODEL_PARAMS["tree"], K, weight="weight")
-    return train.predict_vote(models, unlabelled_frame(spark, d))
+    path = scratch_path(spark, "fold-models")
+    train.save_fold_models(models, path)  # A12: per-fold models saved and loaded back
+    return train.predict_vote(train.load_fold_models(path, K, "tree"), unlabelled_frame(spark, d))
 
 
 @query("predict_all_runs")
