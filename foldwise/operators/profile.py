@@ -209,17 +209,22 @@ def range_overlap(df: DataFrame, cols: Sequence[str], by: Sequence[str], ranges:
                     share("n_bc", "n_b").alias("pct_bc"))
 
 
-def reference_range_impact(df: DataFrame, cols: Sequence[str], group: str, ref: DataFrame) -> DataFrame:
-    """Clip impact against *given* ranges per (group, feature) — ``ref`` is a parameter
-    table (group, feature, ref_lo, ref_hi) — with overall % and advice (<5 keep, <10 review,
-    else adjust)."""
+def reference_range_impact(df: DataFrame, cols: Sequence[str], group: str, ref: DataFrame,
+                           overall: bool = True) -> DataFrame:
+    """Share of values outside *given* ranges per (group, column) — ``ref`` is a parameter
+    table (group, column, ref_lo, ref_hi) — plus, with ``overall``, one row per column over all
+    groups (group 'ALL'; the group column is then text), from the same aggregation (grouping
+    sets); advice <5 keep, <10 review, else adjust."""
     lv = long_values(df, cols, [group]).where(F.col("value").isNotNull())
     j = lv.join(F.broadcast(ref), [group, "feature"])
-    g = j.groupBy(group, "feature").agg(
-        F.count(F.lit(1)).alias("valid_n"), F.count_if(F.col("value") < F.col("ref_lo")).alias("below"),
-        F.count_if(F.col("value") > F.col("ref_hi")).alias("above"))
+    aggs = [F.count(F.lit(1)).alias("valid_n"), F.count_if(F.col("value") < F.col("ref_lo")).alias("below"),
+            F.count_if(F.col("value") > F.col("ref_hi")).alias("above")]
+    g = (j.groupingSets([[group, "feature"], ["feature"]], group, "feature").agg(*aggs, F.grouping(group).alias("_all"))
+         if overall else j.groupBy(group, "feature").agg(*aggs))
     pct = (F.col("below") + F.col("above")) * 100.0 / F.col("valid_n")
-    return g.select(group, "feature", "valid_n", "below", "above", _r(pct).alias("outside_pct"),
+    grp = (F.when(F.col("_all") == 1, F.lit("ALL")).otherwise(F.col(group).cast("string")) if overall
+           else F.col(group))
+    return g.select(grp.alias(group), "feature", "valid_n", "below", "above", _r(pct).alias("outside_pct"),
                     F.when(pct < 5, "keep").when(pct < 10, "review").otherwise("adjust").alias("advice"))
 
 

@@ -221,9 +221,9 @@ def _ref(spark):
 
 @query("reference_range_impact", cp_sql(
     f"WITH l AS ({long_sql('cp', ['num_a', 'num_b'], ['target'])}),\n{_REF_SQL},\n"
-    "g AS (SELECT l.target, l.feature, count(*) AS valid_n, count(*) FILTER (WHERE value < ref_lo) AS below, "
+    "g AS (SELECT CASE WHEN grouping(l.target) = 1 THEN 'ALL' ELSE CAST(l.target AS VARCHAR) END AS target, l.feature, count(*) AS valid_n, count(*) FILTER (WHERE value < ref_lo) AS below, "
     "count(*) FILTER (WHERE value > ref_hi) AS above FROM l JOIN r ON l.target = r.target AND l.feature = r.feature "
-    "WHERE value IS NOT NULL GROUP BY l.target, l.feature)\n"
+    "WHERE value IS NOT NULL GROUP BY GROUPING SETS ((l.target, l.feature), (l.feature)))\n"
     "SELECT target, feature, valid_n, below, above, round((below + above) * 100.0 / valid_n, 6) AS outside_pct, "
     "CASE WHEN (below + above) * 100.0 / valid_n < 5 THEN 'keep' WHEN (below + above) * 100.0 / valid_n < 10 "
     "THEN 'review' ELSE 'adjust' END AS advice FROM g"))
