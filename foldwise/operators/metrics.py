@@ -108,3 +108,25 @@ def average_precision(curve: DataFrame) -> DataFrame:
     """AP = Σ (R_n − R_{n−1}) · P_n over thresholds; the recall step of a threshold is its
     own positives over all positives (``recall_step`` of :func:`pr_curve`)."""
     return curve.agg(F.sum(F.col("recall_step") * F.col("precision")).alias("average_precision"))
+
+
+def metrics_from_confusion(cm: DataFrame, by: Sequence[str], positive=1) -> DataFrame:
+    """Binary metrics (J11) and weighted F1 (J12) per group from a confusion table
+    (by…, label, pred, n) — a table of groups × classes² rows, so the predictions are
+    aggregated once and every metric is derived from that small table."""
+    y, p, n = F.col("label") == positive, F.col("pred") == positive, F.col("n")
+    counts = cm.groupBy(*by).agg(*[F.sum(F.when(c, n).otherwise(0)).alias(a) for a, c in
+                                   (("tp", y & p), ("fp", ~y & p), ("fn", y & ~p), ("tn", ~y & ~p))])
+    binary = binary_metrics(counts, by)
+    rows = cm.select(*by, "n", F.explode(F.array(
+        F.struct(F.col("label").alias("cls"), F.lit(1).alias("is_true"), (F.col("label") == F.col("pred")).cast("int").alias("hit")),
+        F.struct(F.col("pred").alias("cls"), F.lit(0).alias("is_true"), (F.col("label") == F.col("pred")).cast("int").alias("hit")),
+    )).alias("e")).select(*by, "n", "e.*")
+    pc = rows.groupBy(*by, "cls").agg(
+        F.sum(F.col("is_true") * F.col("n")).alias("support"), F.sum((1 - F.col("is_true")) * F.col("n")).alias("n_pred"),
+        F.sum(F.col("is_true") * F.col("hit") * F.col("n")).alias("tp_c"))
+    prec, rec = _ratio(F.col("tp_c"), F.col("n_pred")), _ratio(F.col("tp_c"), F.col("support"))
+    f1 = _ratio(2 * prec * rec, prec + rec)
+    wf = pc.groupBy(*by).agg((F.sum(f1 * F.col("support")) / F.sum("support")).alias("weighted_f1"))
+    return binary.join(wf, list(by))
+

@@ -121,8 +121,10 @@ def cross_validate(df: DataFrame, kind: str, params: Mapping | None, k: int, fol
     allp = preds[0]
     for p in preds[1:]:
         allp = allp.unionByName(p)
-    m = metrics.binary_metrics(metrics.confusion_counts(allp, "label", "pred", ["fold", "split"]), ["fold", "split"])
-    m = m.join(metrics.weighted_f1(allp, "label", "pred", ["fold", "split"]), ["fold", "split"])  # 2k rows each
+    # predictions are aggregated once into a (fold, split, label, pred) table of at most
+    # 2k · classes² rows; every metric is derived from it
+    cm = allp.groupBy("fold", "split", "label", "pred").agg(F.count(F.lit(1)).alias("n")).cache()
+    m = metrics.metrics_from_confusion(cm, ["fold", "split"])
     imp = imps[0]
     for i in imps[1:]:
         imp = imp.unionByName(i)

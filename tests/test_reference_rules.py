@@ -151,3 +151,19 @@ def test_metrics_match_sklearn_definitions(spark):
     assert w == pytest.approx(sum(f * n for f, n in zip(f1s, sup)) / sum(sup))
     ap = metrics.average_precision(metrics.pr_curve(rp, "label", "score")).collect()[0]["average_precision"]
     assert ap == pytest.approx(_py_ap(y, s))
+
+
+def test_metrics_from_confusion_equal_direct(spark):
+    from foldwise.operators import metrics
+    from foldwise.sources import tables
+    from conftest import SF_MID
+    rp = tables.rule_predictions(spark, SF_MID).withColumn("g", F.col("id") % 3)
+    direct = metrics.binary_metrics(metrics.confusion_counts(rp, "label", "pred", ["g"]), ["g"]) \\
+        .join(metrics.weighted_f1(rp, "label", "pred", ["g"]), "g")
+    cm = rp.groupBy("g", "label", "pred").agg(F.count(F.lit(1)).alias("n"))
+    via = metrics.metrics_from_confusion(cm, ["g"])
+    a = {r["g"]: r for r in direct.collect()}
+    b = {r["g"]: r for r in via.collect()}
+    for g in a:
+        for c in ("tp", "fp", "fn", "tn", "accuracy", "precision", "recall", "f1", "weighted_f1"):
+            assert a[g][c] == pytest.approx(b[g][c])
