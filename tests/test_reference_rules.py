@@ -158,8 +158,8 @@ def test_metrics_from_confusion_equal_direct(spark):
     from foldwise.sources import tables
     from conftest import SF_MID
     rp = tables.rule_predictions(spark, SF_MID).withColumn("g", F.col("id") % 3)
-    direct = metrics.binary_metrics(metrics.confusion_counts(rp, "label", "pred", ["g"]), ["g"]) \\
-        .join(metrics.weighted_f1(rp, "label", "pred", ["g"]), "g")
+    direct = metrics.binary_metrics(metrics.confusion_counts(rp, "label", "pred", ["g"]), ["g"]).join(
+        metrics.weighted_f1(rp, "label", "pred", ["g"]), "g")
     cm = rp.groupBy("g", "label", "pred").agg(F.count(F.lit(1)).alias("n"))
     via = metrics.metrics_from_confusion(cm, ["g"])
     a = {r["g"]: r for r in direct.collect()}
