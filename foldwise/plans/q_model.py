@@ -448,11 +448,38 @@ def smote_neighbours(spark, d):
                      F.round("distance", 6).alias("distance"))
 
 
-@query("smote_rows")
+_SMOTE_ROWS_SQL = f"""
+WITH e AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+cnt AS (SELECT label, count(*) AS n FROM e GROUP BY label),
+mino AS (SELECT label, n AS m FROM cnt ORDER BY n ASC, label ASC LIMIT 1),
+nn AS (SELECT (SELECT max(n) FROM cnt) - m AS n_new, m, least({SMOTE_K}, m - 1) AS k FROM mino),
+me AS (SELECT e.* FROM e JOIN mino ON e.label = mino.label),
+pairs AS (SELECT a.id, b.id AS nid,
+            sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda x: (x[1] - x[2]) * (x[1] - x[2])))) AS d
+          FROM me a JOIN me b ON a.id <> b.id),
+nb AS (SELECT id, nid, row_number() OVER (PARTITION BY id ORDER BY d, nid) AS rank FROM pairs),
+ord AS (SELECT id, v, row_number() OVER (ORDER BY CAST(('0x' || substr(md5(concat(CAST(id AS VARCHAR), ':{SEED}')), 1, 12))::BIGINT AS DOUBLE), id) AS r FROM me),
+cp AS (SELECT id, v, n_new // m + CASE WHEN r <= n_new % m THEN 1 ELSE 0 END AS copies, k FROM ord, nn),
+rw AS (SELECT id, v, k, unnest(range(copies)) AS j FROM cp WHERE copies > 0),
+u AS (SELECT id, v, CAST(j AS INTEGER) AS j,
+        CAST(floor(CAST(('0x' || substr(md5(concat_ws(':', CAST(id AS VARCHAR), CAST(j AS VARCHAR), '{SEED}', 'n')), 1, 8))::BIGINT AS DOUBLE) / 4294967296.0 * k) + 1 AS BIGINT) AS rank,
+        CAST(('0x' || substr(md5(concat_ws(':', CAST(id AS VARCHAR), CAST(j AS VARCHAR), '{SEED}', 'g')), 1, 8))::BIGINT AS DOUBLE) / 4294967296.0 AS gap
+      FROM rw),
+jn AS (SELECT u.id AS base_id, u.j, nb.nid AS neighbour_id, u.gap, u.v, n2.v AS nv
+       FROM u JOIN nb ON u.id = nb.id AND u.rank = nb.rank JOIN me n2 ON n2.id = nb.nid),
+ex AS (SELECT *, unnest(range(1, len(v) + 1)) AS p FROM jn)
+SELECT (SELECT label FROM mino) AS label, base_id, j, neighbour_id, round(gap, 6) AS gap, CAST(p - 1 AS INTEGER) AS pos,
+  round(v[p] + gap * (nv[p] - v[p]), 6) AS value FROM ex"""
+
+
+@query("smote_rows", _SMOTE_ROWS_SQL)
 def smote_rows(spark, d):
-    """Synthetic rows for the smallest class up to the size of the largest one."""
+    """Synthetic rows for the smallest class up to the size of the largest one, in long form
+    (one row per vector element)."""
     e = tables.load(spark, d, "embeddings", ["vec_id", "label", "embedding"]).withColumnRenamed("vec_id", "id")
     counts = train.class_counts(e, "label")
     minority = min(counts, key=lambda c: (counts[c], c))
     n_new = max(counts.values()) - counts[minority]
-    return resample.smote(e, "id", "embedding", "label", minority, n_new, SMOTE_K)
+    s = resample.smote(e, "id", "embedding", "label", minority, n_new, SMOTE_K, SEED)
+    return s.select("label", "base_id", "j", "neighbour_id", F.round("gap", 6).alias("gap"),
+                    F.posexplode("vector").alias("pos", "value")).withColumn("value", F.round("value", 6))
