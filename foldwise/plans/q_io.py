@@ -129,14 +129,23 @@ def model_roundtrip(spark, d):
     return loaded.transform(tf).select("id", "label", F.col("prediction").cast("int").alias("pred"))
 
 
-@query("profile_export")
+_DESCRIBE_SCHEMA = ("feature string, count long, mean double, std double, min double, q1 double, median double, "
+                    "q3 double, max double")
+
+
+@query("profile_export", with_views(
+    "WITH l AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS value FROM p" for c in ("num_a", "num_b", "num_c"))
+    + ")\nSELECT feature, count(value) AS count, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, "
+    "round(min(value), 6) AS min, round(quantile_cont(value, 0.25), 6) AS q1, round(quantile_cont(value, 0.5), 6) AS median, "
+    "round(quantile_cont(value, 0.75), 6) AS q3, round(max(value), 6) AS max FROM l GROUP BY feature", "p"))
 def profile_export(spark, d):
-    """Describe and missing-value profiles exported as CSV, read back."""
+    """Describe and missing-value profiles exported as CSV; the describe table is read back
+    with its schema (A1) and equals the in-memory one."""
     p = tables.profile(spark, d, with_note=True)
     base = scratch_path(spark, "profile_export")
     files.write_csv(profile.describe(p, ["num_a", "num_b", "num_c"]), f"{base}/describe")
     files.write_csv(profile.null_profile(p, ["cat_a", "num_a", "num_b", "note"]), f"{base}/missing")
-    return spark.read.option("header", True).option("inferSchema", False).csv(f"{base}/describe")
+    return spark.read.option("header", True).schema(_DESCRIBE_SCHEMA).csv(f"{base}/describe")
 
 
 @query("confusion_export", with_views("SELECT label, pred, count(*) AS n FROM rp GROUP BY label, pred", "rp"))
