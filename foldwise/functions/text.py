@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 # Fixed character classes (Unicode-aware, same meaning in Java and RE2 regex dialects).
 WORD_RUN = r"[\p{L}\p{N}_]+"
 WHITESPACE = r"[\t\n\x0B\f\r\x1C-\x1F\x{85}\p{Z}]"
+NON_WHITESPACE_RUN = r"[^\t\n\x0B\f\r\x1C-\x1F\x{85}\p{Z}]+"
 CJK = r"[\x{4E00}-\x{9FFF}]"
 UPPER = r"\p{Lu}"
 DIGIT = r"\p{Nd}"
@@ -47,12 +48,17 @@ def count_matches(t: Column, pattern: str) -> Column:
     return F.regexp_count(t, F.lit(pattern))
 
 
-def _count_in(runs: Column, vocab: Sequence[str]) -> Column:
-    vocab = [w.lower() for w in vocab]
+def _run_pattern(vocab: Sequence[str]) -> str:
+    """Regex matching a whole word run equal to one of ``vocab`` (no word character on either
+    side) — a match is exactly a maximal run equal to the word."""
+    alt = "|".join(r"\Q" + w.lower() + r"\E" for w in vocab)
+    return rf"(?<![\p{{L}}\p{{N}}_])(?:{alt})(?![\p{{L}}\p{{N}}_])"
+
+
+def _count_in(lower_t: Column, vocab: Sequence[str]) -> Column:
     if not vocab:
         return F.lit(0)
-    arr = F.array(*[F.lit(w) for w in vocab])
-    return F.size(F.filter(runs, lambda w: F.array_contains(arr, w)))
+    return F.regexp_count(lower_t, F.lit(_run_pattern(vocab)))
 
 
 def handcrafted(text_col: str, keywords_a: Sequence[str], keywords_b: Sequence[str],
@@ -63,13 +69,13 @@ def handcrafted(text_col: str, keywords_a: Sequence[str], keywords_b: Sequence[s
     (``I``, ``I'm`` and ``I am`` all contain the standalone run ``i``).
     """
     t = safe_text(text_col)
+    low = F.lower(t)
     n = F.length(t)
-    ws = words(t)
-    wc = F.size(ws)
-    runs = word_runs(t)
+    # all counts are codegen'd regex scans (no per-token lambdas): words are maximal
+    # non-whitespace runs, so their total length is the number of non-whitespace characters
+    wc = count_matches(t, NON_WHITESPACE_RUN)
     denom = F.greatest(n, F.lit(1)).cast("double")
-    avg_len = F.when(wc > 0, F.aggregate(F.transform(ws, lambda w: F.length(w)), F.lit(0),
-                                         lambda acc, x: acc + x) / wc).otherwise(F.lit(0.0))
+    avg_len = F.when(wc > 0, (n - count_matches(t, WHITESPACE)) / wc).otherwise(F.lit(0.0))
     feats = [
         n,
         wc,
@@ -78,12 +84,12 @@ def handcrafted(text_col: str, keywords_a: Sequence[str], keywords_b: Sequence[s
         count_matches(t, CJK) / denom,
         count_matches(t, UPPER) / denom,
         count_matches(t, PUNCT),
-        _count_in(runs, self_words) > 0,
-        _count_in(runs, keywords_a) > 0,
-        _count_in(runs, keywords_b) > 0,
-        _count_in(runs, positive_words),
+        _count_in(low, self_words) > 0,
+        _count_in(low, keywords_a) > 0,
+        _count_in(low, keywords_b) > 0,
+        _count_in(low, positive_words),
         F.regexp_like(t, F.lit(r"\." + WHITESPACE + r"*\z")),
-        (t == F.lower(t)) & (n > 0),
+        (t == low) & (n > 0),
         F.regexp_like(t, F.lit(DIGIT)),
         (n > 0) & (n <= 8) & ~F.contains(t, F.lit(" ")),
     ]
