@@ -65,7 +65,9 @@ def hashed_text_embedding(df: DataFrame, id_col: str, text_col: str, dim: int =
     # functions was measured 10–20× slower: lambdas are interpreted, per token × dimension.)
     # bucket = xxhash64(token, seed) mod dim.
     tok = df.select(F.col(id_col).alias("_id"), F.explode_outer(word_runs(safe_text(text_col))).alias("_t"))
-    tok = tok.select("_id", F.pmod(F.xxhash64(F.col("_t"), F.lit(seed)), F.lit(dim)).cast("int").alias("_b"))
+    # (xxhash64 of NULL is not NULL: the placeholder row of a token-less document stays NULL)
+    tok = tok.select("_id", F.when(F.col("_t").isNotNull(),
+                                   F.pmod(F.xxhash64(F.col("_t"), F.lit(seed)), F.lit(dim)).cast("int")).alias("_b"))
     x = tok.groupBy("_id").agg(F.count("_b").alias("_n"),
                                *[F.count_if(F.col("_b") == i).alias(f"_c{i}") for i in range(dim)])
     n = F.greatest(F.col("_n"), F.lit(1)).cast("double")
