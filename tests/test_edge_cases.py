@@ -157,3 +157,27 @@ def test_group_constants_keyed_by_encoded_target(spark):
     df = spark.createDataFrame([(1, None), (0, None), (None, None), (1, 5.0)], "target int, x double")
     out = [r["x"] for r in impute.fill_constant_by_group(df, "target", {1: {"x": 10.0}, 0: {"x": 20.0}}, ["x"]).collect()]
     assert out == [10.0, 20.0, 15.0, 5.0]
+
+
+def test_tracking_ids_and_new_names(spark):
+    import datetime as dt
+    runs = spark.createDataFrame([(1, "notes", dt.datetime(2020, 1, 2)), (2, "misc", dt.datetime(2020, 1, 1))],
+                                 "run_id long, run_name string, ts timestamp")
+    assert tracking.next_run_id(runs).collect()[0]["next_run_id"] == 1
+    runs2 = spark.createDataFrame([(1, "exp_009_a", dt.datetime(2020, 1, 2)), (2, "exp_010_b", dt.datetime(2020, 1, 1))],
+                                  "run_id long, run_name string, ts timestamp")
+    r = tracking.newest_run(runs2).collect()[0]
+    assert (r["newest_by_id"], r["newest_by_time"]) == ("exp_010_b", "exp_009_a")
+    assert tracking.next_run_id(runs2).collect()[0]["next_run_id"] == 11
+    after = spark.createDataFrame([("a",), ("b",), ("b",)], "n string")
+    before = spark.createDataFrame([("a",)], "n string")
+    assert [x["n"] for x in tracking.new_keys(after, before, "n").collect()] == ["b"]
+
+
+def test_anomaly_rules_and_flags_ignore_nulls(spark):
+    df = spark.createDataFrame([(-1.0, 0.0), (None, 5.0), (3.0, None)], "a double, b double")
+    out = {(r["feature"], r["rule"]): r for r in clean.anomaly_rules(df, {"a": {"negative": True}, "b": {"zero": True, "max": 4}}).collect()}
+    assert out[("a", "negative")]["n_violations"] == 1 and out[("a", "negative")]["min_violating"] == -1.0
+    assert out[("b", "zero")]["n_violations"] == 1 and out[("b", "out_of_range")]["max_violating"] == 5.0
+    f = clean.outlier_flags(df, low={"a": 0}, high={"b": 4}).collect()
+    assert [x["outlier_count"] for x in f] == [1, 1, 0]
