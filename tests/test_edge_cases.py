@@ -181,3 +181,25 @@ def test_anomaly_rules_and_flags_ignore_nulls(spark):
     assert out[("b", "zero")]["n_violations"] == 1 and out[("b", "out_of_range")]["max_violating"] == 5.0
     f = clean.outlier_flags(df, low={"a": 0}, high={"b": 4}).collect()
     assert [x["outlier_count"] for x in f] == [1, 1, 0]
+
+
+def test_selection_modes_and_first_candidate_wins(spark):
+    import statistics
+    from foldwise.operators import select
+    rows = []
+    for cand, vals, train in ((0, [0.8, 0.9], [0.95, 0.95]), (1, [0.85, 0.85], [0.8, 0.8]), (2, [0.8, 0.9], [0.95, 0.95])):
+        rows += [(cand, f, "validation", "f1", v) for f, v in enumerate(vals)]
+        rows += [(cand, f, "train", "f1", v) for f, v in enumerate(train)]
+    m = spark.createDataFrame(rows, "candidate int, fold int, split string, metric string, value double")
+    s = {r["candidate"]: r for r in select.selection_scores(m, gap_lambda=2.0).collect()}
+    mean, std, gap = 0.85, statistics.pstdev([0.8, 0.9]), 0.1
+    assert s[0]["score_mean"] == pytest.approx(mean)
+    assert s[0]["score_mean_minus_std"] == pytest.approx(mean - std)
+    assert s[0]["score_mean_minus_half_std"] == pytest.approx(mean - 0.5 * std)
+    assert s[0]["score_mean_minus_std_minus_gap"] == pytest.approx(mean - std - 2.0 * gap)
+    assert s[0]["score_mean_minus_half_std_minus_gap"] == pytest.approx(mean - 0.5 * std - 2.0 * gap)
+    assert s[1]["gap"] == 0.0  # train below validation → no overfit penalty
+    best = select.best_by(select.selection_scores(m, modes=["mean"]), "score_mean", "candidate").collect()[0]
+    assert best["candidate"] == 0  # 0 and 2 tie on the mean (and 1 too): the first candidate wins
+    with pytest.raises(ValueError):
+        select.selection_scores(m, modes=["median"])
