@@ -309,3 +309,43 @@ def fold_params(spark, d):
     j = q.join(F.broadcast(m), ["fold", "feature"])  # k × columns rows by construction
     return j.select(F.col("fold").cast("int").alias("fold"), "feature", *[r6(c).alias(c) for c in ("lower", "upper", "median", "mean")],
                     r6("std_pop").alias("std"), "n")
+
+
+# -- I19 role-based design matrix (numeric / long-tail / categorical / ordinal roles) ----------
+
+from foldwise.plans.registry import ORACLE  # noqa: E402
+from foldwise.plans.views_sql import VIEW_SQL  # noqa: E402
+
+_ROLE_NUM, _ROLE_LOG, _ROLE_ORD, _ROLE_CAT = ["num_a", "num_b", "num_c"], ["long_tail"], ["ord_a"], ["cat_a", "cat_b"]
+
+
+def _design_sql() -> str:
+    cats = " UNION ALL ".join(f"SELECT DISTINCT '{c}' AS f, {c} AS c FROM cp WHERE {c} IS NOT NULL" for c in _ROLE_CAT)
+    match = " OR ".join(f"(k.f = '{c}' AND cp.{c} = k.c)" for c in _ROLE_CAT)
+    onehot = (f"WITH p AS ({VIEW_SQL['p']}), {CP_SQL}, k AS ({cats})\n"
+              f"SELECT cp.id, concat('cat__', k.f, '_', k.c) AS feature, CASE WHEN {match} THEN 1.0 ELSE 0.0 END AS value "
+              "FROM cp CROSS JOIN k")
+    return (f"WITH nc AS ({ORACLE['numeric_chain']}),\nlc AS ({ORACLE['longtail_chain']}),\noc AS ({ORACLE['ordinal_chain']}),\n"
+            f"oh AS ({onehot})\n"
+            "SELECT id, concat('num__', feature) AS feature, value FROM (UNPIVOT nc ON num_a, num_b, num_c INTO NAME feature VALUE value) "
+            "UNION ALL SELECT id, 'log__long_tail', long_tail FROM lc "
+            "UNION ALL SELECT id, 'ord__ord_a', ord_a FROM oc "
+            "UNION ALL SELECT id, feature, value FROM oh")
+
+
+@query("design_matrix", _design_sql())
+def design_matrix(spark, d):
+    """The profile through its role chains — numeric (impute → clip → scale), long tail
+    (impute → lower clip → log1p → scale), ordinal (impute), categorical (one-hot) — as
+    (id, feature, value) with role-prefixed output names."""
+    x = cleaned_profile(spark, d).select("id", *_ROLE_NUM, *_ROLE_LOG, *_ROLE_ORD, *_ROLE_CAT)
+    x = scale.numeric_chain(x, _ROLE_NUM)
+    x = scale.longtail_chain(x, _ROLE_LOG)
+    x = scale.ordinal_chain(x, _ROLE_ORD)
+    cats = encode.one_hot_columns(encode.fit_one_hot(x, _ROLE_CAT))
+    x = encode.apply_one_hot(x, cats, prefix="cat__")
+    renamed = {**{c: f"num__{c}" for c in _ROLE_NUM}, **{c: f"log__{c}" for c in _ROLE_LOG},
+               **{c: f"ord__{c}" for c in _ROLE_ORD}}
+    x = x.select("id", *[F.col(c).alias(renamed.get(c, c)) for c in x.columns if c != "id"])
+    feats = [c for c in x.columns if c != "id"]
+    return x.unpivot(["id"], feats, "feature", "value").select("id", "feature", r6("value").alias("value"))
