@@ -36,3 +36,10 @@ def test_matches_duckdb(spark, con, name):
 def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     assert df.count() >= 0 and "target" in df.columns
+
+
+def test_entry_schema_is_stable(spark):
+    a, b = entry_mod.entry(spark), entry_mod.entry(spark)
+    assert a.schema == b.schema
+    assert [f.name for f in a.schema.fields] == ["target", "n", "mean_num_a", "mean_num_b", "mean_ratio", "mean_bmi"]
+    assert a.count() == 2
