@@ -161,3 +161,10 @@ def test_hot_key_holding_a_third_of_rows(spark):
                      F.col("id").alias("ts"), F.lit("success").alias("status"))
     last = {r["config_file"]: r["run_id"] for r in tracking.latest_per_key(runs, "config_file").collect()}
     assert last["0"] == 5997
+
+
+def test_stream_query_leaves_no_active_stream(spark):
+    import __spark_entry__ as entry_mod
+    df = entry_mod.queries()["stream_apply"](spark, SF_SMALL)
+    assert df.count() > 0
+    assert spark.streams.active == []
