@@ -33,7 +33,7 @@ from foldwise.llm.common import map_batches, written
 from foldwise.llm.tokens import encoder
 
 #: Rows of one length that one ranking task sorts, about.
-BUCKET_ROWS = 200_000
+BUCKET_ROWS = 10_000
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:

@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foldwise.llm import bpe, packing, token_records
+from foldwise.llm import (bpe, html_density, jaccard_join, langid, packing, pii, sampling_fingerprint, token_records,
+                          toxicity, vector_dedup)
 from foldwise.llm.common import table
 from foldwise.session import scratch_path
 
@@ -29,11 +30,70 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+#: For the registered queries only; a deployment passes its own secret.
+PII_KEY = "foldwise"
+
+
+@query("op1_pii_pseudonyms")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return pii.pseudonymize(docs, PII_KEY).select("doc_id", "text", "pii_values", "pii_kinds")
+
+
+@query("op2_sampling_fingerprint")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling_fingerprint.fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op3_bpe_tree")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents", "doc_id", "text"), BYTE_RANKS, public_tokenizers.PATTERN, with_ids=False)
 
 
+JACCARD_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+           w -> w <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
+tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny, count(*) AS k
+  FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM common WHERE 100 * k >= 80 * (nx + ny - k)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(v, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.v, e.y FROM reach JOIN both_ways e ON e.x = reach.r)
+SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(r) AS component_id
+FROM sets JOIN reach ON reach.v = sets.doc_id GROUP BY sets.doc_id, s
+"""
+
+
+@query("op4_ngram_jaccard_join", JACCARD_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), 5, 80)
+
+
+VECTOR_SQL = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b
+  ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reach(v, r) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.v, e.y FROM reach JOIN links e ON e.x = reach.r),
+least AS (SELECT v, min(r) AS component_id FROM reach GROUP BY v),
+counts AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN least ON least.v = e.vec_id LEFT JOIN counts ON counts.x = e.vec_id
+"""
+
+
+@query("op5_vector_dedup", VECTOR_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), 0.95)
+
+
 @query("op6_token_records")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-records")
@@ -41,6 +101,23 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.document_digests(token_records.write_index(spark, path))
 
 
+@query("op7_html_density")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_density.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+@query("op8_language_id")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    network = langid.fit(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+    return langid.predict(table(spark, sf_dir, "documents", "doc_id", "text"), network)
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic")))
+
+
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), BYTE_JSON, END_ID, 1024)
