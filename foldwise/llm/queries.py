@@ -54,10 +54,10 @@ JACCARD_SQL = """
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
-           w -> w <> '') AS w FROM documents),
+           lambda w: w <> '') AS w FROM documents),
 sets AS (
   SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
 tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
 common AS (SELECT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny, count(*) AS k
   FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY ALL),
@@ -77,8 +77,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 VECTOR_SQL = """
 WITH RECURSIVE good AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b
   ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
 reach(v, r) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.v, e.y FROM reach JOIN links e ON e.x = reach.r),

@@ -119,7 +119,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     full = rows.join(heads, "id").withColumn("third", F.expr("n div 3").cast("int")).withColumn(
         "edited", F.expr("concat(substring(text, 1, n - third), substring(head, 1, third))"))
 
-    sides = full.select("id", "copy", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("text").alias("t")), F.struct(F.lit(1), F.col("edited")))).alias("s"))
+    sides = full.select("id", "copy", F.expr("explode(array(named_struct('side', 0, 't', text), named_struct('side', 1, 't', edited)))").alias("s"))
     terms = (sides.select("id", "copy", "s.side", words(F.col("s.t")).alias("found")).where("found is not null")
              .select("id", "copy", "side", F.inline(shingles(F.col("found")))))
     counted = (terms.select("id", "copy", "side", F.xxhash64(*(f"w{k}" for k in range(WORDS))).alias("z")).groupBy("id", "copy", "z")
@@ -134,9 +134,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
            .select("id", "samples", F.explode("facts").alias("fact")).select("id", "fact", of("c0").alias("a"), of("c1").alias("e")))
     # each document's samples also go to the one document that it is next to
     before = order.select(F.col("next_id").alias("id"), F.col("id").alias("for_id"))
-    sent = (own.join(before, "id").select(F.explode(F.array(
-        F.struct(F.col("id").alias("to"), F.lit(0).alias("kind"), "fact", "a", "e"),
-        F.struct(F.when(F.col("fact.copy") == 1, F.col("for_id")), F.lit(1), "fact", "a", F.lit(None).cast("array<int>")))).alias("r"))
+    sent = (own.join(before, "id").select(F.expr("""explode(array(
+        named_struct('to', id, 'kind', 0, 'fact', fact, 'a', a, 'e', e),
+        named_struct('to', if(fact.copy = 1, for_id, null), 'kind', 1, 'fact', null, 'a', a, 'e', null)))""").alias("r"))
         .where("r.to is not null").groupBy(F.col("r.to").alias("id")).agg(F.collect_list("r").alias("all")))
     final = sent.select("id", F.expr("filter(all, r -> r.kind = 1)[0].a").alias("next"), F.explode(F.expr("filter(all, r -> r.kind = 0)")).alias("r"))
     return final.select(
