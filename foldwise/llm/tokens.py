@@ -21,17 +21,43 @@ _UNIT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 _WHOLE = re.compile("[\u0300-\u036f]|<\\|")
 
 
+#: A word of ASCII and Latin-1 letters, then ASCII marks other than the apostrophe: two matches of the
+#: splitting patterns, and the word holds nothing that normalisation changes but its case.
+_SIMPLE = re.compile(r"( ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def byte_letters() -> dict[int, str]:
+    """The printable character that byte-level vocabularies write for each byte."""
+    kept = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    other = [b for b in range(256) if b not in kept]
+    return {b: chr(b) for b in kept} | {b: chr(256 + k) for k, b in enumerate(other)}
+
+
+_LETTERS = byte_letters()
+
+
 class _Known(dict):
-    """Unit → packed ids; a unit not seen yet goes through the library."""
+    """Unit → packed ids; a unit not seen yet goes through the library. A simple word goes straight to
+    the vocabulary's model, which saves the normalising and splitting that leave it as it is."""
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, keep_space: bool):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model, self.keep_space = tokenizer, tokenizer.model, keep_space
 
     def __missing__(self, unit) -> bytes:
-        text = unit.decode() if isinstance(unit, bytes) else unit
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        self[unit] = packed = struct.pack(f"<{len(ids)}I", *ids)
+        text = unit if self.keep_space else unit.decode()
+        simple = _SIMPLE.fullmatch(text)
+        if not simple:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+        elif simple[2]:
+            word, marks = simple.groups()
+            packed = self[word] + self[marks] if self.keep_space else self[word.encode()] + self[marks.encode()]
+        else:
+            word = text if self.keep_space else text.lower()
+            ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_LETTERS))]
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+        self[unit] = packed
         return packed
 
 
@@ -50,7 +76,7 @@ class UnitEncoder:
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.keep_space, self.max_units, self.known = keep_space, max_units, _Known(tokenizer)
+        self.keep_space, self.max_units, self.known = keep_space, max_units, _Known(tokenizer, keep_space)
 
     def encode(self, text: str | None) -> bytes:
         """The ids of one whole text (null: none)."""
