@@ -15,6 +15,7 @@ Training reads a bounded sample (``SAMPLE_ROWS`` labelled documents by the order
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -184,11 +185,14 @@ def fit(docs: DataFrame) -> Network | None:
     return train([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
-def predict(docs: DataFrame, network: Network | None) -> DataFrame:
+def predict(docs: DataFrame, network: Network | None, keep: Sequence[str] = ()) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for every row of ``docs`` (doc_id, text): the language of
     greatest mean probability and that probability. Null texts and texts without a letter get
     ``und`` and 0, as do all texts if there was nothing to learn from. Ties take the first language
-    by name; repeated rows stay; an empty table gives an empty result."""
+    by name; repeated rows stay; an empty table gives an empty result. With ``keep``, the text and those columns of
+    ``docs`` are returned as well."""
+
+    carried = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in (["text", *keep] if keep else []))
 
     def run(batch: pa.RecordBatch) -> dict:
         texts = batch.column(1).to_pylist()
@@ -200,8 +204,8 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
             score[at] = np.clip(p.max(axis=1), 0, 1)
             for i, k in zip(at, p.argmax(axis=1)):
                 label[i] = network.languages[k]
-        return {"doc_id": batch.column(0), "held_out": batch.column(2), "lang_pred": label, "score": score}
+        return dict(zip(batch.schema.names, batch.columns)) | {"held_out": batch.column(2), "lang_pred": label, "score": score}
 
     # the null check is all that prediction needs of the keys; lang and source never reach it
-    return map_batches(docs.select(F.col("doc_id").cast("long"), "text", held_out(F.col("doc_id")).alias("held_out")),
-                       "doc_id long, held_out boolean, lang_pred string, score double", run)
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text", held_out(F.col("doc_id")).alias("held_out"), *keep),
+                       "doc_id long, held_out boolean, lang_pred string, score double" + carried, run)

@@ -7,8 +7,8 @@ documents, and behind them the ordinary dictionary's content. So ordinary text i
 dictionary, and the difference of the two compressed lengths of a window is what toxic passages save.
 
 A document is cut into windows of ``WINDOW`` bytes, whole words each, and every window is
-compressed twice. The differences' greatest values and their sum go through thresholds that a
-logistic fit calibrates on sample rows which the dictionaries haven't seen.
+compressed twice. The greatest differences, and how many pass a threshold, go through a logistic fit that is
+calibrated on sample rows which the dictionaries haven't seen.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,13 +28,14 @@ from pyspark.sql import functions as F
 from foldwise.llm.common import map_batches
 
 WINDOW = 96
-LEVEL = 3
-ORDINARY_BYTES = 16_384
+LEVEL = 5
+ORDINARY_BYTES = 14_000
 #: Bounds of the training sample: labelled documents, of at most so many bytes each.
 SAMPLE_ROWS = 12_000
 SAMPLE_BYTES = 32_768
-#: A toxic word has at least so many different contexts, and so many times its share in ordinary text.
-LEAST_CONTEXTS, LEAST_RATIO = 4, 15
+#: A toxic word has so many times its share in ordinary text, and so many different contexts that of all
+#: words fewer than CHANCE would have them in toxic text only, if they fell there by the texts' sizes.
+LEAST_RATIO, CHANCE = 15, 0.1
 #: Of the sample, the dictionaries learn from this share; the rest calibrates.
 DICTIONARY_SHARE = 0.65
 _WORD = re.compile(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
@@ -50,8 +52,9 @@ def toxic_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     rather than occurrences keeps copies of a text from making its words look frequent."""
     sizes = [max(1, sum(map(len, texts))) for texts in (toxic, ordinary)]
     seen = [Counter(w for t in texts for w in set(_WORD.findall(t))) for texts in (toxic, ordinary)]
-    ratio = lambda a, b: a / sizes[0] >= LEAST_RATIO * (b + 0.5) / sizes[1]
-    likely = {w for w, n in seen[0].items() if n >= LEAST_CONTEXTS and ratio(n, 0)}
+    least = math.ceil(math.log(max(2, len(seen[0] | seen[1])) / CHANCE) / math.log(sum(sizes) / sizes[0]))
+    ratio = lambda a, b: a >= least and a / sizes[0] >= LEAST_RATIO * (b + 0.5) / sizes[1]
+    likely = {w for w, n in seen[0].items() if ratio(n, 0)}
     contexts: list[dict] = [defaultdict(set), defaultdict(set)]
     for found, texts in zip(contexts, (toxic, ordinary)):
         for t in texts:
@@ -60,7 +63,7 @@ def toxic_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
                 if w in likely:
                     found[w].add((words[i - 1] if i else b"", words[i + 1] if i + 1 < len(words) else b""))
     counts = {w: len(c) for w, c in contexts[0].items()}
-    chosen = [w for w, n in counts.items() if n >= LEAST_CONTEXTS and ratio(n, len(contexts[1].get(w, ())))]
+    chosen = [w for w, n in counts.items() if ratio(n, len(contexts[1].get(w, ())))]
     return sorted(chosen, key=lambda w: (counts[w], w))
 
 
@@ -101,12 +104,12 @@ def _compressors(model: Model) -> tuple:
 
 
 def features(model: Model, text: str | None) -> list[float]:
-    """The greatest two savings by the toxic dictionary, and the logarithm of all savings above 2."""
+    """The greatest three savings by the toxic dictionary, and logarithms of how many exceed 3 bytes and of
+    the number of windows: the more there are, the more one of them saves by chance."""
     plain, toxic = _compressors(model)
     saved = [len(plain.compress(w)) - len(toxic.compress(w)) for w in windows(text)]
-    top = sorted(saved)[-2:]
-    first, second = (top[-1], top[0] if len(top) > 1 else 0) if top else (0, 0)
-    return [max(first, 0), max(second, 0), math.log1p(sum(s for s in saved if s > 2))]
+    top = [*sorted((max(x, 0) for x in saved), reverse=True)[:3], 0, 0, 0]
+    return [*top[:3], math.log1p(sum(x > 3 for x in saved)), math.log1p(len(saved))]
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
@@ -131,8 +134,11 @@ def train(texts: list[str], toxic: list[int]) -> Model | None:
         return None
     if len({y for _, y in calibrate}) < 2:
         calibrate = rows
-    base = ordinary_content(parts[0])
-    model = Model(base, b" ".join(toxic_words(parts[1], parts[0])) + b" " + base, ())
+    base, words = ordinary_content(parts[0]), b"".join(b" " + w + b" " for w in toxic_words(parts[1], parts[0]))
+    # zstandard sets up its tables by a dictionary's size, and fills them in steps: equal sizes and places
+    # keep ordinary text equally long under both
+    words = words.rjust(-(-(len(words) + 1) // 512) * 512 - 1) + b" "
+    model = Model(b" " * len(words) + base, words + base, ())
     x = np.array([features(model, t) for t, _ in calibrate])
     return Model(model.ordinary, model.toxic, logistic(x, np.array([y for _, y in calibrate], float)))
 
@@ -154,10 +160,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     return train([r["text"] for r in rows[:SAMPLE_ROWS]], [r["toxic"] for r in rows[:SAMPLE_ROWS]])
 
 
-def score(docs: DataFrame, model: Model | None) -> DataFrame:
+def score(docs: DataFrame, model: Model | None, keep: Sequence[str] = ()) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs`` (doc_id, text). Null texts
     count as empty, and empty texts get the calibration's base rate; without a model (no rows
-    of both classes) every score is 0. Repeated rows stay; an empty table gives an empty result."""
+    of both classes) every score is 0. Repeated rows stay; an empty table gives an empty result. With
+    ``keep``, the text and those columns of ``docs`` are returned as well."""
+
+    carried = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in (["text", *keep] if keep else []))
 
     def run(batch: pa.RecordBatch) -> dict:
         if model is None:
@@ -166,7 +175,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
             x = np.array([features(model, t) for t in batch.column(1).to_pylist()])
             w = np.array(model.weights)
             p = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
-        return {"doc_id": batch.column(0), "held_out": batch.column(2), "score": p, "predicted": (p >= 0.5).astype(np.int32)}
+        return dict(zip(batch.schema.names, batch.columns)) | {"held_out": batch.column(2), "score": p, "predicted": (p >= 0.5).astype(np.int32)}
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), "text", held_out(F.col("doc_id")).alias("held_out")),
-                       "doc_id long, held_out boolean, score double, predicted int", run)
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text", held_out(F.col("doc_id")).alias("held_out"), *keep),
+                       "doc_id long, held_out boolean, score double, predicted int" + carried, run)
