@@ -75,7 +75,7 @@ def message_from_file(file_name) -> Column:
     base = F.when(is_fold | is_full, F.substring(name, F.lit(1), F.length(name) - 5)).otherwise(name)
     parts = F.split(base, "_")
     g = F.element_at(parts, 4)
-    group = F.concat(F.upper(F.substring(g, 1, 1)), F.lower(F.substring(g, 2, 1 << 20)))
+    group = F.concat(F.upper(F.substring(g, 1, 1)), F.lower(F.substring(g, F.lit(2), F.length(g))))
     rest = F.array_join(F.slice(parts, 5, F.size(parts) - 4), "_")
     mm = rest
     for code, label in reversed(MESSAGE_METHOD_SUFFIX):

@@ -21,8 +21,10 @@ NON_WHITESPACE_RUN = r"[^\t\n\x0B\f\r\x1C-\x1F\x{85}\p{Z}]+"
 CJK = r"[\x{4E00}-\x{9FFF}]"
 UPPER = r"\p{Lu}"
 DIGIT = r"\p{Nd}"
+# Fixed value: the punctuation marks that are counted.
 PUNCT = r"[.,!?;:~\-]"
 
+# The feature names, in output order.
 FEATURE_NAMES = ["text_len", "word_count", "avg_word_len", "is_empty", "chinese_ratio", "upper_ratio",
                  "punctuation_count", "has_self_ref", "has_keyword_a", "has_keyword_b", "sentiment_positive",
                  "ends_with_period", "is_all_lower", "has_number", "is_short_simple"]

@@ -8,8 +8,9 @@ Fold-wise fitting: the params for rows of fold *f* are fitted on the rows whose
 *f*. Instead of re-reading the data k times, every statistic is computed as a *mergeable
 partial* per (fold, feature) — counts, sums, mean/M2, min/max, value counts, or KLL sketches —
 and the k partial rows of each feature are then replicated to the k-1 training folds they
-belong to and merged. The replicated table has k·(k-1)·columns rows (or distinct values for
-exact quantiles), so the data itself is scanned and shuffled once, whatever k is.
+belong to and merged. The replicated table has k·(k-1)·columns rows (exact quantiles keep one
+count per training fold beside each value instead), so the data itself is scanned and shuffled
+once, whatever k is.
 """
 
 from __future__ import annotations
@@ -19,19 +20,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_PARAM_ROWS = 100_000
-QUANTILE_CONF = "foldwise.quantiles"
-
+from foldwise.session import materialize
 
-def resolve_exact(df: DataFrame, exact: bool | None) -> bool:
-    """``exact=None`` follows the session setting ``foldwise.quantiles`` (``exact`` by default,
-    ``sketch`` for bounded-memory KLL sketches on very large or high-cardinality inputs)."""
-    if exact is not None:
-        return exact
-    mode = (df.sparkSession.conf.get(QUANTILE_CONF, "exact") or "exact").lower()
-    if mode not in ("exact", "sketch"):
-        raise ValueError(f"{QUANTILE_CONF} must be 'exact' or 'sketch'")
-    return mode == "exact"
+MAX_PARAM_ROWS = 100_000
 
 
 def long_values(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -110,34 +101,79 @@ def _q_names(probs: Sequence[float], names: Sequence[str] | None) -> list[str]:
     return [f"q{str(p).replace('.', '_')}" for p in probs]
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys match each other; the keys are the left's."""
+    renamed = right.select(*[F.col(c).alias(f"_key_{c}" if c in keys else c) for c in right.columns])
+    cond = None
+    for c in keys:
+        same = F.col(c).eqNullSafe(F.col(f"_key_{c}"))
+        cond = same if cond is None else cond & same
+    return left.join(renamed, cond, how).drop(*[f"_key_{c}" for c in keys])
+
+
+def exact_quantiles(lv: DataFrame, keys: Sequence[str], probs: Sequence[float], names: Sequence[str],
+                    fold_col: str | None = None, k: int | None = None) -> DataFrame:
+    """Interpolated quantiles of ``value`` per ``keys`` (and training fold), with no group in one task.
+
+    1. Equal values are counted (partial counts before the shuffle); fold-wise, one count per training
+       fold, i.e. of the rows outside that fold.
+    2. The counted values are dealt into ranges of (keys, value), by as many tasks as the data needs, and
+       written once.
+    3. Totals per range give each range its offset; a running sum inside the range then gives the
+       ranks that a value covers.
+    4. Of all values only those at a wanted rank are kept, two per probability, and interpolated as
+       NumPy does.
+
+    A task holds one range of distinct values, whatever a group's size.
+    """
+    keys = list(keys)
+    wanted = range(k) if fold_col else [0]
+    if fold_col:
+        counted = lv.groupBy(*keys, "value").agg(*[F.count_if(F.col(fold_col) != f).alias(f"_w{f}") for f in wanted])
+    else:
+        counted = lv.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_w0"))
+    ranged = materialize(counted.repartitionByRange(*keys, "value").withColumn("_range", F.spark_partition_id()))
+    totals = ranged.groupBy(*keys, "_range").agg(*[F.sum(f"_w{f}").alias(f"_t{f}") for f in wanted])
+    by_range, all_ranges = Window.partitionBy(*keys).orderBy("_range"), Window.partitionBy(*keys)
+    offsets = totals.select(*keys, "_range", *[(F.sum(f"_t{f}").over(by_range) - F.col(f"_t{f}")).alias(f"_o{f}") for f in wanted],
+                            *[F.sum(f"_t{f}").over(all_ranges).alias(f"_n{f}") for f in wanted])
+    inside = Window.partitionBy(*keys, "_range").orderBy("value")
+    ranks = (join_null_safe(ranged, offsets, [*keys, "_range"]).select("*", *[(F.col(f"_o{f}") + F.sum(f"_w{f}").over(inside)).alias(f"_c{f}") for f in wanted]))
+    picks = []
+    for f in wanted:
+        for i, p in enumerate(probs):
+            at = (F.col(f"_n{f}") - 1) * F.lit(p)
+            for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+                here = (F.col(f"_c{f}") > rank) & (F.col(f"_c{f}") - F.col(f"_w{f}") <= rank)
+                picks.append(F.max(F.when(here, F.col("value"))).alias(f"_{side}{f}_{i}"))
+    found = ranks.groupBy(*keys).agg(*picks, *[F.max(f"_n{f}").alias(f"_n{f}") for f in wanted])
+
+    def at_prob(f: int, i: int, p: float) -> Column:
+        h = (F.col(f"_n{f}") - 1) * F.lit(p)
+        lo, hi = F.col(f"_lo{f}_{i}"), F.col(f"_hi{f}_{i}")
+        return F.when(lo == hi, lo).otherwise((F.ceil(h) - h) * lo + (h - F.floor(h)) * hi)
+
+    rows = [F.struct(*([F.lit(f).alias("fold")] if fold_col else []), F.col(f"_n{f}").alias("n"),
+                     *[at_prob(f, i, p).alias(name) for i, (p, name) in enumerate(zip(probs, names))]) for f in wanted]
+    out = found.select(*keys, F.explode(F.array(*rows)).alias("_r")).where("_r.n > 0")
+    return out.select(*keys, *([F.col("_r.fold").alias(fold_col)] if fold_col else []), *[F.col("_r")[name].alias(name) for name in names])
+
+
 def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                   names: Sequence[str] | None = None, fold_col: str | None = None,
-                  k: int | None = None, exact: bool | None = None, by: Sequence[str] = ()) -> DataFrame:
+                  k: int | None = None, exact: bool = True, by: Sequence[str] = ()) -> DataFrame:
     """(by..., fold?, feature, <one feature per prob>) — linear-interpolated quantiles.
 
-    ``exact=True`` uses ``percentile`` (same interpolation as NumPy / pandas). Its buffer is a
-    value→count map per group, so it is meant for moderate cardinality. Fold-wise, exact mode
-    merges *value counts* per fold (duplicates collapse before replication) and evaluates
-    ``percentile(value, p, count)``.
-
-    ``exact=False`` uses KLL sketches: one small sketch per (fold, feature), merged per training
-    fold — bounded memory at any row count.
+    ``exact=True``: see :func:`exact_quantiles`. ``exact=False`` (an explicit choice of the caller: its
+    ranks aren't interpolated) uses KLL sketches, one small sketch per (fold, feature), merged per
+    training fold.
     """
-    exact = resolve_exact(df, exact)
     probs = [float(p) for p in probs]
     qn = _q_names(probs, names)
     keys = list(by) + _keys(fold_col)
     lv = long_values(df, cols, keys).where(F.col("value").isNotNull())
-    parr = F.array(*[F.lit(p) for p in probs])
     if exact:
-        if fold_col:
-            counts = lv.groupBy(*keys, "feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
-            counts = to_training_folds(counts, k, fold_col)
-            agg = counts.groupBy(*keys, "feature").agg(
-                F.percentile(F.col("value"), parr, F.col("cnt")).alias("_q"))
-        else:
-            agg = lv.groupBy(*keys, "feature").agg(F.percentile(F.col("value"), parr).alias("_q"))
-        return agg.select(*keys, "feature", *[F.col("_q")[i].alias(n) for i, n in enumerate(qn)])
+        return exact_quantiles(lv, [*by, "feature"], probs, qn, fold_col, k).select(*keys, "feature", *qn)
     sk = lv.groupBy(*keys, "feature").agg(F.expr("kll_sketch_agg_double(value)").alias("_sk"))
     if fold_col:
         sk = to_training_folds(sk, k, fold_col).groupBy(*keys, "feature").agg(

@@ -11,6 +11,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foldwise.operators.joins import attach
+
 ROWS_PER_BUCKET = 1_000_000
 # the per-(class, bucket) offsets table is broadcast: at most classes × 16^5 rows
 MAX_PREFIX_DIGITS = 5
@@ -59,8 +61,8 @@ def stratified_folds(df: DataFrame, id_col: str, label_col: str, k: int = 5, see
     counts = x.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("_n"))
     wo = Window.partitionBy(label_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(label_col, "_b", F.coalesce(F.sum("_n").over(wo), F.lit(0)).alias("_off"))
-    # bounded by (number of classes) × 16^prefix_digits rows
-    j = x.join(F.broadcast(offsets), [label_col, "_b"])
+    # (number of classes) × 16^prefix_digits rows: broadcast if that is few, else a shuffle join
+    j = attach(x, offsets, [label_col, "_b"], how="inner")
     wl = Window.partitionBy(label_col, "_b").orderBy("_h", id_col)
     rank = F.col("_off") + F.row_number().over(wl)
     return j.withColumn(fold_col, ((rank - 1) % k).cast("int")).drop("_h", "_b", "_off")

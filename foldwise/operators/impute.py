@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from foldwise.operators import fitting
 from foldwise.operators.joins import attach
+from foldwise.session import materialize
 
 
 def fit_simple(df: DataFrame, cols: Sequence[str], strategy: str = "median",
                fill_value: float | None = None, fold_col: str | None = None,
-               k: int | None = None, exact: bool | None = None) -> DataFrame:
+               k: int | None = None, exact: bool = True) -> DataFrame:
     """(fold?, column, value). strategy: median | mean | most_frequent | constant.
 
     median = exact interpolated median (I1), mean (I2), most_frequent with ties → smallest,
@@ -57,6 +58,44 @@ def preset(mode: str) -> dict:
     raise ValueError(f"unknown imputation mode {mode!r}")
 
 
+def fit_simple_text(df: DataFrame, cols: Sequence[str], strategy: str = "constant", fill_value: str = "-1",
+                    fold_col: str | None = None, k: int | None = None) -> DataFrame:
+    """I6 for text columns: (fold?, feature, value). 'constant' = ``fill_value``, 'most_frequent' = the
+    commonest value, the smallest of them on ties; fold-wise from value counts merged per training
+    fold. A column without values gets a NULL value (left as is)."""
+    keys = [fold_col] if fold_col else []
+    if strategy == "constant":
+        p = df.sparkSession.createDataFrame([(c, fill_value) for c in cols], "feature string, value string")
+        return p.select(F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias(fold_col), "feature", "value") if fold_col else p
+    if strategy != "most_frequent":
+        raise ValueError(f"unknown strategy {strategy!r} for text")
+    long = df.select(*keys, *[F.col(c).cast("string").alias(c) for c in cols]).unpivot(keys, list(cols), "feature", "value")
+    counts = long.where(F.col("value").isNotNull()).groupBy(*keys, "feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    if fold_col:
+        counts = fitting.to_training_folds(counts, k, fold_col).groupBy(*keys, "feature", "value").agg(F.sum("cnt").alias("cnt"))
+    return counts.groupBy(*keys, "feature").agg(F.min_by("value", F.struct(-F.col("cnt"), "value")).alias("value"))
+
+
+def preset_text(mode: str) -> dict:
+    """The presets of :func:`preset` for text columns: 'new' fills '-1', 'old' the most frequent value."""
+    if mode.lower() == "new":
+        return {"strategy": "constant", "fill_value": "-1"}
+    if mode.lower() == "old":
+        return {"strategy": "most_frequent"}
+    raise ValueError(f"unknown imputation mode {mode!r}")
+
+
+def apply_fill_text(df: DataFrame, params: DataFrame, fold_col: str | None = None) -> DataFrame:
+    """coalesce(c, fitted text) for every column in ``params``; a pure projection."""
+    table = fitting.collect_params(params, fold_col)
+    out = {}
+    for c in sorted({c for (_, c) in table}):
+        fill = F.lit(table[(None, c)]["value"]) if not fold_col else F.coalesce(
+            F.lit(None).cast("string"), *[F.when(F.col(fold_col) == F.lit(f), F.lit(d["value"])) for (f, name), d in sorted(table.items()) if name == c])
+        out[c] = F.coalesce(F.col(c).cast("string"), fill).alias(c)
+    return df.select(*[out.get(c, F.col(c)) for c in df.columns])
+
+
 def apply_fill(df: DataFrame, params: DataFrame, fold_col: str | None = None) -> DataFrame:
     """coalesce(c, fitted value) for every column in ``params``; a pure projection."""
     table = fitting.collect_params(params, fold_col)
@@ -92,7 +131,7 @@ def fit_group_means(df: DataFrame, parent: str, child: str, cols: Sequence[str])
     aggs = []
     for c in cols:
         aggs += [F.sum(F.col(c).cast("double")).alias(f"s__{c}"), F.count(c).alias(f"n__{c}")]
-    fine = df.groupBy(parent, child).agg(*aggs).cache()
+    fine = materialize(df.groupBy(parent, child).agg(*aggs))
 
     def means(frame: DataFrame, keys: list[str]) -> DataFrame:
         sums = []

@@ -1,39 +1,32 @@
 """Global ordered computations without a single-partition window.
 
-``Window.orderBy(x)`` with no partition key moves every row into one task. Here the order key
-is cut into ranges by approximate quantiles (a bounded list of split points on the driver,
-applied JVM-side with ``Bucketizer``'s binary search); per-range totals (one row per range) give
-each range its starting offset, and the running value inside a range is a window partitioned
-by range. The result equals the single-window result exactly, because ranges are contiguous in
-the order and ties of the order key always fall into the same range.
+``Window.orderBy(x)`` with no partition key moves every row into one task. Here the rows are dealt into
+ranges of the *whole* order key, ties included, by Spark's range partitioning, and written once; totals
+per range (one row per range) give each range its starting offset, and the running value inside a
+range is a window partitioned by range. Ranges are contiguous in the order, so the result equals that of
+the single window, and a key that many rows share is spread over ranges like any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_RANGE = 500_000
-MAX_RANGES = 100_000
+from foldwise.session import materialize
 
 
-def auto_ranges(df: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> int:
-    """Number of ranges so that each holds about ``rows_per_range`` rows (2 … MAX_RANGES)."""
-    n = df.count()
-    return int(max(2, min(MAX_RANGES, -(-n // rows_per_range))))
-
-
-def _bucketize(df: DataFrame, key: str, n_buckets: int | None) -> DataFrame:
-    n_buckets = n_buckets or auto_ranges(df)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    qs = df.select(F.percentile_approx(F.col(key).cast("double"), probs, 10_000).alias("q")).first()["q"] or []
-    inner = sorted({float(q) for q in qs}) or [0.0]  # Bucketizer needs at least one inner split
-    splits = [float("-inf")] + inner + [float("inf")]
-    x = df.withColumn("_k", F.col(key).cast("double"))
-    return Bucketizer(splits=splits, inputCol="_k", outputCol="_bucket", handleInvalid="keep").transform(x).drop("_k")
+def _running(df: DataFrame, order: Sequence, sum_cols: Sequence[str], n_ranges: int | None) -> DataFrame:
+    dealt = df.repartitionByRange(n_ranges, *order) if n_ranges else df.repartitionByRange(*order)
+    x = materialize(dealt.withColumn("_range", F.spark_partition_id()))
+    totals = x.groupBy("_range").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    # a row per range: the single-partition window over it is bounded by their number
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_range", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sum_cols])
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return (x.join(F.broadcast(offsets), "_range")
+             .select(*df.columns, *[(F.col(f"_o_{c}") + F.sum(c).over(inside)).alias(f"cum_{c}") for c in sum_cols]))
 
 
 def running_sums(df: DataFrame, key: str, sum_cols: Sequence[str], descending: bool = True,
@@ -42,28 +35,22 @@ def running_sums(df: DataFrame, key: str, sum_cols: Sequence[str], descending: b
     """Adds ``cum_<c>`` = running sum of c in ``key`` order (descending by default).
 
     ``include_ties=True`` makes rows with equal keys share the total through the last of them
-    (RANGE semantics — what a threshold sweep needs); otherwise rows are counted one by one in
-    (key, tie_cols) order (ROWS semantics — a row number).
+    (RANGE semantics — what a threshold sweep needs): keys are summed first, so that a frequent
+    one is a single row of the order. Otherwise rows are counted one by one in (key, tie_cols)
+    order (ROWS semantics — a row number).
     """
-    x = _bucketize(df, key, n_buckets)
-    totals = x.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-    # at most n_buckets + 1 rows: a single-partition window over it is bounded
-    ob = F.desc("_bucket") if descending else F.asc("_bucket")
-    wb = Window.orderBy(ob).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(wb), F.lit(0)).alias(f"_o_{c}")
-                                         for c in sum_cols])
-    j = x.join(F.broadcast(offsets), "_bucket")
-    order = [F.desc(key) if descending else F.asc(key)] + [F.asc(c) for c in tie_cols]
-    w = Window.partitionBy("_bucket").orderBy(*order)
-    w = (w.rangeBetween(Window.unboundedPreceding, 0) if include_ties and not tie_cols
-         else w.rowsBetween(Window.unboundedPreceding, 0))
-    return j.select(*df.columns, *[(F.col(f"_o_{c}") + F.sum(c).over(w)).alias(f"cum_{c}") for c in sum_cols])
+    order = [F.desc(key) if descending else F.asc(key)]
+    if not include_ties or tie_cols:
+        return _running(df, order + [F.asc(c) for c in tie_cols], sum_cols, n_buckets)
+    x = materialize(df)
+    per_key = x.groupBy(key).agg(*[F.sum(c).alias(c) for c in sum_cols])
+    sums = _running(per_key, order, sum_cols, n_buckets).drop(*sum_cols)
+    return (x.join(sums, x[key].eqNullSafe(sums[key]))
+             .select(*[x[c] for c in df.columns], *[f"cum_{c}" for c in sum_cols]))
 
 
 def global_row_number(df: DataFrame, key: str, tie_cols: Sequence[str] = (), out: str = "seq",
                       n_buckets: int | None = None) -> DataFrame:
     """1-based row number in (key, tie_cols) ascending order, computed range by range."""
-    x = df.withColumn("_one", F.lit(1))
-    r = running_sums(x, key, ["_one"], descending=False, tie_cols=list(tie_cols) or [key],
-                     n_buckets=n_buckets, include_ties=False)
+    r = _running(df.withColumn("_one", F.lit(1)), [F.asc(key)] + [F.asc(c) for c in tie_cols], ["_one"], n_buckets)
     return r.withColumnRenamed("cum__one", out).drop("_one")

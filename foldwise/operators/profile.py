@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foldwise.operators.fitting import fit_quantiles, long_values
+from foldwise.operators.fitting import fit_quantiles, join_null_safe, long_values
 from foldwise.operators.joins import attach
 
 
@@ -100,27 +100,23 @@ def missing_target_rate(df: DataFrame, cols: Sequence[str], target: str) -> Data
 # -- describe -------------------------------------------------------------------------------
 
 def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), extra_quantiles: bool = False,
-             exact: bool | None = None) -> DataFrame:
+             exact: bool = True) -> DataFrame:
     """Count, mean, sample std, min, quartiles, max per (group…, feature); with
     ``extra_quantiles`` also p01, p99 and the missing percentage."""
     by = list(by)
     lv = long_values(df, cols, by)
-    from foldwise.operators.fitting import resolve_exact
-    exact = resolve_exact(df, exact)
     probs = [0.25, 0.5, 0.75] + ([0.01, 0.99] if extra_quantiles else [])
     names = ["q1", "median", "q3"] + (["p01", "p99"] if extra_quantiles else [])
-    if exact:
-        qexpr = F.percentile(F.col("value"), F.array(*[F.lit(p) for p in probs]))
-    else:
-        qexpr = F.percentile_approx(F.col("value"), F.array(*[F.lit(p) for p in probs]), 10000)
     aggs = [F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"), F.max("value").alias("max"), qexpr.alias("_q")]
+            F.min("value").alias("min"), F.max("value").alias("max")]
     if extra_quantiles:
         aggs.append((F.count_if(F.col("value").isNull()) * 100.0 / F.count(F.lit(1))).alias("missing_pct"))
     g = lv.groupBy(*by, "feature").agg(*aggs)
-    out = [*by, "feature", "count", _r(F.col("mean")).alias("mean"), _r(F.col("std")).alias("std"),
-           _r(F.col("min")).alias("min")]
-    out += [_r(F.col("_q")[i]).alias(n) for i, n in enumerate(names)]
+    q = fit_quantiles(df, cols, probs, names, by=by, exact=exact)
+    keys = [*by, "feature"]
+    g = join_null_safe(g, q, keys, "left")
+    out = [*keys, "count", _r(F.col("mean")).alias("mean"), _r(F.col("std")).alias("std"), _r(F.col("min")).alias("min")]
+    out += [_r(F.col(n)).alias(n) for n in names]
     out += [_r(F.col("max")).alias("max")]
     if extra_quantiles:
         out.append(_r(F.col("missing_pct")).alias("missing_pct"))
@@ -130,7 +126,7 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), extra_q
 # -- quantile bounds and clip impact --------------------------------------------------------
 
 def quantile_bounds(df: DataFrame, cols: Sequence[str], by: Sequence[str], ranges: Mapping[str, tuple],
-                    exact: bool | None = None) -> DataFrame:
+                    exact: bool = True) -> DataFrame:
     """D9 / C7 fit: (range, group…, feature, lower, upper) for several (lo %, hi %) ranges at
     once — all percentiles of a (group, feature) come from one aggregation buffer."""
     names = list(ranges)
@@ -157,7 +153,7 @@ def attach_bounds(df: DataFrame, cols: Sequence[str], by: Sequence[str], bounds:
 
 
 def clip_impact(df: DataFrame, cols: Sequence[str], by: Sequence[str], ranges: Mapping[str, tuple],
-                exact: bool | None = None) -> DataFrame:
+                exact: bool = True) -> DataFrame:
     """Per range × group × feature: bounds, valid n, below, above, clipped, clipped %."""
     b = quantile_bounds(df, cols, by, ranges, exact)
     j = attach_bounds(df, cols, by, b)
@@ -184,7 +180,7 @@ def clip_spread(impact: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def range_overlap(df: DataFrame, cols: Sequence[str], by: Sequence[str], ranges: Mapping[str, tuple],
-                  exact: bool | None = None) -> DataFrame:
+                  exact: bool = True) -> DataFrame:
     """For three ranges A, B, C: sizes of the clipped sets and their pairwise
     intersections with % of the smaller, via count_if of flag pairs (no set materialisation)."""
     names = list(ranges)
@@ -216,7 +212,7 @@ def reference_range_impact(df: DataFrame, cols: Sequence[str], group: str, ref:
     groups (group 'ALL'; the group column is then text), from the same aggregation (grouping
     sets); advice <5 keep, <10 review, else adjust."""
     lv = long_values(df, cols, [group]).where(F.col("value").isNotNull())
-    j = lv.join(F.broadcast(ref), [group, "feature"])
+    j = attach(lv, ref, [group, "feature"], how="inner")
     aggs = [F.count(F.lit(1)).alias("valid_n"), F.count_if(F.col("value") < F.col("ref_lo")).alias("below"),
             F.count_if(F.col("value") > F.col("ref_hi")).alias("above")]
     g = (j.groupingSets([[group, "feature"], ["feature"]], group, "feature").agg(*aggs, F.grouping(group).alias("_all"))
@@ -229,7 +225,7 @@ def reference_range_impact(df: DataFrame, cols: Sequence[str], group: str, ref:
 
 
 def reference_range_table(df: DataFrame, cols: Sequence[str], group: str, ref: DataFrame,
-                          exact: bool | None = None) -> DataFrame:
+                          exact: bool = True) -> DataFrame:
     """Given range next to observed min / p01 / p99 / max per (group, feature)."""
     q = fit_quantiles(df, cols, [0.01, 0.99], ["p01", "p99"], by=[group], exact=exact)
     mm = long_values(df, cols, [group]).groupBy(group, "feature").agg(F.min("value").alias("min"),
@@ -239,7 +235,7 @@ def reference_range_table(df: DataFrame, cols: Sequence[str], group: str, ref: D
                        _r(F.col("p01")).alias("p01"), _r(F.col("p99")).alias("p99"), _r(F.col("max")).alias("max")))
 
 
-def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, exact: bool | None = None) -> DataFrame:
+def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, exact: bool = True) -> DataFrame:
     """Q1, Q3, fences, n, outliers, %, outlier min/max, and the >5 % flag."""
     q = fit_quantiles(df, cols, [0.25, 0.75], ["q1", "q3"], exact=exact).select(
         "feature", "q1", "q3", (F.col("q1") - k * (F.col("q3") - F.col("q1"))).alias("lower"),

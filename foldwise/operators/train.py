@@ -73,7 +73,7 @@ def oversample_minority(tr: DataFrame, id_col: str = "id", label: str = "label",
         return tr
     x = tr.withColumn("_arr", vector_to_array(features))
     syn = resample.smote(x, id_col, "_arr", label, minority, n_new, k_neighbors, seed)
-    cols = {id_col: (-(F.col("base_id") * 1024 + F.col("j") + 1)).cast(tr.schema[id_col].dataType),
+    cols = {id_col: (-F.col("number")).cast(tr.schema[id_col].dataType),
             label: F.lit(minority).cast(tr.schema[label].dataType),
             features: array_to_vector("vector")}
     out = syn.select(*[cols[c].alias(c) if c in cols else F.lit(None).cast(tr.schema[c].dataType).alias(c)
@@ -84,11 +84,12 @@ def oversample_minority(tr: DataFrame, id_col: str = "id", label: str = "label",
 def cross_validate(df: DataFrame, kind: str, params: Mapping | None, k: int, fold_col: str = "fold",
                    id_col: str = "id", label: str = "label", weight: str | None = None,
                    early_stopping: float | None = None, seed: int = 42, feature_names: Sequence[str] = (),
-                   parallelism: int = 4, oversample: bool = False):
+                   parallelism: int = 4, oversample: bool = False, class_weight: str | Mapping | None = None):
     """Fit on fold ≠ f, predict fold f (validation) and its own training rows (train).
 
     ``oversample`` adds SMOTE rows to each training set (J2); the train-split metrics are still
-    computed on the original, un-resampled training rows (S11).
+    computed on the original, un-resampled training rows (S11). ``class_weight`` (J4) fits weights by
+    class on each fold's own training rows.
 
     Returns (metrics rows (fold, split, tp, fp, fn, tn, accuracy, precision, recall, f1,
     weighted_f1),
@@ -100,11 +101,14 @@ def cross_validate(df: DataFrame, kind: str, params: Mapping | None, k: int, fol
         tr = df.where(F.col(fold_col) != f)
         if oversample:  # training rows of this fold only; scoring stays on the original rows
             tr = oversample_minority(tr, id_col, label, seed=seed + f)
+        wcol = weight
+        if class_weight:  # never from the rows that the fold is scored on
+            tr, wcol = weights.with_weights(tr, label, weights.class_weights(tr, label, class_weight), "_weight"), "_weight"
         vcol = None
         if early_stopping and kind == "gbt":
             tr = _with_stop_set(tr, id_col, early_stopping, seed)
             vcol = "_is_val"
-        return make_estimator(kind, params, label, weight=weight, validation_col=vcol, seed=seed).fit(tr)
+        return make_estimator(kind, params, label, weight=wcol, validation_col=vcol, seed=seed).fit(tr)
 
     # the k fits are independent Spark jobs: submit them concurrently (the scheduler shares the
     # executors between them), as CrossValidator does with its ``parallelism``

@@ -90,19 +90,35 @@ def impute_mean(spark, d):
     return _out(impute.apply_fill(x, impute.fit_simple(x, IMP_COLS, "mean")), ["id"], IMP_COLS)
 
 
-# Fixed per-group constants of the fixture (the reference ships per-class midpoints as a table).
-GROUP_CONSTANTS = {1: {"num_a": 171.2, "num_b": 72.2}, 0: {"num_a": 158.4, "num_b": 57.4}}
+# Per-group constants, chosen inside the ranges of view P (num_a from about 133 to 207, num_b from 40 to 120).
+GROUP_CONSTANTS = {0: {"num_a": 190.0, "num_b": 96.0}, 1: {"num_a": 150.0, "num_b": 64.0}}
 
 
 @query("impute_constant_by_group", _cp(
-    "SELECT id, round(coalesce(num_a, CASE target WHEN 1 THEN 171.2 WHEN 0 THEN 158.4 END, (171.2 + 158.4) / 2), 6) AS num_a, "
-    "round(coalesce(num_b, CASE target WHEN 1 THEN 72.2 WHEN 0 THEN 57.4 END, (72.2 + 57.4) / 2), 6) AS num_b FROM cp"))
+    "SELECT id, round(coalesce(num_a, CASE target WHEN 1 THEN 150.0 WHEN 0 THEN 190.0 END, 170.0), 6) AS num_a, "
+    "round(coalesce(num_b, CASE target WHEN 1 THEN 64.0 WHEN 0 THEN 96.0 END, 80.0), 6) AS num_b FROM cp"))
 def impute_constant_by_group(spark, d):
     x = cleaned_profile(spark, d).select("id", TARGET, "num_a", "num_b")
     x = impute.fill_constant_by_group(x, TARGET, GROUP_CONSTANTS, ["num_a", "num_b"])
     return _out(x, ["id"], ["num_a", "num_b"])
 
 
+def _text_mode(c: str) -> str:
+    return f"(SELECT {c} FROM cp WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
+
+
+@query("impute_text", _cp(
+    "SELECT id, coalesce(cat_a, '-1') AS cat_a_new, coalesce(cat_b, '-1') AS cat_b_new, "
+    f"coalesce(cat_a, {_text_mode('cat_a')}) AS cat_a_old, coalesce(cat_b, {_text_mode('cat_b')}) AS cat_b_old FROM cp"))
+def impute_text(spark, d):
+    """I6 on categorical columns, both presets."""
+    x = cleaned_profile(spark, d).select("id", *[F.col(c).alias(f"{c}_{m}") for m in ("new", "old") for c in ("cat_a", "cat_b")])
+    for m in ("new", "old"):
+        cols = [f"cat_a_{m}", f"cat_b_{m}"]
+        x = impute.apply_fill_text(x, impute.fit_simple_text(x, cols, **impute.preset_text(m)))
+    return x
+
+
 @query("impute_group_mean", _cp(
     "WITH c AS (SELECT cat_b, cat_a, avg(num_a) AS ca, avg(num_b) AS cb FROM cp "
     "WHERE cat_b IS NOT NULL AND cat_a IS NOT NULL GROUP BY cat_b, cat_a),\n"

@@ -34,9 +34,9 @@ def csv_roundtrip(spark, d):
     '#NUM!' → NULL, doubles exact (shortest round-trip text)."""
     p = tables.profile(spark, d, with_note=True)
     path = scratch_path(spark, "profile_csv")
-    (p.write.mode("overwrite").option("header", True).option("nullValue", "NA")
+    (p.write.mode("overwrite").option("header", True).option("nullValue", "NA").option("escape", '"')
       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
-    return files.read_csv(spark, path, PROFILE_SCHEMA)
+    return files.read_csv(spark, path, PROFILE_SCHEMA, multi_line=True)  # notes are whole texts
 
 
 @query("prediction_write", with_views("SELECT id, pred AS target FROM rp", "rp"))

@@ -309,7 +309,7 @@ def prediction_counts(spark, d):
 
 from foldwise.functions import text as tx  # noqa: E402
 from foldwise.operators import train, vectors  # noqa: E402
-from foldwise.session import scratch_path  # noqa: E402
+from foldwise.session import materialize, scratch_path  # noqa: E402
 from foldwise.plans.q_text import KEYWORDS_A, KEYWORDS_B, POSITIVE  # noqa: E402
 
 
@@ -318,11 +318,15 @@ def _features(df):
 
 
 def train_frame(spark, d):
-    """Labelled documents → 15 text features, stratified fold, balanced class weight, vector."""
-    t = _features(tables.labelled_text(spark, d)).drop("text", "lang")
-    t = folds.stratified_folds(t, "id", "label", K, SEED)
-    t = weights.with_weights(t, "label", weights.class_weights(t, "label", "balanced"))
-    return vectors.assemble(t, tx.FEATURE_NAMES).select("id", "label", "fold", "weight", "features").cache()
+    """Labelled documents → 15 text features, vector, stratified fold; materialised once, so that the fold
+    assignment and all fits read a table."""
+    t = vectors.assemble(_features(tables.labelled_text(spark, d)), tx.FEATURE_NAMES).select("id", "label", "features")
+    return materialize(folds.stratified_folds(materialize(t), "id", "label", K, SEED).select("id", "label", "fold", "features"))
+
+
+def weighted(tf):
+    """All labelled rows with balanced class weights, for a refit without folds."""
+    return weights.with_weights(tf, "label", weights.class_weights(tf, "label", "balanced"))
 
 
 def unlabelled_frame(spark, d):
@@ -338,7 +342,7 @@ MODEL_PARAMS = {"rf": {"numTrees": 20, "maxDepth": 5}, "gbt": {"maxIter": 20, "m
 
 def _cv(kind, early=None):
     def fn(spark, d):
-        m, _, _ = train.cross_validate(train_frame(spark, d), kind, MODEL_PARAMS[kind], K, weight="weight",
+        m, _, _ = train.cross_validate(train_frame(spark, d), kind, MODEL_PARAMS[kind], K, class_weight="balanced",
                                        early_stopping=early, feature_names=tx.FEATURE_NAMES)
         return m
     return fn
@@ -361,7 +365,7 @@ def train_rf_smote(spark, d):
 @query("cv_report")
 def cv_report(spark, d):
     """D22 over a real CV: mean and population std of each metric over folds, per split."""
-    m, _, _ = train.cross_validate(train_frame(spark, d), "rf", MODEL_PARAMS["rf"], K, weight="weight",
+    m, _, _ = train.cross_validate(train_frame(spark, d), "rf", MODEL_PARAMS["rf"], K, class_weight="balanced",
                                    feature_names=tx.FEATURE_NAMES)
     return metrics.fold_summary(metrics.metrics_long(m, ["fold", "split"]), ["split"])
 
@@ -369,7 +373,7 @@ def cv_report(spark, d):
 @query("cv_importance")
 def cv_importance(spark, d):
     """J22 → J23 → J24: per-fold importances of a CV, normalised, averaged with missing = 0."""
-    _, imp, _ = train.cross_validate(train_frame(spark, d), "rf", MODEL_PARAMS["rf"], K, weight="weight",
+    _, imp, _ = train.cross_validate(train_frame(spark, d), "rf", MODEL_PARAMS["rf"], K, class_weight="balanced",
                                      feature_names=tx.FEATURE_NAMES)
     return importance.cv_mean(importance.normalize(imp), K).orderBy(F.desc("cv_mean_importance_norm"))
 
@@ -381,7 +385,7 @@ SEARCH_SPACE = {"maxDepth": [2, 3, 4], "maxIter": [10, 20], "stepSize": [0.05, 0
 @query("grid_search")
 def grid_search(spark, d):
     scores, best = train.search(train_frame(spark, d), "rf", select.param_grid(SEARCH_GRID), K,
-                                weight="weight", feature_names=tx.FEATURE_NAMES)
+                                class_weight="balanced", feature_names=tx.FEATURE_NAMES)
     return scores.join(best.select("candidate", F.lit(True).alias("is_best")), "candidate", "left") \
         .withColumn("is_best", F.coalesce("is_best", F.lit(False)))
 
@@ -390,7 +394,7 @@ def grid_search(spark, d):
 def random_search(spark, d):
     """Seeded random trials scored by weighted F1 over the folds."""
     scores, best = train.search(train_frame(spark, d), "gbt", train.random_candidates(SEARCH_SPACE, 3, SEED), K,
-                                metric="weighted_f1", weight="weight", feature_names=tx.FEATURE_NAMES)
+                                metric="weighted_f1", class_weight="balanced", feature_names=tx.FEATURE_NAMES)
     return scores.join(best.select("candidate", F.lit(True).alias("is_best")), "candidate", "left") \
         .withColumn("is_best", F.coalesce("is_best", F.lit(False)))
 
@@ -398,7 +402,7 @@ def random_search(spark, d):
 @query("predict_full")
 def predict_full(spark, d):
     """J21 refit on every labelled row, J25 predict the unlabelled documents, B6 back-map."""
-    model = train.make_estimator("rf", MODEL_PARAMS["rf"], weight="weight").fit(train_frame(spark, d))
+    model = train.make_estimator("rf", MODEL_PARAMS["rf"], weight="weight").fit(weighted(train_frame(spark, d)))
     p = train.predict(model, unlabelled_frame(spark, d))
     from foldwise.operators import clean
     return p.withColumn("pred_raw", clean.backmap_labels("pred", {1: 1, 0: 2}))
@@ -407,7 +411,7 @@ def predict_full(spark, d):
 @query("predict_fold")
 def predict_fold(spark, d):
     """The k fold models of a CV (saved and reloaded, A12) vote on the unlabelled documents."""
-    _, _, models = train.cross_validate(train_frame(spark, d), "tree", MODEL_PARAMS["tree"], K, weight="weight")
+    _, _, models = train.cross_validate(train_frame(spark, d), "tree", MODEL_PARAMS["tree"], K, class_weight="balanced")
     path = scratch_path(spark, "fold-models")
     train.save_fold_models(models, path)  # A12: per-fold models saved and loaded back
     return train.predict_vote(train.load_fold_models(path, K, "tree"), unlabelled_frame(spark, d))
@@ -416,7 +420,7 @@ def predict_fold(spark, d):
 @query("predict_all_runs")
 def predict_all_runs(spark, d):
     """One refit per configuration, every model scores the same cached input, long result."""
-    tf = train_frame(spark, d)
+    tf = weighted(train_frame(spark, d))
     u = unlabelled_frame(spark, d).cache()
     out = None
     for kind in ("rf", "tree", "gbt"):
@@ -441,7 +445,7 @@ p AS (SELECT a.label, a.vec_id AS id, b.vec_id AS neighbour_id,
 r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, neighbour_id) AS rank FROM p)
 SELECT label, id, CAST(rank AS INTEGER) AS rank, neighbour_id, round(d, 6) AS distance FROM r WHERE rank <= {SMOTE_K}""")
 def smote_neighbours(spark, d):
-    """Exact k nearest neighbours inside each class (band-pruned, never all pairs)."""
+    """Exact k nearest neighbours inside each class, block against block."""
     e = tables.load(spark, d, "embeddings", ["vec_id", "label", "embedding"]).withColumnRenamed("vec_id", "id")
     nb = resample.knn_within_class(e, "id", "embedding", "label", SMOTE_K)
     return nb.select("label", "id", F.col("rank").cast("int").alias("rank"), "neighbour_id",

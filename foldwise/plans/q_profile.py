@@ -318,9 +318,9 @@ def group_mean_diff(spark, d):
 
 @query("top_diff", with_views(_GM_SQL.replace("FROM p", "FROM pp").replace(
     "WITH l AS", "WITH pp AS (SELECT cat_b, num_a, num_b, num_c, long_tail, ord_a, TRY_CAST(raw_num AS DOUBLE) AS raw_num FROM p),\nl AS")
-    + "SELECT * FROM s ORDER BY diff_pct DESC, feature ASC LIMIT 3", "p"))
+    + "SELECT * FROM s ORDER BY diff_pct DESC, feature ASC LIMIT 6", "p"))
 def top_diff(spark, d):
-    return _gm(spark, d).orderBy(F.desc("diff_pct"), F.asc("feature")).limit(3)
+    return _gm(spark, d).orderBy(F.desc("diff_pct"), F.asc("feature")).limit(6)
 
 
 @query("class_t_stat", cp_sql(

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foldwise.functions import exprs, names
-from foldwise.operators import tracking
+from foldwise.operators import fitting, select, tracking
 from foldwise.plans.registry import query
 from foldwise.plans.views_sql import with_views
 from foldwise.sources import tables
@@ -88,14 +88,19 @@ def run_counters(spark, d):
 # -- F1 E3 ----------------------------------------------------------------------------------------------
 
 @query("leaderboard", with_views(
-    f"SELECT run_id, run_name, config_file, {_model_sql('run_name')} AS model, {_method_sql('run_name')} AS method, "
-    "round(mean_f1, 6) AS mean_f1, round(std_f1, 6) AS std_f1 FROM r WHERE status = 'success' "
-    "ORDER BY mean_f1 DESC, run_id ASC LIMIT 20", "r"))
+    f"SELECT run_id, run_name, {_model_sql('run_name')} AS model, {_method_sql('run_name')} AS method, run_id % 3 = 0 AS resampled, "
+    "round(mean_f1 - 0.02 + (run_id % 7) / 1000.0, 6) AS mean_accuracy, round(mean_f1, 6) AS mean_f1, "
+    "round(mean_f1 - std_f1, 6) AS mean_precision, round(mean_f1 + std_f1, 6) AS mean_recall FROM r WHERE status = 'success' "
+    "ORDER BY mean_f1 DESC, run_id ASC", "r"))
 def leaderboard(spark, d):
+    """the whole board, best first: run id and name, resampling flag, and the four means."""
     x = tracking.with_name_parts(_runs(spark, d).where(F.col("status") == "success"), rules=FIXTURE_RULES)
-    x = x.orderBy(F.desc("mean_f1"), F.asc("run_id")).limit(20)
-    return x.select("run_id", "run_name", "config_file", "model", "method", r6("mean_f1").alias("mean_f1"),
-                    r6("std_f1").alias("std_f1"))
+    x = (x.withColumn("resampled", F.col("run_id") % 3 == 0)
+          .withColumn("mean_accuracy", F.col("mean_f1") - 0.02 + F.col("run_id") % 7 / 1000.0)
+          .withColumn("mean_precision", F.col("mean_f1") - F.col("std_f1")).withColumn("mean_recall", F.col("mean_f1") + F.col("std_f1")))
+    means = ["mean_accuracy", "mean_f1", "mean_precision", "mean_recall"]
+    board = select.leaderboard(x, "mean_f1", ["run_id", "run_name", "model", "method", "resampled", *means], tie="run_id")
+    return board.select("run_id", "run_name", "model", "method", "resampled", *[r6(c).alias(c) for c in means])
 
 
 @query("run_trend", with_views(
@@ -114,7 +119,9 @@ def run_trend(spark, d):
     "FROM r WHERE status = 'success' GROUP BY 1 ORDER BY median_f1 DESC", "r"))
 def method_median(spark, d):
     x = tracking.with_name_parts(_runs(spark, d).where(F.col("status") == "success"), rules=FIXTURE_RULES)
-    g = x.groupBy("method").agg(F.percentile("mean_f1", 0.5).alias("median_f1"), F.count(F.lit(1)).alias("n"))
+    q = fitting.fit_quantiles(x, ["mean_f1"], [0.5], ["median_f1"], by=["method"])
+    n = x.groupBy("method").agg(F.count(F.lit(1)).alias("n"))
+    g = n.join(q, "method", "left")
     return g.select("method", r6("median_f1").alias("median_f1"), "n").orderBy(F.desc("median_f1"))
 
 

@@ -21,7 +21,7 @@ SELECT c.c_custkey AS id,
        ELSE CAST((c.c_custkey * 7919) % 3000 AS DOUBLE) END AS long_tail,
   CASE WHEN c.c_custkey % 8 = 0 THEN NULL ELSE CAST(1 + c.c_custkey % 5 AS DOUBLE) END AS ord_a,
   CASE WHEN c.c_custkey % 13 = 0 THEN '#NUM!' ELSE CAST(c.c_custkey % 200 AS VARCHAR) END AS raw_num,
-  CASE WHEN c.c_custkey % 5 = 0 THEN NULL ELSE substr(d.text, 1, 60) END AS note
+  CASE WHEN c.c_custkey % 5 = 0 THEN NULL ELSE d.text END AS note
 FROM customer c
 JOIN nation n ON c.c_nationkey = n.n_nationkey
 JOIN region r ON n.n_regionkey = r.r_regionkey
@@ -51,7 +51,6 @@ SELECT l_orderkey % 5 AS fold,
          '__f', CAST(l_partkey % 20 AS VARCHAR)) AS feature,
   sum(l_quantity) AS importance
 FROM lineitem
-WHERE (l_partkey % 20) <> (l_orderkey % 5)
 GROUP BY 1, 2""",
     "t": """
 SELECT d.doc_id AS id, d.text, d.lang, l.quality AS label

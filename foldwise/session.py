@@ -50,12 +50,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and scratch tables.
 
-    Uses the cluster's ``spark.checkpoint.dir`` when it is set. Only when it is unset (local
-    runs and tests) a fresh folder under the system temp dir is created and registered.
+    Uses the cluster's ``spark.checkpoint.dir`` when it is set. Where it is unset, a local session
+    (tests) gets a fresh folder under the system temp dir; on a cluster that is an error, since
+    executors could not share such a folder.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="foldwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:

@@ -14,18 +14,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foldwise.operators.ordered import global_row_number
+from foldwise.session import materialize
 
 # The missing-value tokens pandas' read_csv recognises by default.
 NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
              "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, na_tokens: Sequence[str] = NA_TOKENS,
+             multi_line: bool = False) -> DataFrame:
     """A1: headed UTF-8 CSV. Every field is read as text, NA tokens become NULL, then each column
-    is converted to its declared type with ``try_cast`` (bad cells → NULL, never an error)."""
+    is converted to its declared type with ``try_cast`` (bad cells → NULL, never an error). With
+    ``multi_line``, fields may hold line breaks, and a file is then read by one task."""
     text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
     raw = (spark.read.schema(text_schema).option("header", True).option("mode", "PERMISSIVE")
-           .option("encoding", "UTF-8").option("multiLine", True).option("escape", '"').csv(path))
+           .option("encoding", "UTF-8").option("multiLine", multi_line).option("escape", '"').csv(path))
     toks = list(na_tokens)
     cols = []
     for f in schema.fields:
@@ -37,7 +40,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, na_tokens: Se
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Headed CSV (NULL written as an empty field)."""
-    (df.write.mode(mode).option("header", True).option("nullValue", "").option("emptyValue", '""')
+    (df.write.mode(mode).option("header", True).option("nullValue", "").option("emptyValue", '""').option("escape", '"')
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
@@ -45,12 +48,14 @@ def write_predictions(df: DataFrame, path: str, latest_path: str | None, pred_co
                       out_id: str = "id", out_pred: str = "target") -> DataFrame:
     """A3: two-column prediction file (id, prediction). Without an id column the id falls back to
     1..n in the frame's order (a global row number computed range by range). A second copy is
-    written to ``latest_path`` when given. Returns the written frame."""
+    written to ``latest_path`` when given. The frame is materialised once, so that both files and the
+    returned frame agree."""
     if id_col and id_col in df.columns:
         out = df.select(F.col(id_col).alias(out_id), F.col(pred_col).alias(out_pred))
     else:
         x = df.withColumn("_mono", F.monotonically_increasing_id())
         out = global_row_number(x, "_mono", out=out_id).select(out_id, F.col(pred_col).alias(out_pred))
+    out = materialize(out)
     write_csv(out, path)
     if latest_path:
         write_csv(out, latest_path)
@@ -65,11 +70,10 @@ def append_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 def snapshot(spark: SparkSession, path: str, backup_path: str, fmt: str = "parquet") -> bool:
     """Copy the current table to a versioned path before it is appended to.
     Returns False when there is nothing to back up yet."""
-    try:
-        cur = spark.read.format(fmt).load(path)
-    except Exception:  # noqa: BLE001 - missing table
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
         return False
-    cur.write.mode("overwrite").format(fmt).save(backup_path)
+    spark.read.format(fmt).load(path).write.mode("overwrite").format(fmt).save(backup_path)
     return True
 
 

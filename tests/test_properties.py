@@ -113,18 +113,6 @@ def test_fitted_transforms_run_on_a_stream(spark):
     assert got.exceptAll(stream.apply_steps(x, steps)).count() == 0 and got.count() == x.count()
 
 
-def test_quantile_session_knob_switches_to_sketches(spark):
-    li = tables.load(spark, SF_MID, "lineitem", ["l_extendedprice"])
-    ex = fitting.fit_quantiles(li, ["l_extendedprice"], [0.5], ["m"]).collect()[0]["m"]
-    spark.conf.set(fitting.QUANTILE_CONF, "sketch")
-    try:
-        plan = fitting.fit_quantiles(li, ["l_extendedprice"], [0.5], ["m"])
-        assert "kll" in plan._jdf.queryExecution().executedPlan().toString().lower()
-        assert plan.collect()[0]["m"] == pytest.approx(ex, rel=0.05)
-    finally:
-        spark.conf.unset(fitting.QUANTILE_CONF)
-
-
 def test_auto_sizing_keeps_results(spark):
     t = tables.labelled_text(spark, SF_MID).select("id", "label")
     a = folds.stratified_folds(t, "id", "label", 5, 42)

@@ -42,7 +42,7 @@ def test_knn_equals_brute_force(spark):
     rng = np.random.default_rng(0)
     rows = [(i, int(i % 2), [float(x) for x in rng.normal(size=6)]) for i in range(120)]
     df = spark.createDataFrame(rows, "id long, c int, v array<double>")
-    got = {(r["id"], r["rank"]): r["neighbour_id"] for r in resample.knn_within_class(df, "id", "v", "c", 3, per_bucket=8).collect()}
+    got = {(r["id"], r["rank"]): r["neighbour_id"] for r in resample.knn_within_class(df, "id", "v", "c", 3, block_rows=8).collect()}
     for i, c, v in rows:
         d = sorted((float(np.linalg.norm(np.array(v) - np.array(w))), j) for j, cc, w in rows if cc == c and j != i)
         for rank in range(1, 4):
@@ -82,3 +82,29 @@ def test_oversample_minority_balances_and_keeps_originals(spark):
     assert counts[0] == counts[1] == 60
     assert out.where(F.col("id") >= 0).count() == 80
     assert out.where(F.col("id") < 0).select("label").distinct().collect()[0]["label"] == 1
+
+
+@pytest.mark.parametrize("points", [
+    [[float(i)] * 3 for i in range(300)],                     # collinear: the k-th distance is met exactly
+    [[0.1 * (i % 7), 1.0] for i in range(120)],               # many equal points
+    [[2.0, 3.0]] * 40,                                        # one point
+])
+def test_knn_is_exact_on_degenerate_points(spark, points):
+    df = spark.createDataFrame([(i, "a", p) for i, p in enumerate(points)], "id long, c string, v array<double>")
+    got = {}
+    for r in resample.knn_within_class(df, "id", "v", "c", 5, block_rows=32).collect():
+        got.setdefault(r["id"], {})[r["rank"]] = r["neighbour_id"]
+    x = np.array(points)
+    for i in range(len(points)):
+        d = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
+        want = sorted((d[j], j) for j in range(len(points)) if j != i)[:5]
+        assert [got[i][k] for k in range(1, 6)] == [j for _, j in want]
+
+
+def test_oversampling_a_tiny_class_keeps_ids_unique(spark):
+    from pyspark.ml.functions import array_to_vector
+    from foldwise.operators import train
+    rows = [(i, 0, [float(i), 1.0]) for i in range(4000)] + [(4000, 1, [1.0, 2.0]), (10**15, 1, [3.0, 2.0])]
+    df = spark.createDataFrame(rows, "id long, label int, v array<double>").select("id", "label", array_to_vector("v").alias("features"))
+    new = train.oversample_minority(df).where("id < 0")
+    assert new.count() == 3998 == new.select("id").distinct().count()
