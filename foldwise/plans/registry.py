@@ -31,4 +31,4 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every query module so it registers itself."""
     from foldwise.plans import (  # noqa: F401
-        q_clean, q_profile, q_fit, q_text, q_model, q_tracking, q_io, q_stream)
+        q_clean, q_profile, q_fit, q_text, q_model, q_tracking, q_io, q_pipeline, q_stream)

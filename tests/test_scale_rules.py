@@ -112,3 +112,30 @@ def test_class_weights_come_from_the_training_rows(spark, monkeypatch):
     before = fitted(rows)
     after = fitted([(i, 1 - y if f == 1 else y, f, [9.0, 9.0] if f == 1 else v) for i, y, f, v in rows])
     assert before[1] == after[1] and before[0] != after[0]
+
+
+def test_pipeline_params_never_see_their_own_fold(spark):
+    from foldwise.operators.pipeline import FoldPipeline
+    rng = np.random.default_rng(6)
+    rows = [(i, i % 4, float(rng.normal()), None if i % 9 == 0 else float(rng.normal() + 5), rng.choice(["x", "y", None])) for i in range(200)]
+    kind = "id long, fold int, a double, b double, c string"
+
+    def params(rows):
+        pipe = FoldPipeline(["a", "b"], ["c"], text_mode="old", ratios=("a", "b")).fit(spark.createDataFrame(rows, kind), 4)
+        return {name: sorted((tuple(r) for r in t.collect()), key=str) for name, t in pipe.tables.items()}
+
+    before, after = params(rows), params([(i, f, 99.0 + i, -7.0, "new") if f == 2 else (i, f, a, b, c) for i, f, a, b, c in rows])
+    assert set(before) == {"clip", "median", "scale", "fill", "categories"}
+    for name in before:
+        pick = lambda t, f: [r for r in t if r[0] == f]
+        assert pick(before[name], 2) == pick(after[name], 2) and pick(before[name], 2)
+        if name != "fill":
+            assert pick(before[name], 1) != pick(after[name], 1)
+    pipe = FoldPipeline(["a", "b"], ["c"], text_mode="old", ratios=("a", "b")).fit(spark.createDataFrame(rows, kind), 4)
+    train_a = np.array([a for _, f, a, _, _ in rows if f != 2])
+    lo, hi = np.quantile(train_a, [0.01, 0.99])
+    clipped = np.clip(train_a, lo, hi)
+    got = {r["id"]: r["a"] for r in pipe.apply(spark.createDataFrame(rows, kind), 2).collect()}
+    for i, f, a, _, _ in rows:
+        if f == 2:
+            assert got[i] == pytest.approx((np.clip(a, lo, hi) - clipped.mean()) / clipped.std())
