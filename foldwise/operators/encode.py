@@ -53,6 +53,14 @@ def one_hot_long(df: DataFrame, id_col: str, categories: dict[str, list[str]]) -
     return df.select(id_col, F.explode(F.array(*parts)).alias("o")).select(id_col, "o.feature", "o.category")
 
 
+def one_hot_long_joined(df: DataFrame, id_col: str, cols: Sequence[str], params: DataFrame) -> DataFrame:
+    """:func:`one_hot_long` for any number of categories: the learnt (feature, category) table stays
+    distributed and is joined, so no list is brought to the driver."""
+    long = df.select(id_col, *[F.col(c).cast("string").alias(c) for c in cols]).unpivot([id_col], list(cols), "feature", "_value")
+    known = params.select("feature", F.col("category").alias("_value"), F.col("category"))
+    return attach(long, known, ["feature", "_value"]).select(id_col, "feature", "category")
+
+
 def fit_target_mean(df: DataFrame, cat: str, target: str) -> DataFrame:
     """C1 / I27 fit: (cat, te) = mean target per category."""
     return df.where(F.col(cat).isNotNull()).groupBy(cat).agg(F.avg(F.col(target).cast("double")).alias("te"))

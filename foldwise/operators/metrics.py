@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.operators.ordered import running_sums
+from foldwise.session import materialize
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -73,7 +74,7 @@ def weighted_f1(df: DataFrame, label: str, pred: str, by: Sequence[str] = ()) ->
 
 def class_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     """Per-class rows plus 'macro avg' and 'weighted avg' rows (class as string)."""
-    pc = per_class(df, label, pred).cache()
+    pc = materialize(per_class(df, label, pred))
     rows = pc.select(F.col("class").cast("string").alias("class"), "precision", "recall", "f1", "support")
     macro = pc.agg(F.lit("macro avg").alias("class"), F.avg("precision").alias("precision"),
                    F.avg("recall").alias("recall"), F.avg("f1").alias("f1"), F.sum("support").alias("support"))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwise.operators import ensemble, folds, metrics, resample, select, weights
+from foldwise.session import materialize
 
 FAMILIES = ("rf", "gbt", "tree", "svm")
 
@@ -127,7 +128,7 @@ def cross_validate(df: DataFrame, kind: str, params: Mapping | None, k: int, fol
         allp = allp.unionByName(p)
     # predictions are aggregated once into a (fold, split, label, pred) table of at most
     # 2k · classes² rows; every metric is derived from it
-    cm = allp.groupBy("fold", "split", "label", "pred").agg(F.count(F.lit(1)).alias("n")).cache()
+    cm = materialize(allp.groupBy("fold", "split", "label", "pred").agg(F.count(F.lit(1)).alias("n")))
     m = metrics.metrics_from_confusion(cm, ["fold", "split"])
     imp = imps[0]
     for i in imps[1:]:

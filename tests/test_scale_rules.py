@@ -139,3 +139,10 @@ def test_pipeline_params_never_see_their_own_fold(spark):
     for i, f, a, _, _ in rows:
         if f == 2:
             assert got[i] == pytest.approx((np.clip(a, lo, hi) - clipped.mean()) / clipped.std())
+
+
+def test_one_hot_of_any_number_of_categories(spark):
+    df = spark.createDataFrame([(i, f"v{i % 7}", None if i % 3 else "w") for i in range(40)], "id long, a string, b string")
+    params = encode.fit_one_hot(df.where("id < 5"), ["a", "b"])
+    want = encode.one_hot_long(df, "id", encode.one_hot_columns(params)).collect()
+    assert sorted(map(tuple, encode.one_hot_long_joined(df, "id", ["a", "b"], params).collect()), key=str) == sorted(map(tuple, want), key=str)
