@@ -10,7 +10,7 @@ makes its estimated cost least; a pair must then share min(m(x), m(y)) prefix sh
 Stages, none of which loses a link:
 
 1. Every document: its set's size and id (a hash of the set: equal sets are one from here on), and its
-   prefix under the order of the hashes, with m = 1 + |x| / 20.
+   prefix under the order of the hashes, with m = 1 + |x| / 10.
 2. Prefix shingles found in two different sets are counted per document. A document with fewer than m of
    them has no partner. This leaves the *survivors*; only they are read again.
 3. Among the survivors: the number of sets that hold each shingle. One held once matches nothing, so a
@@ -20,7 +20,9 @@ Stages, none of which loses a link:
 4. Each set is verified against one *hub* per prefix shingle, the cleanest set there. In a large group of
    near copies that finds the component without making its pairs.
 5. The other pairs that share enough prefix shingles are verified, unless both are in one component
-   already. A prefix shingle's most frequent component is never paired with itself.
+   already. A pair (x, y) needs o = ceil(percent * (|x| + |y|) / (100 + percent)) in common, so of its
+   prefixes only the first u(x) - o + m and u(y) - o + m shingles count, which for sets of like size is far
+   less than the whole prefix. A shingle's most frequent component is never paired with itself.
 
 Counts are combined before they are shuffled; joins by shingle are equi-joins of two tables, whose hot
 keys Spark splits; nothing is gathered per shingle or group.
@@ -39,9 +41,9 @@ from foldwise.llm.common import map_batches, written
 from foldwise.llm.components import components
 
 #: The greatest number of shared prefix shingles that is asked for in stage 5.
-MOST_MATCHES = 12
+MOST_MATCHES = 3
 #: Cost of looking at one shingle while verifying, in units of one posting read.
-VERIFY_COST = 0.05
+VERIFY_COST = 0.01
 #: Ids of survivors that may be broadcast to pick their texts; beyond, both sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 
@@ -68,7 +70,7 @@ def need(size: int, percent: int) -> int:
 
 def first_matches(size: int) -> int:
     """The m of stage 1."""
-    return 1 + size // 20
+    return 1 + size // 10
 
 
 def _sets(docs: DataFrame, n: int, percent: int, whole: bool) -> DataFrame:
@@ -93,17 +95,17 @@ def _sets(docs: DataFrame, n: int, percent: int, whole: bool) -> DataFrame:
 def _survivors(rows: DataFrame, percent: int) -> DataFrame:
     """(set_id, doc_id): sets that may have a partner, each with its least document (stage 2).
 
-    A partner has at least need(x) shingles, and so an m of at least 1 + need(x) / 20."""
+    A partner has at least need(x) shingles, and so an m of at least 1 + need(x) / 10."""
     postings = rows.select("doc_id", "set_id", "n_shingles", F.explode("tokens").alias("token"))
     shared = postings.groupBy("token").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low <> high").select("token")
     enough = (postings.join(shared, "token").groupBy("set_id", "doc_id", "n_shingles").count()
-              .where(f"count >= 1 + (({percent} * n_shingles + 99) div 100) div 20"))
+              .where(f"count >= 1 + (({percent} * n_shingles + 99) div 100) div 10"))
     return enough.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(token, set_id, size, most, matches, noise): the adaptive prefixes of stage 3. ``most`` bounds a
-    partner's size, ``noise`` is the number of shingles that no other set holds."""
+    """(token, place, set_id, size, u, most, matches): the adaptive prefixes of stage 3. ``u`` shingles are in
+    other sets, too; ``place`` is a shingle's rank among them, and ``most`` bounds a partner's size."""
     postings = sets.select("set_id", F.col("n_shingles").alias("size"), F.explode("tokens").alias("token"))
     counts = postings.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1")
     mine = Window.partitionBy("set_id")
@@ -118,7 +120,7 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     choice = F.when((F.col("m") >= 1) & (F.col("m") <= MOST_MATCHES), F.struct(cost.alias("cost"), F.col("m")))
     return (shared.withColumn("matches", F.min(choice).over(mine)["m"]).where("m <= matches")
             .withColumn("most", F.expr(f"({100 + percent} * u) div {percent} - size"))
-            .select("token", "set_id", "size", "most", "matches", (F.col("size") - F.col("u")).alias("noise")))
+            .select("token", "place", "set_id", "size", "u", "most", "matches"))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -132,13 +134,13 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _hub_pairs(prefixes: DataFrame) -> DataFrame:
     """Each set with the cleanest, then largest, set of each of its prefix shingles (stage 4)."""
-    hubs = (prefixes.groupBy("token").agg(F.min(F.struct("noise", -F.col("size"), "set_id", "size", "most")).alias("hub"))
+    hubs = (prefixes.groupBy("token").agg(F.min(F.struct((F.col("size") - F.col("u")).alias("noise"), -F.col("size"), "set_id", "size", "most")).alias("hub"))
             .select("token", F.col("hub.set_id").alias("hub"), F.col("hub.size").alias("hub_size"), F.col("hub.most").alias("hub_most")))
     return (prefixes.join(hubs, "token").where("set_id <> hub and size <= hub_most and hub_size <= most")
             .select(F.greatest("set_id", "hub").alias("a"), F.least("set_id", "hub").alias("b")).distinct())
 
 
-def _other_pairs(prefixes: DataFrame, found: DataFrame) -> DataFrame:
+def _other_pairs(prefixes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that share enough prefix shingles (stage 5)."""
     labelled = (prefixes.join(found.withColumnRenamed("vertex", "set_id"), "set_id", "left")
                 .withColumn("component", F.coalesce("component", "set_id")))
@@ -147,8 +149,10 @@ def _other_pairs(prefixes: DataFrame, found: DataFrame) -> DataFrame:
             .where("components > 1").select("token", F.col("main.component").alias("main")))
     mixed = labelled.join(main, "token")
     x, y = mixed.where("component <> main").alias("x"), mixed.alias("y")
-    return (x.join(y, F.expr("""x.token = y.token and x.component <> y.component and x.size <= y.most and y.size <= x.most
-                                and (y.component = y.main or x.set_id < y.set_id)"""))
+    common = f"({percent} * (x.size + y.size) + {99 + percent}) div {100 + percent}"
+    near = lambda s: f"{s}.place <= {s}.u - {common} + least(x.matches, y.matches)"
+    return (x.join(y, F.expr(f"""x.token = y.token and x.component <> y.component and x.size <= y.most and y.size <= x.most
+                                 and {near('x')} and {near('y')} and (y.component = y.main or x.set_id < y.set_id)"""))
             .select(F.greatest("x.set_id", "y.set_id").alias("a"), F.least("x.set_id", "y.set_id").alias("b"),
                     F.least("x.matches", "y.matches").alias("matches"))
             .groupBy("a", "b", "matches").count().where("count >= matches").select("a", "b"))
@@ -166,7 +170,7 @@ def link_sets(docs: DataFrame, n: int = 5, percent: int = 80) -> tuple[DataFrame
     prefixes = written(_prefixes(sets, percent), "jaccard-prefixes")
     near = written(_linked(_hub_pairs(prefixes), sets, percent), "jaccard-hub-links")
     found = components(near)
-    far = _linked(_other_pairs(prefixes, found), sets, percent)
+    far = _linked(_other_pairs(prefixes, found, percent), sets, percent)
     # components are joined by the links between them
     return rows.select("doc_id", "n_shingles", "set_id"), components(near.union(far))
 
