@@ -14,7 +14,6 @@ Training reads a bounded sample (``SAMPLE_ROWS`` labelled documents by the order
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -33,7 +32,6 @@ SAMPLE_BYTES = 65_536
 WINDOWS_PER_ROW = 6
 STEPS, BATCH, RATE = 500, 256, 0.02
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _CHUNK = 4096
 #: Bytes of letters, once a text is lower-cased: a-z and every byte of a non-ASCII character.
 _LETTER_BYTE = np.zeros(256, bool)
@@ -47,8 +45,9 @@ def _squash(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Network:
-    """``directions``: for each direction (table, recurrent, bias); gates are stacked as update,
-    reset, candidate. ``out``: (languages, 2 * hidden + 1), the last column is the bias."""
+    """For each direction a ``table`` (3 * hidden, 256), the bytes' input to the update gate, the reset gate and
+    the candidate, and ``recurrent`` (3 * hidden, hidden). ``out``: (languages, 2 * hidden + 1), the last
+    column is the bias."""
 
     languages: list[str]
     table: list[np.ndarray]
@@ -196,7 +195,7 @@ def predict(docs: DataFrame, network: Network | None, keep: Sequence[str] = ())
 
     def run(batch: pa.RecordBatch) -> dict:
         texts = batch.column(1).to_pylist()
-        known = [bool(t and network and _LETTER.search(t)) for t in texts]
+        known = [bool(t and network and any(map(str.isalpha, t))) for t in texts]
         label, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
         if any(known):
             at = np.flatnonzero(known)
