@@ -5,7 +5,8 @@ read again as the next one's ``docs``. All but the last return the columns of ``
 
 Edge cases: null and empty texts have no letter and go at the first stage. Extra columns don't pass. Rows
 that share a doc_id are one document to the near-duplicate stage: it goes if one of its texts goes, and
-repeated rows of it are kept once. A null doc_id never stands for its group where another document is in it.
+repeated rows of it are kept once. Rows without a doc_id are told apart by their texts and stand for their
+group only if no document with a doc_id is in it.
 Empty tables pass through as empty.
 """
 
@@ -43,21 +44,22 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the least doc_id of each group of near copies."""
-    docs = _columns(docs)
-    found = written(jaccard_join.near_duplicates(docs, 5, 80), "pipeline-groups")
-    gone = found.where("component_id is not null and not (doc_id <=> component_id)").select(F.col("doc_id").alias("gone")).distinct()
-    several = found.where("doc_id <=> component_id").groupBy(F.col("doc_id").alias("repeated")).count().where("count > 1").select("repeated")
+    # rows without a doc_id go by their text, with numbers above those of the others
+    number = F.coalesce("doc_id", F.lit(1 << 62) + F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 61) - 1)))
+    docs = _columns(docs).withColumn("_number", number)
+    found = written(jaccard_join.near_duplicates(docs.select(F.col("_number").alias("doc_id"), "text"), 5, 80), "pipeline-groups")
+    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_number")).distinct()
+    several = found.where("component_id = doc_id").groupBy(F.col("doc_id").alias("_number")).count().where("count > 1").select("_number")
 
-    def without(frame: DataFrame, ids: DataFrame, name: str, how: str) -> DataFrame:
-        ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-        return frame.join(ids, frame["doc_id"].eqNullSafe(ids[name]), how)
+    def only(frame: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+        return frame.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "_number", how)
 
-    kept = without(docs, written(gone, "pipeline-gone"), "gone", "left_anti")
+    kept = only(docs, written(gone, "pipeline-gone"), "left_anti")
     several = written(several, "pipeline-repeated")
     if several.isEmpty():
-        return kept
-    once = without(kept, several, "repeated", "left_semi").dropDuplicates(["doc_id", "text"])
-    return without(kept, several, "repeated", "left_anti").union(once)
+        return kept.select(*COLUMNS)
+    once = only(kept, several, "left_semi").dropDuplicates(["_number", "text"])
+    return only(kept, several, "left_anti").unionByName(once).select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -184,18 +184,17 @@ def main_text(html: str | None) -> str:
         up = tree.parents[k]
         inside[k] = k in chosen or up >= 0 and inside[up]
         block[k] = k if tree.tags[k] not in INLINE and tree.tags[k] != "hr" else block[up]
-    blocks, last, after = [], None, -1
+    blocks, last = [], None
     for node, text in tree.runs:
         if inside[node]:
             here = block[node]
-            # a block element between two runs of the same outer block parts them
+            # text of an outer block that goes on after an inner one is a block of its own
             if here != last:
                 blocks.append([])
                 last = here
             blocks[-1].append(text)
         else:
             last = None
-    del after
     return "\n\n".join(filter(None, (" ".join("".join(b).split()) for b in blocks)))
 
 

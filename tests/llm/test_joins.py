@@ -2,7 +2,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from brute import components, cosine, jaccard_linked, shingles
 from llm_data import docs, no_docs  # noqa: F401
@@ -78,8 +77,7 @@ def test_vectors_equal_brute_force(spark, monkeypatch, cell_rows, block_rows):
     monkeypatch.setattr(vector_dedup, "BLOCK_ROWS", block_rows)
     rows = vectors() + [(1001, None), (1003, []), (1005, [0.0] * 12), (1007, [float("nan")] * 12), (1009, [float("inf")] * 12), (1011, [None] * 12), (1013, [1.0, 2.0]), (1015, [2.0, 4.0])]
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in
-           vector_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, cell int, side int, times long"
-                                                              if False else "vec_id long, embedding array<double>"), 0.95).collect()}
+           vector_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 0.95).collect()}
     scaled = {i: None if v is None else [x / 1e200 if x and abs(x) > 1e100 else x * 1e200 if x and 0 < abs(x) < 1e-100 else x for x in v] if i < 1000 else v for i, v in rows}
     linked = lambda a, b: a != b and cosine(scaled[a], scaled[b]) >= 0.95
     want = components(list(scaled), linked)
@@ -112,4 +110,3 @@ def test_plan_of_the_join_has_no_cross_join(spark):
     rows = spark.createDataFrame(near_copies()[:20], "doc_id long, text string")
     plan = jaccard_join.near_duplicates(rows, 5, 80)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert F is not None

@@ -135,9 +135,8 @@ def test_values_stay_in_their_format_and_differ(spark):
 
 
 def test_permutations_are_bijections(spark):
-    n = spark.range(88902 * 3).select(F.expr(pii.permuted_number("id", "211", "1264", "'t'", KEY)).alias("v"))
     small = spark.range(211 * 1264).select(F.expr(pii.permuted_number("id", "211", "1264", "'t'", KEY)).alias("v"))
-    assert small.agg(F.countDistinct("v"), F.min("v"), F.max("v")).first() == (211 * 1264, 0, 211 * 1264 - 1) and n is not None
+    assert small.agg(F.countDistinct("v"), F.min("v"), F.max("v")).first() == (211 * 1264, 0, 211 * 1264 - 1)
     words = spark.range(10_000).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("w"))
     assert words.select(F.expr(pii.permuted_string("w", "'t'", KEY)).alias("v")).agg(F.countDistinct("v")).first()[0] == 10_000
 
