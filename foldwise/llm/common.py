@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from foldwise.session import scratch_path
 
@@ -25,6 +26,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sampled(df: DataFrame, key: str, rows: int) -> list[Row]:
+    """At most ``rows`` rows of ``df``, the same ones each time, in the order of a hash of ``key``.
+
+    Rows are picked by the hash where they are, at a rate set by their number, so about ``rows`` rows in all
+    reach the driver, however many there are and in whatever partitions; twice as many is the bound."""
+    n = df.select(key).count()
+    share = min(1.0, 1.2 * rows / max(1, n))
+    hashed = F.pmod(F.xxhash64(key), F.lit(1 << 31))
+    some = df.withColumn("_hash", hashed).where(F.col("_hash") < F.lit(int(share * (1 << 31)) + 1)).limit(2 * rows).collect()
+    return sorted(some, key=lambda r: (r["_hash"], str(r)))[:rows]
+
+
 def map_batches(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict], rows: int = 256) -> DataFrame:
     """``fn`` gets up to ``rows`` rows at a time and returns the output columns by name, in the
     order of ``schema``. Slices are small, so that very long texts do not meet in memory."""

@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import map_batches
+from foldwise.llm.common import map_batches, sampled
 
 WINDOW = 64
 HIDDEN = 8
-#: Bounds of the training sample: documents (of at most SAMPLE_BYTES), and windows of each.
+#: Bounds of the training sample: documents (longer ones are passed over), and windows of each.
 SAMPLE_ROWS = 4000
 SAMPLE_BYTES = 65_536
 WINDOWS_PER_ROW = 6
@@ -177,10 +177,9 @@ def held_out(doc_id: F.Column) -> F.Column:
 
 def fit(docs: DataFrame) -> Network | None:
     """Train on ``docs`` (doc_id, text, lang). Rows with a null text, lang or doc_id, and held-out
-    rows, teach nothing. At most ``SAMPLE_ROWS`` rows reach the driver."""
-    rows = (docs.select("doc_id", "text", "lang").where("doc_id is not null and text is not null and lang is not null")
-            .where(~held_out(F.col("doc_id"))).where(F.octet_length("text") <= SAMPLE_BYTES)
-            .orderBy(F.xxhash64("doc_id"), "doc_id", "text", "lang").limit(SAMPLE_ROWS).collect())
+    rows, teach nothing. About ``SAMPLE_ROWS`` rows, at most twice as many, reach the driver."""
+    known = docs.select("doc_id", "text", "lang").where("doc_id is not null and text is not null and lang is not null")
+    rows = [r for r in sampled(known.where(~held_out(F.col("doc_id"))), "doc_id", SAMPLE_ROWS) if len(r["text"]) <= SAMPLE_BYTES]
     return train([r["text"] for r in rows], [r["lang"] for r in rows])
 
 

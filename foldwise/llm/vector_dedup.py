@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import written
+from foldwise.llm.common import sampled, written
 from foldwise.llm.components import components
 
 #: Rows that k-means is fitted on, at most; vectors that a cell should have; cells, at most; rounds.
@@ -148,7 +148,7 @@ def class_links(classes: DataFrame, cosine: float) -> DataFrame:
     sizes = classes.groupBy(F.size("embedding").alias("d")).count().collect()
     for dimension, n in sizes:  # vectors of different lengths don't link; one length is usual
         mine = classes.where(F.size("embedding") == dimension)
-        some = mine.orderBy(F.xxhash64("class_id"), "class_id").limit(SAMPLE_ROWS).select("embedding").collect()
+        some = sampled(mine.select("class_id", "embedding"), "class_id", SAMPLE_ROWS)
         cells = Cells(spherical_kmeans(unit([r["embedding"] for r in some]), max(1, min(MOST_CELLS, n // CELL_ROWS))), cosine)
         kind = classes.schema["embedding"].dataType.simpleString()
         dealt = written(mine.mapInPandas(_deal(cells), f"class_id long, times long, embedding {kind}, cell int, home int"), "vector-cells")
