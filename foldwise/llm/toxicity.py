@@ -25,13 +25,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import map_batches
+from foldwise.llm.common import map_batches, sampled
 
 WINDOW = 96
 LEVEL = 5
 ORDINARY_BYTES = 14_000
 #: Bounds of the training sample: labelled documents, of at most so many bytes each.
-SAMPLE_ROWS = 12_000
+SAMPLE_ROWS = 8_000
 SAMPLE_BYTES = 32_768
 #: A toxic word has so many times its share in ordinary text, and so many different contexts that of all
 #: words fewer than CHANCE would have them in toxic text only, if they fell there by the texts' sizes.
@@ -51,10 +51,11 @@ def toxic_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     """Words by the number of different neighbours in toxic texts, rarest first. Counting contexts
     rather than occurrences keeps copies of a text from making its words look frequent."""
     sizes = [max(1, sum(map(len, texts))) for texts in (toxic, ordinary)]
-    seen = [Counter(w for t in texts for w in set(_WORD.findall(t))) for texts in (toxic, ordinary)]
-    least = math.ceil(math.log(max(2, len(seen[0] | seen[1])) / CHANCE) / math.log(sum(sizes) / sizes[0]))
+    seen = Counter(w for t in toxic for w in set(_WORD.findall(t)))
+    words = sum(len(_WORD.findall(t)) for texts in (toxic, ordinary) for t in texts)
+    least = math.ceil(math.log(max(2, words) / CHANCE) / math.log(sum(sizes) / sizes[0]))
     ratio = lambda a, b: a >= least and a / sizes[0] >= LEAST_RATIO * (b + 0.5) / sizes[1]
-    likely = {w for w, n in seen[0].items() if ratio(n, 0)}
+    likely = {w for w, n in seen.items() if ratio(n, 0)}
     contexts: list[dict] = [defaultdict(set), defaultdict(set)]
     for found, texts in zip(contexts, (toxic, ordinary)):
         for t in texts:
@@ -151,12 +152,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Train on ``docs`` (doc_id, text) labelled by ``labels`` (doc_id, toxic), but for held-out rows.
     Null ids and labels teach nothing; an id labelled both ways is toxic. The sample's ids are
     bounded by ``SAMPLE_ROWS`` and so are broadcast."""
-    ids = (labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
-           .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS))
+    known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
+    each = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    picked = [(r["doc_id"], r["toxic"], at) for at, r in enumerate(sampled(each, "doc_id", SAMPLE_ROWS))]
+    ids = docs.sparkSession.createDataFrame(picked, "doc_id long, toxic int, at int")
     rows = (docs.select(F.col("doc_id").cast("long"), "text").where(F.octet_length("text") <= SAMPLE_BYTES)
-            .join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic").collect())
-    rows.sort(key=lambda r: (hash((r["doc_id"] * 0x9E3779B97F4A7C15) % 2**61), r["text"]))
+            .join(F.broadcast(ids), "doc_id").select("at", "text", "toxic").limit(2 * SAMPLE_ROWS).collect())
+    rows.sort(key=lambda r: (r["at"], r["text"]))
     return train([r["text"] for r in rows[:SAMPLE_ROWS]], [r["toxic"] for r in rows[:SAMPLE_ROWS]])
 
 
