@@ -1,19 +1,13 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame operations only.
 
 A document is a weighted set: its word shingles (five lower-cased words; fewer words are one shingle) and
-how often each occurs. A shingle z of weight w draws, from hashes of z alone, r and c from
-Gamma(2, 1) and b uniformly, and then
+how often each occurs. The i-th occurrence of a shingle z is a unit (z, i) of weight 1, so a shingle of
+weight w holds the units 1 to w. Sample j is the unit with the least hash under seed j among ALL units of the
+document: ``SAMPLES`` seeded draws of every weighted shingle. Two documents share a unit (z, i) where both hold z at
+least i times; they take the same sample with a probability equal to their generalised Jaccard similarity,
+sum of min(w) / sum of max(w). Likeness is the share of equal samples.
 
-    t = floor(ln w / r + b)        y = exp(r * (t - b))        a = c / (y * exp(r))
-
-The least a wins, and (z, t) is the sample: two documents take the same sample with a probability equal
-to their generalised Jaccard similarity, sum of min(w) / sum of max(w).
-
-Shingles are dealt into ``BINS`` bins by a hash and each bin takes one sample, so every shingle draws
-once rather than once per sample. Likeness is the share of bins with the same sample, among the bins
-that are filled in either document; short documents, with a shingle a bin, are compared exactly.
-
-A sample is kept as its bin and 16 bits of the hash of (z, t). All steps on a document's shingles run
+A sample is kept as its number and 16 bits of the unit's hash. All steps on a document's shingles run
 where its text was shuffled to, by doc_id; no shingle is shuffled.
 """
 
@@ -25,7 +19,7 @@ from pyspark.sql.window import Window
 
 from foldwise.llm.common import written
 
-BINS = 96
+SAMPLES = 96
 WORDS = 5
 #: Bytes of text that one task aggregates, about.
 TASK_BYTES = 8 << 20
@@ -46,32 +40,20 @@ def shingles(found: F.Column) -> F.Column:
     return F.when(F.size(found) >= WORDS, runs).otherwise(short)
 
 
-def _uniform(bits: F.Column) -> F.Column:
-    """(0, 1) from the lower 32 bits."""
-    return (bits.bitwiseAND(F.lit(0xFFFFFFFF)) + 0.5) / float(1 << 32)
-
-
-def sample_code(weight: F.Column) -> F.Column:
-    """The least of these codes over a bin's shingles is its sample: ln a in the upper bits, so that
-    codes sort by it, and 16 bits of the hash of (z, t), never 0, in the lower."""
-    t = F.floor(F.log(weight) / F.col("r") + F.col("b"))
-    ln_a = F.col("ln_c") - F.col("r") * (t - F.col("b") + 1)
-    rank = (F.least(F.greatest(ln_a + 512, F.lit(0.0)), F.lit(1023.0)) * float(1 << 36)).cast("long")
-    mark = F.pmod(F.xxhash64(F.lit(7), "z", t), F.lit(65535)) + 1
-    return F.when(weight > 0, F.shiftleft(rank, 16).bitwiseOR(mark))
-
-
 def bin_samples(counted: DataFrame, keys: list[str]) -> DataFrame:
-    """``counted`` (keys, z, w0, w1): two weighted sets. Returns (keys, bin, c0, c1): the samples."""
-    h = [F.xxhash64(F.lit(k), F.col("z")) for k in range(3)]
-    drawn = counted.select(
-        *keys, "z", "w0", "w1", F.pmod(F.xxhash64(F.lit(3), "z"), F.lit(BINS)).cast("int").alias("bin"),
-        (-F.log(_uniform(h[0]) * _uniform(F.shiftrightunsigned(h[0], 32)))).alias("r"),
-        F.log(-F.log(_uniform(h[1]) * _uniform(F.shiftrightunsigned(h[1], 32)))).alias("ln_c"), _uniform(h[2]).alias("b"))
-    low = F.lit(0xFFFF)
-    best = drawn.groupBy(*keys, "bin").agg(F.min(sample_code(F.col("w0"))).alias("c0"), F.min(sample_code(F.col("w1"))).alias("c1"))
-    mark = lambda c: F.shiftleft(F.col("bin"), 16).bitwiseOR(F.col(c).bitwiseAND(low).cast("int")).alias(c)
-    return best.select(*keys, "bin", mark("c0"), mark("c1"))
+    """``counted`` (keys, z, w0, w1): two weighted sets. Returns (keys, bin, c0, c1): for each sample number
+    the samples of both sets, null for a set without weight."""
+    sides = counted.select(*keys, "z", F.expr("inline(array(named_struct('side', 0, 'w', w0), named_struct('side', 1, 'w', w1)))")).where("w > 0")
+    units = (sides.select(*keys, "side", "z", F.explode(F.sequence(F.lit(1).cast("long"), F.col("w"))).alias("i"))
+             .select(*keys, "side", F.xxhash64("z", "i").alias("unit")))
+    # a column a sample: every unit draws in each, and the least are kept while rows are read
+    least = units.groupBy(*keys, "side").agg(
+        *(F.min(F.xxhash64(F.col("unit").bitwiseXOR(F.xxhash64(F.lit(j))))).alias(f"s{j}") for j in range(SAMPLES)))
+    marks = F.array(*(F.lit(j << 16).bitwiseOR(F.col(f"s{j}").bitwiseAND(F.lit(0xFFFF)).cast("int")) for j in range(SAMPLES)))
+    both = (least.select(*keys, "side", marks.alias("marks")).groupBy(*keys)
+            .agg(*(F.first(F.when(F.col("side") == k, F.col("marks")), ignorenulls=True).alias(f"c{k}") for k in (0, 1))))
+    return both.select(*keys, F.posexplode(F.arrays_zip(*(F.coalesce(f"c{k}", F.expr("cast(array() as array<int>)")).alias(f"c{k}") for k in (0, 1)))).alias("bin", "c")).select(
+        *keys, "bin", "c.c0", "c.c1")
 
 
 def likeness(a: F.Column, b: F.Column) -> F.Column:

@@ -71,6 +71,16 @@ def test_estimates_on_documents(spark):
     assert abs(sum(error) / len(error)) < 0.05 and max(map(abs, error)) < 0.25
 
 
+def test_heavy_shingles_count_in_every_sample(spark):
+    common = " ".join(f"w{i}" for i in range(504))
+    heavy = common + " buy this now or never" * 200
+    want = generalised_jaccard(shingle_counts(heavy), shingle_counts(common))
+    rows = [(2 * k + side, " ".join(f"{k}{w}" for w in t.split())) for k in range(8) for side, t in enumerate((common, heavy))]
+    got = {r["doc_id"]: r for r in sampling_fingerprint.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    estimates = [got[2 * k + 1]["near_next"] for k in range(8)]
+    assert 0.3 < want < 0.36 and abs(sum(estimates) / 8 - want) < 0.07 and max(abs(e - want) for e in estimates) < 0.2
+
+
 def test_native_plans(docs):
     for out in (sampling_fingerprint.fingerprints(docs), pii.pseudonymize(docs, KEY)):
         plan = out._jdf.queryExecution().toString()
