@@ -29,9 +29,13 @@ def _columns(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject documents without a language (no text, or no letter); ``lang`` becomes the predicted one."""
+    """Reject documents without a language (no text, or no letter); ``lang`` becomes the predicted one, and stays
+    as it is if there was nothing to learn languages from."""
     docs = _columns(docs)
-    found = langid.predict(docs, langid.fit(docs), keep=["source", "n_chars"])
+    network = langid.fit(docs)
+    if network is None:
+        return langid.with_letters(docs)
+    found = langid.predict(docs, network, keep=["source", "n_chars"])
     return found.where(F.col("lang_pred") != langid.UNKNOWN).select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
 
 

@@ -176,13 +176,27 @@ def held_out(doc_id: F.Column) -> F.Column:
 
 
 def fit(docs: DataFrame) -> Network | None:
-    """Train on ``docs`` (doc_id, text, lang). Rows with a null text, lang or doc_id, and held-out
-    rows, teach nothing. About ``SAMPLE_ROWS`` rows, at most twice as many, reach the driver."""
-    known = docs.select("doc_id", "text", "lang").where("doc_id is not null and text is not null and lang is not null")
+    """Train on ``docs`` (doc_id, text, lang). Rows with a null text, lang or doc_id, rows whose lang is ``und``, and
+    held-out rows, teach nothing. About ``SAMPLE_ROWS`` rows, at most twice as many, reach the driver."""
+    known = docs.select("doc_id", "text", "lang").where("doc_id is not null and text is not null and lang is not null").where(F.col("lang") != UNKNOWN)
     rows = [r for r in sampled(known.where(~held_out(F.col("doc_id"))), "doc_id", SAMPLE_ROWS) if len(r["text"]) <= SAMPLE_BYTES]
     return train([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
+def _has_letter(text: str | None) -> bool:
+    return bool(text) and any(map(str.isalpha, text))
+
+
+def with_letters(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text has a letter: those that :func:`predict` gives a language, given a network."""
+
+    def run(batch: pa.RecordBatch) -> dict:
+        kept = batch.filter(pa.array(map(_has_letter, batch.column("text").to_pylist()), pa.bool_()))
+        return dict(zip(kept.schema.names, kept.columns))
+
+    return map_batches(docs, ", ".join(f"{c} {kind}" for c, kind in docs.dtypes), run)
+
+
 def predict(docs: DataFrame, network: Network | None, keep: Sequence[str] = ()) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for every row of ``docs`` (doc_id, text): the language of
     greatest mean probability and that probability. Null texts and texts without a letter get
@@ -194,7 +208,7 @@ def predict(docs: DataFrame, network: Network | None, keep: Sequence[str] = ())
 
     def run(batch: pa.RecordBatch) -> dict:
         texts = batch.column(1).to_pylist()
-        known = [bool(t and network and any(map(str.isalpha, t))) for t in texts]
+        known = [bool(network) and _has_letter(t) for t in texts]
         label, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
         if any(known):
             at = np.flatnonzero(known)

@@ -70,3 +70,12 @@ def test_edge_rows_pass_through(spark, docs, no_docs):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, no_docs, SF).count() == 0, name
         stage(spark, docs, SF).collect()
+
+
+def test_documents_with_letters_stay_without_labels(spark):
+    texts = ["some words of a text", "12 34", None, "", "ünï", "more words"]
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    for lang, make in ((None, lambda t: t), ("und", lambda t: t), ("en", lambda t: t and t + " " + t * 20_000)):
+        rows = spark.createDataFrame([(i, make(t), lang, "s", i) for i, t in enumerate(texts)], kind)
+        got = sorted((r["doc_id"], r["source"], r["n_chars"], r["lang"]) for r in corpus_pipeline.language(spark, rows, SF).collect())
+        assert got == [(i, "s", i, lang) for i in (0, 4, 5)]
