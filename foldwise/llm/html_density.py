@@ -7,8 +7,10 @@ element with the greatest sum of its children's densities holds the main text. T
 on the path from it up to the body is the threshold: blocks beside that path that reach it belong to the
 text too, and what stays below is left out.
 
-Before that, elements that never hold an article's text go, by their tag, their role or the words of their
-class and id. An ``article`` or ``main`` element around the chosen element is taken whole.
+Before that, elements that never hold an article's text go, by their tag or role. Forms, and elements with a listed word in
+their class or id, go as well, unless they are wrappers: outside ``article`` and ``main``, they hold such an element with text;
+or they hold most of the text outside links of the ``article`` or ``main`` around them, or of the page if no other such element
+would stay. Wrappers' descendants are judged by themselves. Where nothing would be left, the words don't count. An ``article`` or ``main`` element around the chosen element is taken whole.
 """
 
 from __future__ import annotations
@@ -26,15 +28,20 @@ from foldwise.llm.common import map_batches
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small "
                    "span strike strong sub sup time tt u var wbr".split())
-DROPPED = frozenset("aside audio button canvas datalist dialog embed fieldset footer form head iframe input link menu meta nav noscript object "
+DROPPED = frozenset("aside audio button canvas datalist dialog embed fieldset footer head iframe input link menu meta nav noscript object "
                     "script select style svg template textarea title video".split())
 WHOLE = frozenset(("article", "main"))
-DROPPED_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
+DROPPED_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog menu menubar navigation search toolbar".split())
 DROPPED_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright "
     "disqus disclaimer footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination "
     "popup promo promoted promotion recommended related replies reply respond share sharing sidebar signup skip social sponsor sponsored "
     "sponsors subscribe subscription tagcloud toolbar topbar widget widgets".split())
+#: Of these, words of parts that may be longer than the text and hold ``article`` elements; such parts are no wrappers.
+PART_WORDS = frozenset("comment comments consent cookie cookies disqus gdpr replies reply respond".split())
+#: A class that starts so says what is there, or isn't, and not what the element is.
+_STATE = re.compile(r"^(?:has|no|with|without)[-_]")
+SOFT, PART, HARD = 1, 2, 3
 #: An open element of the second set ends when one of the first starts.
 ENDS = ((frozenset("address article aside blockquote center details div dl dd dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li "
                    "main nav ol p pre section table td th tr ul".split()), frozenset(("p",))),
@@ -45,20 +52,23 @@ SCOPES = frozenset("article aside body button div main ol section table ul".spli
 _WORDS = re.compile(r"[a-z]+")
 
 
-def _unwanted(tag: str, attrs: dict, inside_whole: bool) -> bool:
+def _unwanted(tag: str, attrs: dict, inside_whole: bool) -> int:
+    """0, or ``HARD``: goes; ``SOFT``: goes unless it is a wrapper; ``PART``: goes unless nothing else is left."""
     if tag in ("html", "body") or tag in WHOLE:
-        return False
+        return 0
     if tag in DROPPED or tag == "header" and not inside_whole:
-        return True
+        return HARD
     if attrs.get("role") in DROPPED_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true":
-        return True
+        return HARD
     if "display:none" in (attrs.get("style") or "").replace(" ", "").lower():
-        return True
+        return HARD
     named = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower()
-    if named == " ":
-        return False
-    words = set(_WORDS.findall(named))
-    return not words.isdisjoint(DROPPED_WORDS) or "header" in words and not inside_whole
+    words = {w for name in named.split() if not _STATE.match(name) for w in _WORDS.findall(name)}
+    if not words.isdisjoint(PART_WORDS):
+        return PART
+    if tag == "form" or attrs.get("role") == "form" or not words.isdisjoint(DROPPED_WORDS) or "header" in words and not inside_whole:
+        return SOFT
+    return 0
 
 
 class _Tree(HTMLParser):
@@ -67,7 +77,7 @@ class _Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.tags, self.parents, self.whole, self.open, self.runs = ["#root"], [-1], [False], [0], []
-        self.skipped, self.counts = 0, {}
+        self.skipped, self.counts, self.doubtful = 0, {}, {}
 
     def handle_starttag(self, tag, attrs):
         for starts, ends in ENDS:
@@ -86,9 +96,12 @@ class _Tree(HTMLParser):
         self.tags.append(tag)
         self.parents.append(parent)
         self.whole.append(whole)
-        if not self.skipped and _unwanted(tag, dict(attrs), whole):
-            if tag not in VOID:
+        if not self.skipped and tag not in VOID:
+            unwanted = _unwanted(tag, dict(attrs), whole)
+            if unwanted == HARD:
                 self.skipped = len(self.tags) - 1
+            elif unwanted:
+                self.doubtful[len(self.tags) - 1] = unwanted
         if tag in VOID:
             if not self.skipped:
                 self.runs.append((len(self.tags) - 1, " "))
@@ -118,6 +131,32 @@ class _Tree(HTMLParser):
             self.runs.append((self.open[-1], data))
 
 
+def _dropped(tree: _Tree) -> list[bool]:
+    """The elements that go with a doubtful one that is no wrapper."""
+    n = len(tree.tags)
+    text, whole_below, scope = [0] * n, [False] * n, [0] * n
+    in_link, in_doubt = [False] * n, [False] * n
+    for k in range(1, n):
+        up = tree.parents[k]
+        in_link[k] = tree.tags[k] == "a" or in_link[up]
+        in_doubt[k] = k in tree.doubtful or in_doubt[up]
+        scope[k] = up if tree.tags[up] in WHOLE else scope[up]
+    for node, run in tree.runs:
+        text[node] += 0 if in_link[node] else sum(map(len, run.split()))
+    for k in range(n - 1, 0, -1):
+        up = tree.parents[k]
+        text[up] += text[k]
+        whole_below[up] = whole_below[up] or whole_below[k] or tree.tags[k] in WHOLE and text[k] > 0
+    other = any(tree.tags[k] in WHOLE and text[k] and not in_doubt[k] for k in range(n))
+    gone = [False] * n
+    for k in range(1, n):
+        gone[k] = gone[tree.parents[k]]
+        if k in tree.doubtful and not gone[k]:
+            wrapper = 2 * text[k] > text[scope[k]] and (scope[k] > 0 or not other) or not scope[k] and whole_below[k]
+            gone[k] = tree.doubtful[k] == PART or not wrapper
+    return gone
+
+
 def _choose(tree: _Tree) -> set[int]:
     """The elements whose subtrees make the main text."""
     n = len(tree.tags)
@@ -177,6 +216,11 @@ def main_text(html: str | None) -> str:
     tree = _Tree()
     tree.feed(html)
     tree.close()
+    if tree.doubtful:
+        gone = _dropped(tree)
+        left = [r for r in tree.runs if not gone[r[0]]]
+        if any(text.strip() for _, text in left):
+            tree.runs = left
     chosen = _choose(tree)
     n = len(tree.tags)
     inside, block = [False] * n, [0] * n

@@ -48,6 +48,25 @@ def test_short_article_beside_a_long_advert():
     assert html_density.main_text(html) == "Hi\n\nOk."
 
 
+def test_wrappers_named_like_other_parts():
+    long = "".join(f"<p>Paragraph {i} holds a good number of words so that it looks like text.</p>" for i in range(5))
+    inner = "<div class='sidebar'><p>Popular posts of the week</p></div><div id='comments'><article><p>Reader says hello.</p></article></div>"
+    opened = [f"<div class='{c}'>" for c in ("content-sidebar-wrap", "no-sidebar", "has-share", "related-layout", "post no-comments")] + ["<form action='./page.aspx'>"]
+    for start in opened:
+        end = "</form>" if "form" in start else "</div>"
+        for held in (f"<article>{ARTICLE}{long}</article>{inner}", f"<div>{ARTICLE}{long}</div>{inner}"):
+            text = html_density.main_text(page(AROUND[0] + start + held + end + "<p>Some words below.</p>" + AROUND[1]))
+            assert text.startswith(WANT) and text.count("Paragraph") == 5 and "Popular" not in text and "Reader" not in text, start
+        text = html_density.main_text(page(AROUND[0] + f"<main>{start}<article>{ARTICLE}{long}</article>{inner}{end}</main>" + AROUND[1]))
+        assert text.startswith(WANT) and text.count("Paragraph") == 5 and "Popular" not in text and "Reader" not in text, start
+    assert html_density.main_text(page("<div id='comments'><p>All there is.</p></div>")) == "All there is."
+
+
+def test_long_comments_go():
+    body = f"<div>{ARTICLE}</div><div id='comments'>" + "<article><p>A reader says a good deal about this text.</p></article>" * 20 + "</div>"
+    assert html_density.main_text(page(body)) == WANT
+
+
 def test_empty_pages():
     assert [html_density.main_text(h) for h in (None, "", " \n", "<html></html>", "<nav>x</nav>", page("<footer>x</footer>"))] == [""] * 6
 
