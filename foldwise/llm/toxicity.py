@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -30,14 +31,17 @@ from foldwise.llm.common import map_batches, sampled
 WINDOW = 96
 LEVEL = 5
 ORDINARY_BYTES = 14_000
-#: Bounds of the training sample: labelled documents, of at most so many bytes each.
+#: Bounds of the training sample: labelled documents, of at most so many bytes each. Half of them are toxic, if
+#: there are as many; a class with fewer leaves its places to the other.
 SAMPLE_ROWS = 8_000
 SAMPLE_BYTES = 32_768
 #: A toxic word has so many times its share in ordinary text, and so many different contexts that of all
 #: words fewer than CHANCE would have them in toxic text only, if they fell there by the texts' sizes.
 LEAST_RATIO, CHANCE = 15, 0.1
-#: Of the sample, the dictionaries learn from this share; the rest calibrates.
+#: Of the sample's documents of each class, the dictionaries learn from this share; the rest calibrates.
 DICTIONARY_SHARE = 0.65
+#: Different words are counted by their places in a table of so many bytes.
+_PLACES = 1 << 22
 _WORD = re.compile(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 _WINDOW = re.compile(rb"(?s).{%d}\S{0,%d}|.+" % (WINDOW, WINDOW))
 
@@ -47,12 +51,21 @@ def windows(text: str | None) -> list[bytes]:
     return _WINDOW.findall((text or "").encode().lower())
 
 
+def different_words(texts: list[bytes]) -> int:
+    """About how many; from the share of places that stay empty, so that memory doesn't grow with the words."""
+    seen = bytearray(_PLACES)
+    for t in texts:
+        for w in set(_WORD.findall(t)):
+            seen[zlib.crc32(w) % _PLACES] = 1
+    return round(-_PLACES * math.log(max(1, seen.count(0)) / _PLACES))
+
+
 def toxic_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     """Words by the number of different neighbours in toxic texts, rarest first. Counting contexts
     rather than occurrences keeps copies of a text from making its words look frequent."""
     sizes = [max(1, sum(map(len, texts))) for texts in (toxic, ordinary)]
     seen = Counter(w for t in toxic for w in set(_WORD.findall(t)))
-    words = sum(len(_WORD.findall(t)) for texts in (toxic, ordinary) for t in texts)
+    words = different_words([*toxic, *ordinary])
     least = math.ceil(math.log(max(2, words) / CHANCE) / math.log(sum(sizes) / sizes[0]))
     ratio = lambda a, b: a >= least and a / sizes[0] >= LEAST_RATIO * (b + 0.5) / sizes[1]
     likely = {w for w, n in seen.items() if ratio(n, 0)}
@@ -113,35 +126,38 @@ def features(model: Model, text: str | None) -> list[float]:
     return [*top[:3], math.log1p(sum(x > 3 for x in saved)), math.log1p(len(saved))]
 
 
-def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
-    """Newton's method with a small ridge."""
+def logistic(x: np.ndarray, y: np.ndarray, rows: np.ndarray) -> tuple[float, ...]:
+    """Newton's method with a small ridge. Each row counts as so many as ``rows`` says."""
     x = np.column_stack([x, np.ones(len(x))])
     w = np.zeros(x.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (p - y) + 1e-2 * w
-        curve = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(len(w))
+        slope = x.T @ (rows * (p - y)) + 1e-2 * w
+        curve = (x * (rows * p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(len(w))
         w = w - np.linalg.solve(curve, slope)
     return tuple(map(float, w))
 
 
-def train(texts: list[str], toxic: list[int]) -> Model | None:
-    """None without rows of both classes."""
-    rows = [(t or "", y) for t, y in zip(texts, toxic)]
-    cut = math.ceil(DICTIONARY_SHARE * len(rows))
-    learn, calibrate = rows[:cut], rows[cut:]
-    parts = [[t.encode().lower() for t, y in learn if y == k] for k in (0, 1)]
+def train(texts: list[str], toxic: list[int], shares: Sequence[float] = (1, 1)) -> Model | None:
+    """None without rows of both classes. ``shares``: which part of all ordinary and of all toxic documents the rows
+    are; the calibration weighs them back."""
+    classes = [[(t or "", y) for t, y in zip(texts, toxic) if y == k] for k in (0, 1)]
+    cuts = [math.ceil(DICTIONARY_SHARE * len(rows)) for rows in classes]
+    calibrate = [r for rows, cut in zip(classes, cuts) for r in rows[cut:]]
+    parts = [[t.encode().lower() for t, _ in rows[:cut]] for rows, cut in zip(classes, cuts)]
     if not all(parts):
         return None
     if len({y for _, y in calibrate}) < 2:
-        calibrate = rows
+        calibrate = [r for rows in classes for r in rows]
     base, words = ordinary_content(parts[0]), b"".join(b" " + w + b" " for w in toxic_words(parts[1], parts[0]))
     # zstandard sets up its tables by a dictionary's size, and fills them in steps: equal sizes and places
     # keep ordinary text equally long under both
     words = words.rjust(-(-(len(words) + 1) // 512) * 512 - 1) + b" "
     model = Model(b" " * len(words) + base, words + base, ())
     x = np.array([features(model, t) for t, _ in calibrate])
-    return Model(model.ordinary, model.toxic, logistic(x, np.array([y for _, y in calibrate], float)))
+    y = np.array([y for _, y in calibrate])
+    stand_for = 1 / np.array(shares, float)[y]
+    return Model(model.ordinary, model.toxic, logistic(x, y.astype(float), stand_for * len(y) / stand_for.sum()))
 
 
 def held_out(doc_id: F.Column) -> F.Column:
@@ -154,12 +170,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     bounded by ``SAMPLE_ROWS`` and so are broadcast."""
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
     each = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    picked = [(r["doc_id"], r["toxic"], at) for at, r in enumerate(sampled(each, "doc_id", SAMPLE_ROWS))]
+    found = {r["toxic"]: r["count"] for r in each.groupBy("toxic").count().collect()}
+    sizes = [found.get(k, 0) for k in (0, 1)]
+    places = [min(sizes[k], max(SAMPLE_ROWS // 2, SAMPLE_ROWS - sizes[1 - k])) for k in (0, 1)]
+    if not all(places):
+        return None
+    picked = [(r["doc_id"], r["toxic"], at) for k in (0, 1) for at, r in enumerate(sampled(each.where(F.col("toxic") == k), "doc_id", places[k]))]
     ids = docs.sparkSession.createDataFrame(picked, "doc_id long, toxic int, at int")
     rows = (docs.select(F.col("doc_id").cast("long"), "text").where(F.octet_length("text") <= SAMPLE_BYTES)
             .join(F.broadcast(ids), "doc_id").select("at", "text", "toxic").limit(2 * SAMPLE_ROWS).collect())
     rows.sort(key=lambda r: (r["at"], r["text"]))
-    return train([r["text"] for r in rows[:SAMPLE_ROWS]], [r["toxic"] for r in rows[:SAMPLE_ROWS]])
+    rows = [r for k in (0, 1) for r in [r for r in rows if r["toxic"] == k][:places[k]]]
+    return train([r["text"] for r in rows], [r["toxic"] for r in rows], [places[k] / sizes[k] for k in (0, 1)])
 
 
 def score(docs: DataFrame, model: Model | None, keep: Sequence[str] = ()) -> DataFrame:

@@ -130,3 +130,37 @@ def test_scores_of_edge_rows(spark, docs, no_docs):
     assert toxicity.fit(docs, none) is None
     odd = spark.createDataFrame([(None, 1, 0), (1, None, 0), (1, 1, 0), (1, 0, 0)], "doc_id long, toxic int, quality int")
     assert toxicity.fit(docs, odd) is None
+
+
+def test_rare_toxic_documents_are_sampled_and_weighed_back(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(toxicity, "SAMPLE_ROWS", 200)
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic, shares: given.append((texts, toxic, shares)))
+    ids = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 5]
+    labels = spark.createDataFrame([(i, int(i % 50 == 0)) for i in ids], "doc_id long, toxic int")
+    docs = spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id long, text string")
+    toxicity.fit(docs, labels)
+    (texts, toxic, shares), every = given[0], [int(i % 50 == 0) for i in ids]
+    assert len(set(texts)) == len(texts) == 200 and sum(toxic) == sum(every) > 50
+    assert shares == [(200 - sum(every)) / (len(every) - sum(every)), 1.0]
+
+
+def test_calibration_keeps_the_base_rate():
+    rng = random.Random(6)
+    rows = toxic_corpus(rng, 900)
+    few = [(t, y) for t, y in rows if y or rng.random() < 0.25]
+    rates = []
+    for sample, share in ((rows, 1), (few, sum(not y for _, y in few) / sum(not y for _, y in rows))):
+        model = toxicity.train([t for t, _ in sample], [y for _, y in sample], (share, 1))
+        x = np.array([toxicity.features(model, t) for t, _ in rows])
+        rates.append((1 / (1 + np.exp(-(x @ np.array(model.weights[:-1]) + model.weights[-1])))).mean())
+    assert abs(rates[0] - 1 / 6) < 0.03 and abs(rates[1] - 1 / 6) < 0.03
+
+
+def test_long_texts_do_not_raise_the_bound_of_toxic_words():
+    rng = random.Random(7)
+    toxic = [f"{speak(rng, LANGUAGES['aa'], 10)} {w} {speak(rng, LANGUAGES['aa'], 10)}".encode().lower() for w in ("idiot", "moron") for _ in range(8)]
+    ordinary = [speak(rng, LANGUAGES["aa"], 20).encode().lower() for _ in range(200)]
+    once = len(set(w for t in toxic + ordinary for w in toxicity._WORD.findall(t)))
+    assert abs(toxicity.different_words(toxic + ordinary * 50) - once) <= 2
+    assert {b"idiot", b"moron"} <= set(toxicity.toxic_words(toxic, ordinary))
