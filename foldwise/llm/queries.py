@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from foldwise.llm import (bpe, html_density, jaccard_join, langid, packing, pii, sampling_fingerprint, token_records,
-                          toxicity, vector_dedup)
+from foldwise.llm import (alignment, bpe, chat, html_density, jaccard_join, langid, lexical_search, packing, pii,
+                          sampling_fingerprint, token_records, toxicity, vector_dedup)
 from foldwise.llm.common import table
 from foldwise.session import scratch_path
 
@@ -18,6 +19,7 @@ ORACLE: dict[str, str] = {}
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BYTE_JSON = public_tokenizers.path("byte_bpe_50k.json")
 WORD_JSON = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 END_ID = 2
 
 
@@ -121,3 +123,59 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), BYTE_JSON, END_ID, 1024)
+
+
+CHAT_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+steps AS (
+  SELECT *, lag(role) OVER w AS before, lead(role) OVER w AS after,
+    len(regexp_replace(text, '([<\[]\\*)(s>|/s>|INST\]|/INST\]|SYS\]|/SYS\]|OUT\]|ROLE\]|/ROLE\]|TEXT\])', '\1\\\2', 'g')) AS escaped
+  FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role)) AS turns_sha256,
+  CAST(coalesce(sum(len(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(3 + sum(escaped + CASE role WHEN 'system' THEN 11 WHEN 'user' THEN 13 WHEN 'assistant' THEN 9 ELSE 19 + len(role) END) AS BIGINT) AS formatted_chars,
+  count(*) FILTER (NOT CASE role WHEN 'system' THEN before IS NULL WHEN 'user' THEN before IS NULL OR before <> 'user'
+    WHEN 'assistant' THEN coalesce(before, '') = 'user' ELSE false END) AS n_illegal,
+  bool_or(after IS NULL AND role = 'assistant') AS complete
+FROM steps GROUP BY conv_id
+"""
+
+
+@query("op11_chat_format", CHAT_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    said = F.lit("</s>[INST] ok [/INST]").alias("text")
+    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said)
+    return chat.digests(rows.unionByName(extra))
+
+
+SEARCH_SQL = r"""
+WITH found AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+docs AS (SELECT doc_id, w, len(w) AS n, row_number() OVER () AS r FROM found),
+size AS (SELECT count(*) FILTER (n > 0) AS n_all, CAST(sum(n) AS BIGINT) AS l_all FROM docs),
+tfs AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM docs) GROUP BY ALL),
+dfs AS (SELECT t, count(*) AS df FROM tfs GROUP BY t),
+asked AS (SELECT item_id, t, count(*) AS q FROM (SELECT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark) GROUP BY ALL),
+scores AS (SELECT item_id, doc_id, r, CAST(sum(q * CAST(floor(1000 * ln((2 * n_all + 2) / (2 * df + 1))) AS BIGINT)
+    * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_all) // l_all)))) AS BIGINT) AS score
+  FROM asked JOIN dfs USING (t) JOIN tfs USING (t) JOIN docs USING (r) CROSS JOIN size GROUP BY item_id, doc_id, r)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 10
+"""
+
+
+@query("op12_lexical_search", SEARCH_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return lexical_search.search(index, table(spark, sf_dir, "benchmark", "item_id", "text"), 10)
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents", "doc_id", "text"), BYTE_JSON, PIECE_MODEL)

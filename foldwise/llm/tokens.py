@@ -1,11 +1,14 @@
 """Whole-text encoding with the ``tokenizers`` library, one call per distinct unit.
 
+Strings of special tokens in a text are read as the library reads them (as those tokens), unless
+``plain_specials`` asks for plain text.
+
 The library needs about 1 CPU second per MB of text, but its work is independent between
 *units* of text. Both vocabularies used here split text before merging, with patterns in which no
 match holds white space after another character. So every place where white space follows another
 character is a match boundary, and the ids of a text are the ids of its units one after another.
 :class:`UnitEncoder` encodes each distinct unit once, through the library, and remembers its ids in
-a table of bounded size (emptied when full). Texts for which this does not hold are encoded whole.
+a table of bounded bytes (emptied when full; long units are not kept). Texts for which this does not hold are encoded whole.
 """
 
 from __future__ import annotations
@@ -17,9 +20,8 @@ import struct
 #: Characters with the Unicode property White_Space.
 SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _UNIT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-#: Combining marks (lower-casing A-Z first might change what they compose to) and special tokens.
-_WHOLE = re.compile("[\u0300-\u036f]|<\\|")
-
+#: Units of more characters are not remembered: those of text without white space hardly come again.
+LONG_UNIT = 64
 
 #: A word of ASCII and Latin-1 letters, then ASCII marks other than the apostrophe: two matches of the
 #: splitting patterns, and the word holds nothing that normalisation changes but its case.
@@ -57,7 +59,8 @@ class _Known(dict):
             word = text if self.keep_space else text.lower()
             ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_LETTERS))]
             packed = struct.pack(f"<{len(ids)}I", *ids)
-        self[unit] = packed
+        if len(unit) <= LONG_UNIT:
+            self[unit] = packed
         return packed
 
 
@@ -67,22 +70,26 @@ class UnitEncoder:
     ``keep_space=True`` (byte-level vocabularies): a unit is a run of white space and the run of
     other characters after it. ``keep_space=False`` (vocabularies that lower-case and drop white
     space): a unit is a run of other characters between ASCII white space, with A-Z lower-cased.
-    ``max_units``: distinct units remembered.
+    ``max_units``: distinct units remembered, each of at most LONG_UNIT characters.
     """
 
-    def __init__(self, path: str, keep_space: bool, max_units: int = 1_000_000):
+    def __init__(self, path: str, keep_space: bool, max_units: int = 1_000_000, plain_specials: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        tokenizer.encode_special_tokens = plain_specials
+        added = tokenizer.get_added_tokens_decoder().values()
+        # texts that are encoded whole: combining marks (lower-casing A-Z first might change what they compose to), special tokens
+        self._whole = re.compile("|".join(["[\u0300-\u036f]", *(re.escape(t.content) for t in added)]),
+                                 re.IGNORECASE if any(t.normalized for t in added) else 0)
         self.keep_space, self.max_units, self.known = keep_space, max_units, _Known(tokenizer, keep_space)
 
     def encode(self, text: str | None) -> bytes:
         """The ids of one whole text (null: none)."""
         if not text:
             return b""
-        if _WHOLE.search(text):
+        if self._whole.search(text):
             ids = self.known.tokenizer.encode(text, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}I", *ids)
         units = _UNIT.findall(text) if self.keep_space else text.encode().lower().split()
@@ -95,9 +102,10 @@ class UnitEncoder:
 _ENCODERS: dict[tuple, UnitEncoder] = {}
 
 
-def encoder(path: str, keep_space: bool) -> UnitEncoder:
+def encoder(path: str, keep_space: bool, plain_specials: bool = False) -> UnitEncoder:
     """This process's encoder for a vocabulary file; workers keep it between tasks."""
-    if (path, keep_space) not in _ENCODERS:
+    key = path, keep_space, plain_specials
+    if key not in _ENCODERS:
         _ENCODERS.clear()  # one vocabulary at a time bounds a worker's memory
-        _ENCODERS[path, keep_space] = UnitEncoder(path, keep_space)
-    return _ENCODERS[path, keep_space]
+        _ENCODERS[key] = UnitEncoder(path, keep_space, plain_specials=plain_specials)
+    return _ENCODERS[key]

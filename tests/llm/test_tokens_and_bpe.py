@@ -3,6 +3,7 @@ import random
 import numpy as np
 import public_tokenizers as P
 import pytest
+from tokenizers import Tokenizer
 
 from llm_data import docs, no_docs  # noqa: F401
 from foldwise.llm import bpe
@@ -19,10 +20,17 @@ def some_texts(n, seed):
 
 @pytest.mark.parametrize("file,keep", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_unit_encoder_equals_the_library(file, keep):
-    enc = UnitEncoder(P.path(file), keep, max_units=200)
-    for text in some_texts(1500, 1) + ["x" * 20_000, "a " * 5000, None]:
-        want = enc.known.tokenizer.encode(text or "", add_special_tokens=False).ids
-        assert np.frombuffer(enc.encode(text), "<u4").tolist() == want
+    for plain in (False, True):
+        enc, library = UnitEncoder(P.path(file), keep, max_units=200, plain_specials=plain), Tokenizer.from_file(P.path(file))
+        library.encode_special_tokens = plain
+        for text in some_texts(1500, 1) + ["x" * 20_000, "a " * 5000, "a<|endoftext|>b <|startoftext|>  <|ENDOFTEXT|>", None]:
+            assert np.frombuffer(enc.encode(text), "<u4").tolist() == library.encode(text or "", add_special_tokens=False).ids
+
+
+def test_remembered_units_are_short():
+    enc = UnitEncoder(P.path("byte_bpe_50k.json"), True)
+    enc.encode("中" * 500 + " short")
+    assert set(enc.known) == {" short"}
 
 
 @pytest.fixture(scope="module")
