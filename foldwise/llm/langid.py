@@ -8,8 +8,9 @@ in numpy, by back-propagation through time and Adam.
 Gates and candidates use x / (1 + |x|) in place of the exponential functions: the same shape, but
 a few vector instructions per state.
 
-Training reads a bounded sample (``SAMPLE_ROWS`` labelled documents by the order of a hash, up to
-``WINDOWS_PER_ROW`` windows of each); prediction reads every byte of every text.
+Training reads a bounded sample (``SAMPLE_ROWS`` labelled documents by the order of a hash, as many of each
+language as there are, up to ``WINDOWS_PER_ROW`` windows of each document, cut on the executors from anywhere in
+its text); prediction reads every byte of every text.
 """
 
 from __future__ import annotations
@@ -22,14 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import map_batches, sampled
+from foldwise.llm.common import map_batches
 
 WINDOW = 64
 HIDDEN = 8
-#: Bounds of the training sample: documents (longer ones are passed over), and windows of each.
+#: Bounds of the training sample: documents, windows of each, and languages (the most frequent ones).
 SAMPLE_ROWS = 4000
-SAMPLE_BYTES = 65_536
 WINDOWS_PER_ROW = 6
+MAX_LANGUAGES = 1000
 STEPS, BATCH, RATE = 500, 256, 0.02
 UNKNOWN = "und"
 _CHUNK = 4096
@@ -128,16 +129,23 @@ class Network:
 
 def train(texts: list[str], languages: list[str], seed: int = 7) -> Network | None:
     """A network for ``texts`` and their languages; None without any."""
-    names = sorted(set(languages))
-    if not names:
-        return None
     rng = np.random.default_rng(seed)
-    windows, target = [], []
+    windows = []
     for text, language in zip(texts, languages):
         data = text.lower().encode()
         for start in rng.integers(0, max(1, len(data) - WINDOW + 1), size=min(WINDOWS_PER_ROW, 1 + len(data) // WINDOW)):
-            windows.append(data[start:start + WINDOW].ljust(WINDOW))
-            target.append(names.index(language))
+            windows.append((data[start:start + WINDOW], language))
+    return train_windows(windows, seed)
+
+
+def train_windows(windows: list[tuple[bytes, str]], seed: int = 7) -> Network | None:
+    """A network for windows of lower-cased bytes and their languages; None without any."""
+    names = sorted({language for _, language in windows})
+    if not names:
+        return None
+    rng = np.random.default_rng(seed)
+    target = [names.index(language) for _, language in windows]
+    windows = [w.ljust(WINDOW) for w, _ in windows]
     data = np.frombuffer(b"".join(windows), np.uint8).reshape(-1, WINDOW)
     target = np.array(target)
     network = Network.new(names, seed)
@@ -177,10 +185,30 @@ def held_out(doc_id: F.Column) -> F.Column:
 
 def fit(docs: DataFrame) -> Network | None:
     """Train on ``docs`` (doc_id, text, lang). Rows with a null text, lang or doc_id, rows whose lang is ``und``, and
-    held-out rows, teach nothing. About ``SAMPLE_ROWS`` rows, at most twice as many, reach the driver."""
+    held-out rows, teach nothing. Each language has an equal part of ``SAMPLE_ROWS``. Only windows reach the driver, of
+    at most twice as many rows; texts of any length teach."""
     known = docs.select("doc_id", "text", "lang").where("doc_id is not null and text is not null and lang is not null").where(F.col("lang") != UNKNOWN)
-    rows = [r for r in sampled(known.where(~held_out(F.col("doc_id"))), "doc_id", SAMPLE_ROWS) if len(r["text"]) <= SAMPLE_BYTES]
-    return train([r["text"] for r in rows], [r["lang"] for r in rows])
+    known = known.where(~held_out(F.col("doc_id")))
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    if not counts:
+        return None
+    part = max(1, SAMPLE_ROWS // len(counts))
+    # a few more than wanted, so that chance leaves no language short
+    shares = [(r["lang"], int(min(1.0, (1.2 * part + 20) / r["count"]) * (1 << 31))) for r in counts]
+    shares = docs.sparkSession.createDataFrame(shares, "lang string, _share long")
+    length = F.char_length("text")
+    starts = F.transform(F.sequence(F.lit(1), F.least(F.lit(WINDOWS_PER_ROW), 1 + F.floor(length / WINDOW).cast("int"))),
+                         lambda i: 1 + F.pmod(F.xxhash64("doc_id", i), F.greatest(F.lit(1), length - WINDOW + 1)).cast("int"))
+    cut = F.transform(starts, lambda i: F.substring(F.col("text"), i, F.lit(WINDOW)))
+    some = known.withColumn("_hash", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31))).join(F.broadcast(shares), "lang").where("_hash <= _share")
+    rows = some.select("lang", "_hash", cut.alias("windows")).limit(2 * SAMPLE_ROWS + 40 * len(counts)).collect()
+    taken: dict[str, int] = {}
+    windows = []
+    for r in sorted(rows, key=lambda r: (r["_hash"], r["windows"])):
+        taken[r["lang"]] = taken.get(r["lang"], 0) + 1
+        if taken[r["lang"]] <= part:
+            windows += [(w.lower().encode()[:WINDOW], r["lang"]) for w in r["windows"]]
+    return train_windows(windows)
 
 
 def _has_letter(text: str | None) -> bool:

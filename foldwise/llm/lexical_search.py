@@ -43,8 +43,10 @@ from foldwise.llm.common import written
 
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: A shard is cut after so many bytes of text, or so many documents (an ordinal takes two bytes).
-SHARD_BYTES, SHARD_DOCS = 16 << 20, 1 << 16
+SHARD_BYTES, SHARD_DOCS = 8 << 20, 1 << 16
 BLOCK = 128
+#: Rows of the index that go to the JVM at a time.
+OUT_ROWS = 4096
 #: Terms of the queries that go to the executors at a time.
 QUERY_TERMS = 200_000
 #: ASCII: letters lower-cased, digits, and a space for all else; other bytes stay.
@@ -84,12 +86,15 @@ def build_shard(number: int, doc_ids: list, texts: list, n_all: int, l_all: int)
     words = pc.ascii_split_whitespace(pa.array([(t or "").encode().translate(_TABLE).decode() for t in texts], pa.large_string()))
     doc = np.repeat(np.arange(len(texts), dtype=np.int64), pc.list_value_length(words).to_numpy(zero_copy_only=False))
     coded = words.flatten().dictionary_encode()
-    code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    known = pc.not_equal(coded.dictionary, "").to_numpy(zero_copy_only=False)
-    code, doc = code[known[code]], doc[known[code]]
-    n = np.bincount(doc, minlength=len(texts)).astype(np.int64)
+    spelled = coded.dictionary
+    known = pc.not_equal(spelled, "").to_numpy(zero_copy_only=False)[coded.indices]
+    key = coded.indices.to_numpy(zero_copy_only=False)[known].astype(np.int64) << 16 | doc[known]
+    del words, coded, known, doc
+    n = np.bincount(key & 0xFFFF, minlength=len(texts)).astype(np.int64)
     m = 25 + (75 * n * n_all) // max(1, l_all)
-    key, tf = np.unique(code << 16 | doc, return_counts=True)
+    key.sort()
+    ends = np.flatnonzero(np.diff(key, append=-1))
+    key, tf = key[ends], np.diff(ends, prepend=-1)
     code, doc = key >> 16, key & 0xFFFF
     first = np.flatnonzero(np.diff(code, prepend=-1))  # where each list begins
     size = np.diff(first, append=len(code))
@@ -109,17 +114,17 @@ def build_shard(number: int, doc_ids: list, texts: list, n_all: int, l_all: int)
     list_of = np.repeat(np.arange(len(first)), size)[starts]
     heads["gaps"], heads["tfs"] = gap_at[starts] - gap_at[first][list_of], tf_at[starts] - tf_at[first][list_of]
     blocks = np.bincount(list_of, minlength=len(first))
-    ends = lambda at, flat: np.append(at[first][1:], len(flat))[:len(first)]
+    list_ends = lambda at, flat: np.append(at[first][1:], len(flat))[:len(first)]
     null = np.array([d is None for d in doc_ids])
     about = [np.array([d or 0 for d in doc_ids], "<i8").tobytes(), m.astype("<i8").tobytes(), np.packbits(null).tobytes()]
     one = lambda x, kind: pa.array([x], kind)
     columns = [
         pa.array(np.full(len(first) + 1, number)),
-        pa.concat_arrays([one("", pa.string()), coded.dictionary.take(pa.array(code[first])).cast(pa.string())]),
+        pa.concat_arrays([one("", pa.string()), spelled.take(pa.array(code[first])).cast(pa.string())]),
         pa.array(np.concatenate(([0], size)).astype(np.int64)),
         pa.concat_arrays([one(about[0], pa.binary()), _slices(heads.view(np.uint8), np.cumsum(blocks) * HEAD.itemsize)]),
-        pa.concat_arrays([one(about[1], pa.binary()), _slices(gaps, ends(gap_at, gaps))]),
-        pa.concat_arrays([one(about[2], pa.binary()), _slices(tfs, ends(tf_at, tfs))])]
+        pa.concat_arrays([one(about[1], pa.binary()), _slices(gaps, list_ends(gap_at, gaps))]),
+        pa.concat_arrays([one(about[2], pa.binary()), _slices(tfs, list_ends(tf_at, tfs))])]
     return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in INDEX.split(", ")])
 
 
@@ -226,6 +231,15 @@ def build(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> Index:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts, size, number = [], [], 0, TaskContext.get().partitionId() << 32
+
+        def shard():
+            rows = build_shard(number, ids, texts, n_all, l_all)
+            texts.clear()
+            for i in range(0, rows.num_rows, OUT_ROWS):
+                yield rows.slice(i, OUT_ROWS)
+            del rows
+            pa.default_memory_pool().release_unused()  # the worker goes on, and its memory is the executor's
+
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1)):
                 text = text.as_py()
@@ -233,10 +247,10 @@ def build(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> Index:
                 texts.append(text)
                 size += len(text or "")
                 if size >= shard_bytes or len(ids) == SHARD_DOCS:
-                    yield build_shard(number, ids, texts, n_all, l_all)
+                    yield from shard()
                     ids, texts, size, number = [], [], 0, number + 1
         if ids:
-            yield build_shard(number, ids, texts, n_all, l_all)
+            yield from shard()
 
     return Index(written(docs.mapInArrow(run, INDEX), "lexical-index"), n_all)
 

@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -100,10 +101,14 @@ def toxic_corpus(rng, n):
     return out
 
 
-def test_toxic_documents_are_found():
+def sample(spark, rows):
+    return spark.createDataFrame([(i, y, t) for i, (t, y) in enumerate(rows)], "at long, toxic int, text string")
+
+
+def test_toxic_documents_are_found(spark):
     rng = random.Random(4)
     train, test = toxic_corpus(rng, 900), toxic_corpus(rng, 300)
-    model = toxicity.train([t for t, _ in train], [y for _, y in train])
+    model = toxicity.train(sample(spark, train))
     x = np.array([toxicity.features(model, t) for t, _ in test])
     p = x @ np.array(model.weights[:-1]) + model.weights[-1] >= 0
     y = np.array([y for _, y in test], bool)
@@ -118,7 +123,7 @@ def test_windows_hold_the_whole_text():
 
 def test_scores_of_edge_rows(spark, docs, no_docs):
     rng = random.Random(5)
-    model = toxicity.train(*zip(*toxic_corpus(rng, 400)))
+    model = toxicity.train(sample(spark, toxic_corpus(rng, 400)))
     rows = toxicity.score(docs, model).collect()
     assert [r["doc_id"] for r in rows] == [d["doc_id"] for d in docs.collect()]
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in rows)
@@ -135,9 +140,9 @@ def test_scores_of_edge_rows(spark, docs, no_docs):
 def test_rare_toxic_documents_are_sampled_and_weighed_back(spark, monkeypatch):
     given = []
     monkeypatch.setattr(toxicity, "SAMPLE_ROWS", 200)
-    monkeypatch.setattr(toxicity, "train", lambda texts, toxic, shares: given.append((texts, toxic, shares)))
+    monkeypatch.setattr(toxicity, "train", lambda rows, shares: given.append((*zip(*rows.select("text", "toxic").collect()), shares)))
     ids = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 5]
-    labels = spark.createDataFrame([(i, int(i % 50 == 0)) for i in ids], "doc_id long, toxic int")
+    labels = spark.createDataFrame([(i, int(i % 50 == 0)) for i in ids] + [(i + 5000, 1) for i in ids], "doc_id long, toxic int")
     docs = spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id long, text string")
     toxicity.fit(docs, labels)
     (texts, toxic, shares), every = given[0], [int(i % 50 == 0) for i in ids]
@@ -145,22 +150,70 @@ def test_rare_toxic_documents_are_sampled_and_weighed_back(spark, monkeypatch):
     assert shares == [(200 - sum(every)) / (len(every) - sum(every)), 1.0]
 
 
-def test_calibration_keeps_the_base_rate():
+def test_calibration_keeps_the_base_rate(spark):
     rng = random.Random(6)
     rows = toxic_corpus(rng, 900)
     few = [(t, y) for t, y in rows if y or rng.random() < 0.25]
     rates = []
-    for sample, share in ((rows, 1), (few, sum(not y for _, y in few) / sum(not y for _, y in rows))):
-        model = toxicity.train([t for t, _ in sample], [y for _, y in sample], (share, 1))
+    for some, share in ((rows, 1), (few, sum(not y for _, y in few) / sum(not y for _, y in rows))):
+        model = toxicity.train(sample(spark, some), (share, 1))
         x = np.array([toxicity.features(model, t) for t, _ in rows])
         rates.append((1 / (1 + np.exp(-(x @ np.array(model.weights[:-1]) + model.weights[-1])))).mean())
     assert abs(rates[0] - 1 / 6) < 0.03 and abs(rates[1] - 1 / 6) < 0.03
 
 
-def test_long_texts_do_not_raise_the_bound_of_toxic_words():
+def words_by_loops(toxic, ordinary):
+    sizes = sum(map(len, ordinary)), sum(map(len, toxic))
+    different = {w for t in toxic + ordinary for w in toxicity._WORD.findall(t)}
+    least = math.ceil(math.log(len(different) / toxicity.CHANCE) / math.log(sum(sizes) / sizes[1]))
+    contexts = {}
+    for y, texts in ((1, toxic), (0, ordinary)):
+        for t in texts:
+            words = [b"", *toxicity._WORD.findall(t), b""]
+            for i in range(1, len(words) - 1):
+                contexts.setdefault(words[i], (set(), set()))[y].add((words[i - 1], words[i + 1]))
+    n = {w: sum(w in toxicity._WORD.findall(t) for t in toxic) for w in contexts}
+    ok = lambda a, b: a >= least and a / sizes[1] >= toxicity.LEAST_RATIO * (b + 0.5) / sizes[0]
+    return sorted(((w, len(c[1])) for w, c in contexts.items() if ok(n[w], 0) and ok(len(c[1]), len(c[0]))), key=lambda r: (r[1], r[0]))
+
+
+def test_toxic_words_equal_loops_and_copies_change_nothing(spark):
     rng = random.Random(7)
-    toxic = [f"{speak(rng, LANGUAGES['aa'], 10)} {w} {speak(rng, LANGUAGES['aa'], 10)}".encode().lower() for w in ("idiot", "moron") for _ in range(8)]
-    ordinary = [speak(rng, LANGUAGES["aa"], 20).encode().lower() for _ in range(200)]
-    once = len(set(w for t in toxic + ordinary for w in toxicity._WORD.findall(t)))
-    assert abs(toxicity.different_words(toxic + ordinary * 50) - once) <= 2
-    assert {b"idiot", b"moron"} <= set(toxicity.toxic_words(toxic, ordinary))
+    toxic = [f"{speak(rng, LANGUAGES['aa'], 10)} {w} {speak(rng, LANGUAGES['aa'], 10)}".encode().lower() for w in ("idiot", "moron") for _ in range(12)]
+    ordinary = [speak(rng, LANGUAGES["aa"], 20).encode().lower() for _ in range(200)] * 5
+    frame = spark.createDataFrame([(y, [t]) for y, texts in ((1, toxic), (0, ordinary)) for t in texts], "toxic int, pieces array<binary>")
+    found = toxicity.toxic_words(frame, [sum(map(len, ordinary)), sum(map(len, toxic))])
+    assert found == words_by_loops(toxic, ordinary) and {b"idiot", b"moron"} <= {w for w, _ in found}
+    content = toxicity.toxic_content(found)
+    assert all(w in content for w, _ in found)
+
+
+def test_pieces_come_from_all_over_a_long_text():
+    assert toxicity.pieces(None, 1) == [b""] and toxicity.pieces("A b", 1) == [b"a b"]
+    text = " ".join(f"w{i}" for i in range(200_000))
+    found = toxicity.pieces(text, 3)
+    known = set(text.encode().split())
+    assert len(found) == toxicity.PIECES and sum(map(len, found)) <= toxicity.SAMPLE_BYTES and all(set(p.split()) <= known for p in found)
+    assert toxicity.pieces("x" * 100_000, 1) and [len(p) for p in toxicity.pieces(" " * 100_000, 1)] == [0] * toxicity.PIECES
+
+
+def test_a_language_and_a_kind_of_toxicity_in_long_texts_only_are_learnt(spark):
+    rng = random.Random(8)
+    long = lambda parts, n: " ".join(speak(rng, parts, 50) for _ in range(n))
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    docs = spark.createDataFrame([(i, long(LANGUAGES["bb"], 260) if i % 10 == 0 else speak(rng, LANGUAGES["aa"], 40), "bb" if i % 10 == 0 else "aa") for i in ids],
+                                 "doc_id long, text string, lang string")
+    assert max(r[0] for r in docs.selectExpr("length(text)").collect()) > 65_536
+    network = langid.fit(docs)
+    probe = spark.createDataFrame([(1, speak(rng, LANGUAGES["bb"], 60)), (2, speak(rng, LANGUAGES["aa"], 60))], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in langid.predict(probe, network).collect()} == {1: "bb", 2: "aa"}
+    rows = toxic_corpus(rng, 300)
+    for k in range(100):
+        words = long(LANGUAGES["aa"], 130).split()
+        for _ in range(len(words) // 40 if k < 30 else 0):
+            words.insert(rng.randrange(len(words)), "wretchling")
+        rows.append((" ".join(words), int(k < 30)))
+    assert len(rows[-1][0]) > toxicity.SAMPLE_BYTES
+    rng.shuffle(rows)
+    model = toxicity.train(sample(spark, rows))
+    assert b"wretchling" in model.toxic and b"moron" in model.toxic
