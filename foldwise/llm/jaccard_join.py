@@ -166,7 +166,11 @@ def link_sets(docs: DataFrame, n: int = 5, percent: int = 80) -> tuple[DataFrame
     few = picked.count() <= BROADCAST_ROWS
     ids = picked.select("doc_id").distinct()
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(ids) if few else ids, "doc_id")
-    sets = written(_sets(texts, n, percent, whole=True).join(picked, ["doc_id", "set_id"]).dropDuplicates(["set_id"]), "jaccard-sets")
+    named = _sets(texts, n, percent, whole=True).join(picked, ["doc_id", "set_id"])
+    # sets of rows without a doc_id only have no id to be fetched by: such rows are read again
+    nameless = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is null")
+    nameless = _sets(nameless, n, percent, whole=True).join(picked.where("doc_id is null").select("set_id"), "set_id", "left_semi")
+    sets = written(named.unionByName(nameless).dropDuplicates(["set_id"]), "jaccard-sets")
     prefixes = written(_prefixes(sets, percent), "jaccard-prefixes")
     near = written(_linked(_hub_pairs(prefixes), sets, percent), "jaccard-hub-links")
     found = components(near)

@@ -10,7 +10,8 @@ doc_id), the doc_id as int64, then its ids as uint16, or as uint32 where the voc
 checksum of bytes that hold checksums stays meaningful. The closing 0x0A lets a reader find the
 next record after a damaged one.
 
-Shards hold the documents in ascending doc_id order (null first) and so do the records in a shard.
+Shards hold the documents in ascending doc_id order (null first) and so do the records in a shard; rows with
+one doc_id go by a hash of their texts, so that a repeated id is spread over shards.
 Executors write shards through Spark's own text writer, one record a row with 0x0A as the line
 separator, so any file system that Spark knows will do. The index is a Parquet table beside the
 shards with one row a record: shard, record, offset, length, doc_id, start, n_tokens, ids_crc32.
@@ -83,7 +84,9 @@ def write_records(docs: DataFrame, path: str, vocabulary: str, end_id: int) -> N
         pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
         return {"record": pa.array([frame(to_payload(d, np.frombuffer(enc.encode(t) + end, "<u4")))[:-1] for d, t in pairs], pa.binary())}
 
-    ordered = docs.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
+    # rows that share a doc_id, or have none, are dealt by their texts, and equal rows by where they were read
+    docs = docs.withColumns({"_hash": F.xxhash64("text"), "_row": F.monotonically_increasing_id()})
+    ordered = docs.repartitionByRange(shards, "doc_id", "_hash", "_row").sortWithinPartitions("doc_id", "_hash", "text").select("doc_id", "text")
     records = map_batches(ordered, "record binary", run)
     # the line separator that the writer adds is the frame's closing byte
     records.select(F.col("record").cast("string")).write.option("lineSep", "\n").option("compression", "none").text(path)

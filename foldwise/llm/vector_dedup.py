@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import sampled, written
+from foldwise.llm.common import written
 from foldwise.llm.components import components
 
 #: Rows that k-means is fitted on, at most; vectors that a cell should have; cells, at most; rounds.
@@ -51,7 +51,7 @@ def spherical_kmeans(points: np.ndarray, cells: int, rounds: int = ROUNDS, seed:
 
 def unit(rows) -> np.ndarray:
     """Rows scaled to length 1 in double precision; very large and small components stay finite."""
-    x = np.array([np.asarray(r, np.float64) for r in rows])
+    x = rows.astype(np.float64) if isinstance(rows, np.ndarray) and rows.ndim == 2 else np.array([np.asarray(r, np.float64) for r in rows])
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
@@ -72,7 +72,8 @@ class Cells:
 
     def __init__(self, centres: np.ndarray, cosine: float):
         self.centres = centres
-        self.gap = np.linalg.norm(centres[:, None, :] - centres[None, :, :], axis=2)
+        # |c - d| of unit vectors, from a cells x cells product; rounding must not make a gap smaller
+        self.gap = np.sqrt(np.maximum(0.0, 2 - 2 * (centres @ centres.T))) + 1e-7
         self.half = math.sqrt(max(0.0, 2 - 2 * cosine)) / 2 + 1e-9
 
     def of(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,6 +141,14 @@ def _compare(cells: Cells, cosine: float) -> Callable[[pd.DataFrame], pd.DataFra
     return run
 
 
+def _sample(classes: DataFrame, n: int, dimension: int) -> np.ndarray:
+    """Unit vectors of about ``SAMPLE_ROWS`` of ``n`` classes, by a hash of their number; they come as one Arrow array."""
+    share = min(1.0, 1.05 * SAMPLE_ROWS / n)
+    some = classes.where(F.pmod("class_id", F.lit(1 << 31)) < F.lit(int(share * (1 << 31)) + 1)).select("class_id", "embedding").limit(2 * SAMPLE_ROWS).toArrow().combine_chunks()
+    flat = some.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension)
+    return unit(flat[np.argsort(some.column("class_id").to_numpy())][:SAMPLE_ROWS])
+
+
 def class_links(classes: DataFrame, cosine: float) -> DataFrame:
     """``classes``: (class_id, times, embedding) of usable vectors. Returns link counts per class (null
     ``other``; several rows of a class add up) and links that keep the components."""
@@ -148,8 +157,7 @@ def class_links(classes: DataFrame, cosine: float) -> DataFrame:
     sizes = classes.groupBy(F.size("embedding").alias("d")).count().collect()
     for dimension, n in sizes:  # vectors of different lengths don't link; one length is usual
         mine = classes.where(F.size("embedding") == dimension)
-        some = sampled(mine.select("class_id", "embedding"), "class_id", SAMPLE_ROWS)
-        cells = Cells(spherical_kmeans(unit([r["embedding"] for r in some]), max(1, min(MOST_CELLS, n // CELL_ROWS))), cosine)
+        cells = Cells(spherical_kmeans(_sample(mine, n, dimension), max(1, min(MOST_CELLS, n // CELL_ROWS))), cosine)
         kind = classes.schema["embedding"].dataType.simpleString()
         dealt = written(mine.mapInPandas(_deal(cells), f"class_id long, times long, embedding {kind}, cell int, home int"), "vector-cells")
         per = dealt.groupBy("cell").agg(F.sum((F.col("home") == F.col("cell")).cast("int")).alias("homes"), F.count("*").alias("all")).collect()

@@ -49,6 +49,14 @@ def test_join_of_edge_rows(docs, no_docs):
     assert jaccard_join.near_duplicates(no_docs, 5, 80).count() == 0
 
 
+def test_sets_without_an_id_link_others(spark):
+    words = [f"w{i}" for i in range(100)]
+    a, b, c = (" ".join(words[:k] + [f"x{k}"] + words[k + 1:]) for k in (50, 10, 90))
+    rows = spark.createDataFrame([(None, " ".join(words)), (1, a), (2, b), (3, c), (None, a)], "doc_id long, text string")
+    found = jaccard_join.near_duplicates(rows, 5, 80).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"]) for r in found) == [(0, 1), (0, 1), (1, 1), (2, 1), (3, 1)]
+
+
 def test_few_words_are_one_shingle():
     assert len(jaccard_join.shingle_set("a b c", 5)) == 1 and len(jaccard_join.shingle_set("a b c d e f", 5)) == 2
     assert jaccard_join.shingle_set("A\tb\x0bC", 5).tolist() == jaccard_join.shingle_set("a b c", 5).tolist()
@@ -110,3 +118,20 @@ def test_plan_of_the_join_has_no_cross_join(spark):
     rows = spark.createDataFrame(near_copies()[:20], "doc_id long, text string")
     plan = jaccard_join.near_duplicates(rows, 5, 80)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_many_cells_need_little_memory():
+    """2,048 centres of 64 dimensions: the gaps are one cells x cells array."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(2048, 64))
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    tracemalloc.start()
+    cells = vector_dedup.Cells(centres, 0.95)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
+    some = rng.integers(0, 2048, size=(50, 2))
+    want = np.linalg.norm(centres[some[:, 0]] - centres[some[:, 1]], axis=1)
+    assert (cells.gap[some[:, 0], some[:, 1]] >= want).all() and np.allclose(cells.gap[some[:, 0], some[:, 1]], want, atol=1e-6)

@@ -56,6 +56,17 @@ def test_records_of_edge_rows(spark, docs, no_docs):
     assert token_records.write_index(spark, empty).count() == 0
 
 
+def test_a_repeated_id_is_spread_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(token_records, "SHARD_BYTES", 2000)
+    rows = [(7 if i % 3 else None, "same text" if i % 2 else f"text {i} " * 5) for i in range(600)] + [(i, "a") for i in range(7)]
+    path = scratch_path(spark, "records")
+    token_records.write_records(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), path, WORDS, 2)
+    found = token_records.write_index(spark, path).orderBy("shard", "record").collect()
+    ids = [(r["doc_id"] is not None, r["doc_id"] or 0) for r in found]
+    assert ids == sorted((i is not None, i or 0) for i, _ in rows)
+    assert len({r["shard"] for r in found if r["doc_id"] == 7}) > 2 and len({r["shard"] for r in found if r["doc_id"] is None}) > 2
+
+
 def best(items, capacity):
     @lru_cache(None)
     def fewest(left):
