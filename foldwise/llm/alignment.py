@@ -8,8 +8,8 @@ a compressed bitmap of the documents that hold the pair linked, and *multiplicit
 documents in which bit k - 1 of (links - 1) is set, so that links = documents + sum of 2^(k-1) |plane k|. A
 bitmap is the ordered list of its two-byte numbers or, where that is shorter, a row of bits. Shards number
 disjoint documents, so a pair's bitmaps are OR-merged by joining them up, and their popcounts add to its document
-and link counts. The postings then return the scores: each shard's bitmaps, beside the counts of their pairs,
-are read document by document.
+and link counts. The postings then return the scores: a shard's bitmaps, beside the counts of their pairs, add up
+what each of its documents gets.
 
 Edge cases: a text that is null or empty, or whose A or B tokens don't spell its bytes (piece vocabularies may
 normalise), has no tokens: zeros and an empty digest. A null doc_id and repeated rows are documents of their
@@ -25,9 +25,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from foldwise.llm.common import written
 from foldwise.llm.tokens import byte_letters, encoder
@@ -45,14 +47,11 @@ class Side:
     def __init__(self, encode, spelled: list[bytes]):
         self.encode, self.spelled = encode, spelled
         self.size = np.array([len(s) for s in spelled], np.int64)
-        # the decimal id with the mark that follows it: , | ; or none
-        self.written = [[f"{i}{mark}" for i in range(len(spelled))] for mark in (",", "|", ";", "")]
 
     def spells(self, ids: np.ndarray, text: bytes) -> bool:
         return b"".join(map(self.spelled.__getitem__, ids.tolist())) == text
 
 
-@lru_cache(1)
 def byte_side(path: str) -> Side:
     """A byte-level ``tokenizers`` vocabulary; special tokens in texts are plain text."""
     enc = encoder(path, keep_space=True, plain_specials=True)
@@ -64,7 +63,6 @@ def byte_side(path: str) -> Side:
     return Side(lambda text: np.frombuffer(enc.encode(" " + text), "<u4").astype(np.int64), spelled)
 
 
-@lru_cache(1)
 def piece_side(path: str) -> Side:
     """A ``sentencepiece`` model, which puts a space before the text itself."""
     import sentencepiece
@@ -76,28 +74,43 @@ def piece_side(path: str) -> Side:
     return Side(lambda text: np.array(model.encode(text, num_threads=1), np.int64), spelled)
 
 
-def align(a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Links as (index in a, index in b), and the byte offsets at which groups end. Tokens end at ``end_a`` and ``end_b``;
-    tokens without bytes overlap nothing."""
-    first = np.searchsorted(end_b, end_a - np.diff(end_a, prepend=0), side="right")
-    last = np.searchsorted(end_b, end_a, side="left")
-    n = np.where(np.diff(end_a, prepend=0) > 0, last - first + 1, 0)
-    at_a = np.repeat(np.arange(len(a)), n)
-    at_b = np.arange(len(at_a)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
-    some = np.diff(end_b, prepend=0)[at_b] > 0
-    return at_a[some], at_b[some], np.intersect1d(end_a, end_b)
+def align(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of both sides end at the byte offsets ``end_a`` and ``end_b``, each holds a byte, and the last ends agree.
+    Returns the links as (index in a, index in b), and the indices at which groups end in a and in b."""
+    last = np.searchsorted(end_b, end_a)  # the token of b in which each token of a ends
+    together = end_b[last] == end_a
+    first = np.concatenate(([0], (last + together)[:-1]))
+    n = last - first + 1
+    at_a = np.repeat(np.arange(len(end_a)), n)
+    at_b = np.arange(len(at_a)) + np.repeat(first - (np.cumsum(n) - n), n)
+    return at_a, at_b, np.flatnonzero(together), last[together]
+
+
+class GroupText:
+    """Writes groups as `a1,a2|b1;a3|b2,b3`: decimal ids in order."""
 
+    def __init__(self, n_a: int, n_b: int):
+        # an id of either side with the mark that follows it, by (side, whether it ends its group's ids)
+        self.words = [b"%d%c" % (i, mark) for n, marks in ((n_a, b",|"), (n_b, b",;")) for mark in marks for i in range(n)]
+        self.n_a, self.n_b = n_a, n_b
 
-def group_text(side_a: Side, side_b: Side, a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray, ends: np.ndarray) -> str:
-    """`a1,a2|b1;a3|b2,b3`: decimal ids of the groups in order."""
-    in_a, in_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)
-    # a group's last A id is followed by |, its last B id by ;, the last of all by nothing
-    mark_a = np.where(np.diff(in_a, append=len(ends)) > 0, 1, 0)
-    mark_b = np.where(np.diff(in_b, append=len(ends)) > 0, 2, 0)
-    mark_b[-1] = 3
-    words = [side_a.written[m][i] for m, i in zip(mark_a.tolist(), a.tolist())] + [side_b.written[m][i] for m, i in zip(mark_b.tolist(), b.tolist())]
-    order = np.argsort(np.concatenate((2 * in_a, 2 * in_b + 1)), kind="stable")
-    return "".join(map(words.__getitem__, order.tolist()))
+    def write(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> bytes:
+        code = np.empty(len(a) + len(b), np.int64)
+        groups = np.arange(len(last_a))
+        of_a, of_b = np.repeat(groups, np.diff(last_a, prepend=-1)), np.repeat(groups, np.diff(last_b, prepend=-1))
+        before = np.concatenate(([0], last_b[:-1] + 1))  # ids of b in earlier groups
+        marked_a, marked_b = a.copy(), b + 2 * self.n_a
+        marked_a[last_a] += self.n_a
+        marked_b[last_b] += self.n_b
+        code[np.arange(len(a)) + before[of_a]] = marked_a
+        code[np.arange(len(b)) + (last_a + 1)[of_b]] = marked_b
+        return b"".join(map(self.words.__getitem__, code.tolist()))[:-1]
+
+
+@lru_cache(1)
+def _sides(byte_vocabulary: str, piece_model: str) -> tuple[Side, Side, GroupText]:
+    a, b = byte_side(byte_vocabulary), piece_side(piece_model)
+    return a, b, GroupText(len(a.spelled), len(b.spelled))
 
 
 def bitmap(numbers: np.ndarray) -> bytes:
@@ -127,16 +140,15 @@ class _Shard:
     def __init__(self, number: int):
         self.number, self.chars, self.docs, self.keys = number, 0, [], []
 
-    def add(self, doc_id: int | None, text: str | None, side_a: Side, side_b: Side) -> None:
+    def add(self, doc_id: int | None, text: str | None, side_a: Side, side_b: Side, groups: GroupText) -> None:
         at, row = len(self.docs), (0, 0, 0, 0, "")
         self.chars += len(text or "")
         if text:
             a, b, raw = side_a.encode(text), side_b.encode(text), b" " + text.encode()
             if side_a.spells(a, raw) and side_b.spells(b, raw):
-                end_a, end_b = np.cumsum(side_a.size[a]), np.cumsum(side_b.size[b])
-                at_a, at_b, ends = align(a, b, end_a, end_b)
-                digest = hashlib.sha256(group_text(side_a, side_b, a, b, end_a, end_b, ends).encode()).hexdigest()
-                row = (len(a), len(b), len(ends), len(at_a), digest)
+                at_a, at_b, last_a, last_b = align(np.cumsum(side_a.size[a]), np.cumsum(side_b.size[b]))
+                digest = hashlib.sha256(groups.write(a, b, last_a, last_b)).hexdigest()
+                row = (len(a), len(b), len(last_a), len(at_a), digest)
                 pair, links = np.unique(a[at_a] << B_BITS | b[at_b], return_counts=True)
                 self.keys.append((pair << DOC_BITS | at, links))
         self.docs.append((at, doc_id, *row))
@@ -170,11 +182,11 @@ def build(docs: DataFrame, byte_vocabulary: str, piece_model: str, shard_chars:
     """Align every whole text of ``docs`` (doc_id, text) and write the shards: postings (``a`` not null) and documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        side_a, side_b = byte_side(byte_vocabulary), piece_side(piece_model)
+        sides = _sides(byte_vocabulary, piece_model)
         shard = _Shard(TaskContext.get().partitionId() << 32)
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1)):
-                shard.add(doc_id.as_py(), text.as_py(), side_a, side_b)
+                shard.add(doc_id.as_py(), text.as_py(), *sides)
                 if shard.chars >= shard_chars or len(shard.docs) == SHARD_DOCS:
                     yield from shard.rows()
                     shard = _Shard(shard.number + 1)
@@ -194,27 +206,34 @@ def pair_counts(shards: DataFrame) -> DataFrame:
 def document_scores(shards: DataFrame) -> DataFrame:
     """Per document: tokens, groups, links, links that are their A id's most frequent ones (``n_best``), and the sum of the
     document counts of its links (``count_sum``)."""
-    counts = written(pair_counts(shards).select("a", "b", F.col("n_docs").alias("count")), "alignment-counts")
-    counts = counts.join(counts.groupBy("a").agg(F.max("count").alias("most")), "a").select("a", "b", "count", (F.col("count") == F.col("most")).alias("best"))
-    postings = shards.where("a is not null").select("shard", "a", "b", "plane", "bitmap").join(counts, ["a", "b"]).select("shard", "plane", "bitmap", "count", "best")
-    docs = shards.where("number is not null").select(F.col("shard").alias("of"), *(f.split()[0] for f in DOCS.split(", ")))
-
-    def scores(postings: pa.Table, docs: pa.Table) -> pa.Table:
-        docs = docs.sort_by("number")
+    # counts grow with the corpus: they are never broadcast, and only the keys of postings are joined with them
+    counts = pair_counts(shards).select("a", "b", F.col("n_docs").alias("count"))
+    counts = counts.withColumn("best", F.col("count") == F.max("count").over(Window.partitionBy("a")))  # at most a row per B id
+    known = shards.where("plane = 0").select("shard", "a", "b").join(counts.hint("merge"), ["a", "b"])
+    every = shards.unionByName(known.select("shard", "a", "b", "count", "best"), allowMissingColumns=True)
+
+    def scores(table: pa.Table) -> pa.Table:
+        def pairs(some: pa.Table) -> np.ndarray:
+            a, b = (some.column(c).to_numpy().astype(np.int64) for c in ("a", "b"))
+            return a << B_BITS | b
+
+        docs = table.filter(pc.is_valid(table.column("number"))).sort_by("number")
+        known, postings = table.filter(pc.is_valid(table.column("count"))), table.filter(pc.is_valid(table.column("bitmap")))
         best, total = np.zeros(docs.num_rows, np.int64), np.zeros(docs.num_rows, np.int64)
-        for batch in postings.to_batches(max_chunksize=8192):
-            if not batch.num_rows:
-                continue
-            found = [numbers(x) for x in batch.column("bitmap").to_pylist()]
-            n = [len(x) for x in found]
-            at = np.concatenate(found)
-            links = 1 << np.maximum(batch.column("plane").to_numpy(zero_copy_only=False).astype(np.int64) - 1, 0)
-            np.add.at(best, at, np.repeat(links * batch.column("best").to_numpy(zero_copy_only=False), n))
-            np.add.at(total, at, np.repeat(links * batch.column("count").to_numpy(zero_copy_only=False), n))
+        key = pairs(known)
+        order = np.argsort(key)
+        for i in range(0, postings.num_rows, 8192):
+            some = postings.slice(i, 8192)
+            row = order[np.searchsorted(key, pairs(some), sorter=order)]
+            found = [numbers(x) for x in some.column("bitmap").to_pylist()]
+            n, at = [len(x) for x in found], np.concatenate(found)
+            links = 1 << np.maximum(some.column("plane").to_numpy().astype(np.int64) - 1, 0)
+            np.add.at(best, at, np.repeat(links * known.column("best").to_numpy()[row], n))
+            np.add.at(total, at, np.repeat(links * known.column("count").to_numpy()[row], n))
         values = {name: docs.column(name) for name in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}
         return pa.table(values | {"n_best": pa.array(best), "count_sum": pa.array(total), "groups_sha256": docs.column("groups_sha256")})
 
-    return postings.groupBy("shard").cogroup(docs.groupBy("of")).applyInArrow(scores, f"doc_id long, {COLUMNS}")
+    return every.groupBy("shard").applyInArrow(scores, f"doc_id long, {COLUMNS}")
 
 
 def align_documents(docs: DataFrame, byte_vocabulary: str, piece_model: str) -> DataFrame:
