@@ -9,6 +9,7 @@ scored in ONE aggregation, so the metric stages do not grow with the number of f
 
 from __future__ import annotations
 
+import math
 import random
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Mapping, Sequence
@@ -19,7 +20,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.operators import ensemble, folds, metrics, resample, select, weights
+from foldwise.operators import ensemble, folds, metrics, resample, select, vectors, weights
 from foldwise.session import materialize
 
 FAMILIES = ("rf", "gbt", "tree", "svm")
@@ -46,6 +47,23 @@ def make_estimator(kind: str, params: Mapping | None = None, label: str = "label
     raise ValueError(f"unknown model family {kind!r}; one of {FAMILIES}")
 
 
+def confusion_of(df: DataFrame, models: Sequence[tuple[int, int, object]], label: str = "label", fold_col: str = "fold") -> DataFrame:
+    """(candidate, fold, split, label, pred, n) of ``models``, (candidate, fold, model) each: all of them predict in one
+    scan of ``df``, and one aggregate counts the predictions. A row is validation to the models of its own fold and
+    training to the others."""
+    x = df
+    for i, (_, _, model) in enumerate(models):
+        one = model.copy()
+        one.setPredictionCol(f"_pred{i}").setRawPredictionCol("")
+        if hasattr(one, "setProbabilityCol"):
+            one.setProbabilityCol("")
+        x = one.transform(x)
+    said = [F.struct(F.lit(c).alias("candidate"), F.lit(f).alias("fold"), F.when(F.col(fold_col) == f, "validation").otherwise("train").alias("split"),
+                     F.col(f"_pred{i}").cast("int").alias("pred")) for i, (c, f, _) in enumerate(models)]
+    rows = x.select(F.col(label).alias("label"), F.explode(F.array(*said)).alias("s")).select("s.candidate", "s.fold", "s.split", "label", "s.pred")
+    return materialize(rows.groupBy("candidate", "fold", "split", "label", "pred").agg(F.count(F.lit(1)).alias("n")))
+
+
 def _with_stop_set(df: DataFrame, id_col: str, share: float, seed: int) -> DataFrame:
     """J10 (S10): the early-stopping set is carved out of the training rows, never the fold
     being scored."""
@@ -82,6 +100,41 @@ def oversample_minority(tr: DataFrame, id_col: str = "id", label: str = "label",
     return tr.unionByName(out)
 
 
+def _training_sets(df: DataFrame, kind: str, k: int, fold_col: str, id_col: str, label: str, weight: str | None, early_stopping: float | None,
+                   seed: int, parallelism: int, oversample: bool, class_weight: str | Mapping | None) -> list[tuple[DataFrame, str | None, str | None]]:
+    """For each fold its training rows, their weight column and the column of its early-stopping set."""
+
+    def one(f: int):
+        tr = df.where(F.col(fold_col) != f)
+        if oversample:  # training rows of this fold only; scoring stays on the original rows
+            tr = oversample_minority(tr, id_col, label, seed=seed + f)
+        wcol = weight
+        if class_weight:  # never from the rows that the fold is scored on
+            tr, wcol = weights.with_weights(tr, label, weights.class_weights(tr, label, class_weight), "_weight"), "_weight"
+        if early_stopping and kind == "gbt":
+            return _with_stop_set(tr, id_col, early_stopping, seed), wcol, "_is_val"
+        return tr, wcol, None
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, k))) as pool:
+        return list(pool.map(one, range(k)))
+
+
+def _fit_all(df: DataFrame, kind: str, candidates: Sequence[Mapping | None], k: int, fold_col: str, id_col: str, label: str, weight: str | None,
+             early_stopping: float | None, seed: int, parallelism: int, oversample: bool, class_weight: str | Mapping | None) -> list[tuple[int, int, object]]:
+    """(candidate, fold, model) of every candidate and fold. A fold's training set is prepared once for all candidates."""
+    sets = _training_sets(df, kind, k, fold_col, id_col, label, weight, early_stopping, seed, parallelism, oversample, class_weight)
+
+    def fit(at: tuple[int, int]):
+        c, f = at
+        tr, wcol, vcol = sets[f]
+        return c, f, make_estimator(kind, candidates[c], label, weight=wcol, validation_col=vcol, seed=seed).fit(tr)
+
+    # the fits are independent Spark jobs: submit them concurrently (the scheduler shares the
+    # executors between them), as CrossValidator does with its ``parallelism``
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return list(pool.map(fit, [(c, f) for c in range(len(candidates)) for f in range(k)]))
+
+
 def cross_validate(df: DataFrame, kind: str, params: Mapping | None, k: int, fold_col: str = "fold",
                    id_col: str = "id", label: str = "label", weight: str | None = None,
                    early_stopping: float | None = None, seed: int = 42, feature_names: Sequence[str] = (),
@@ -90,50 +143,20 @@ def cross_validate(df: DataFrame, kind: str, params: Mapping | None, k: int, fol
 
     ``oversample`` adds SMOTE rows to each training set (J2); the train-split metrics are still
     computed on the original, un-resampled training rows (S11). ``class_weight`` (J4) fits weights by
-    class on each fold's own training rows.
+    class on each fold's own training rows. Feature names come from the vector column unless given.
 
     Returns (metrics rows (fold, split, tp, fp, fn, tn, accuracy, precision, recall, f1,
     weighted_f1),
     importance rows (fold, feature, importance), fold models).
     """
-    spark = df.sparkSession
-
-    def fit_fold(f: int):
-        tr = df.where(F.col(fold_col) != f)
-        if oversample:  # training rows of this fold only; scoring stays on the original rows
-            tr = oversample_minority(tr, id_col, label, seed=seed + f)
-        wcol = weight
-        if class_weight:  # never from the rows that the fold is scored on
-            tr, wcol = weights.with_weights(tr, label, weights.class_weights(tr, label, class_weight), "_weight"), "_weight"
-        vcol = None
-        if early_stopping and kind == "gbt":
-            tr = _with_stop_set(tr, id_col, early_stopping, seed)
-            vcol = "_is_val"
-        return make_estimator(kind, params, label, weight=wcol, validation_col=vcol, seed=seed).fit(tr)
-
-    # the k fits are independent Spark jobs: submit them concurrently (the scheduler shares the
-    # executors between them), as CrossValidator does with its ``parallelism``
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, k))) as pool:
-        models = list(pool.map(fit_fold, range(k)))
-    preds, imps = [], []
-    for f, model in enumerate(models):
-        va = df.where(F.col(fold_col) == f)
-        for split, part in (("validation", va), ("train", df.where(F.col(fold_col) != f))):
-            preds.append(model.transform(part).select(F.lit(f).alias("fold"), F.lit(split).alias("split"),
-                                                      F.col(label).alias("label"),
-                                                      F.col("prediction").cast("int").alias("pred")))
-        imps.append(importance_rows(spark, model, f, feature_names))
-    allp = preds[0]
-    for p in preds[1:]:
-        allp = allp.unionByName(p)
-    # predictions are aggregated once into a (fold, split, label, pred) table of at most
-    # 2k · classes² rows; every metric is derived from it
-    cm = materialize(allp.groupBy("fold", "split", "label", "pred").agg(F.count(F.lit(1)).alias("n")))
-    m = metrics.metrics_from_confusion(cm, ["fold", "split"])
-    imp = imps[0]
-    for i in imps[1:]:
-        imp = imp.unionByName(i)
-    return m, imp, models
+    models = _fit_all(df, kind, [params], k, fold_col, id_col, label, weight, early_stopping, seed, parallelism, oversample, class_weight)
+    m = metrics.metrics_from_confusion(confusion_of(df, models, label, fold_col).drop("candidate"), ["fold", "split"])
+    names = list(feature_names) or vectors.names_of(df)
+    imp = None
+    for _, f, model in models:
+        rows = importance_rows(df.sparkSession, model, f, names)
+        imp = rows if imp is None else imp.unionByName(rows)
+    return m, imp, [model for _, _, model in models]
 
 
 def importance_rows(spark: SparkSession, model, fold: int, feature_names: Sequence[str]) -> DataFrame:
@@ -150,34 +173,33 @@ def importance_rows(spark: SparkSession, model, fold: int, feature_names: Sequen
 
 
 def search(df: DataFrame, kind: str, candidates: Sequence[Mapping], k: int, metric: str = "f1",
-           mode: str = "mean_minus_std_minus_gap", gap_lambda: float = 1.0, candidate_parallelism: int = 2,
-           **cv_kw) -> tuple[DataFrame, DataFrame]:
-    """Every candidate × fold on the same cached folds; selection score per candidate
-    and the best one (F2, first candidate wins ties). Returns (scores, best)."""
+           mode: str = "mean_minus_std_minus_gap", gap_lambda: float = 1.0, parallelism: int = 8, fold_col: str = "fold", id_col: str = "id",
+           label: str = "label", weight: str | None = None, early_stopping: float | None = None, seed: int = 42, oversample: bool = False,
+           class_weight: str | Mapping | None = None) -> tuple[DataFrame, DataFrame]:
+    """Every candidate × fold on the same folds; selection score per candidate (J18) and the best one (F2, first
+    candidate wins ties). All models are scored in one scan, whatever the number of candidates. Returns (scores, best)."""
     select.score_expr(mode, gap_lambda)  # fail before any job
-
-    def run(item):
-        i, params = item
-        m, _, _ = cross_validate(df, kind, params, k, **cv_kw)
-        return metrics.metrics_long(m, ["fold", "split"]).withColumn("candidate", F.lit(i))
-
-    # candidates are independent: their CVs are submitted concurrently (each CV already fits its
-    # folds concurrently), so the scheduler keeps the executors busy between small ML jobs
-    with ThreadPoolExecutor(max_workers=max(1, min(candidate_parallelism, len(candidates)))) as pool:
-        rows = list(pool.map(run, enumerate(candidates)))
-    allm = rows[0]
-    for r in rows[1:]:
-        allm = allm.unionByName(r)
-    scores = select.selection_scores(allm, metric, [mode], gap_lambda)
-    best = select.best_by(scores, f"score_{mode}", "candidate")
-    return scores, best
+    models = _fit_all(df, kind, candidates, k, fold_col, id_col, label, weight, early_stopping, seed, parallelism, oversample, class_weight)
+    by = ["candidate", "fold", "split"]
+    m = metrics.metrics_from_confusion(confusion_of(df, models, label, fold_col), by)
+    scores = materialize(select.selection_scores(metrics.metrics_long(m, by), metric, [mode], gap_lambda))
+    return scores, select.best_by(scores, f"score_{mode}", "candidate")
 
 
 def random_candidates(space: Mapping[str, Sequence], n_trials: int, seed: int = 42) -> list[dict]:
-    """J20 (re-aimed): seeded random draws from a discrete parameter space."""
-    rnd = random.Random(seed)
+    """J20 (re-aimed): seeded random points of a discrete parameter space, all different."""
     keys = sorted(space)
-    return [{k: rnd.choice(list(space[k])) for k in keys} for _ in range(n_trials)]
+    sizes = [len(space[k]) for k in keys]
+    if n_trials > math.prod(sizes):
+        raise ValueError(f"{n_trials} trials of a space with {math.prod(sizes)} points")
+    out = []
+    for number in random.Random(seed).sample(range(math.prod(sizes)), n_trials):
+        point = {}
+        for k, n in zip(keys, sizes):
+            number, at = divmod(number, n)
+            point[k] = space[k][at]
+        out.append(point)
+    return out
 
 
 def predict(model, df: DataFrame, id_col: str = "id", out: str = "pred") -> DataFrame:

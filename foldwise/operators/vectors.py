@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.ml.feature import PCA, VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.functions.text import safe_text, word_runs
@@ -110,6 +110,19 @@ def assemble(df: DataFrame, scalar_cols: Sequence[str], array_cols: dict[str, in
     return va.transform(tmp).drop(*vec_cols)
 
 
+def named(vector: Column, names: Sequence[str], out: str = "features") -> Column:
+    """``vector`` as column ``out`` that carries the names of its elements as ML attributes."""
+    attributes = {"numeric": [{"idx": i, "name": n} for i, n in enumerate(names)]}
+    return vector.alias(out, metadata={"ml_attr": {"attrs": attributes, "num_attrs": len(names)}})
+
+
+def names_of(df: DataFrame, column: str = "features") -> list[str]:
+    """The names of a vector column's elements, from its ML attributes (assembled columns carry them, too)."""
+    about = df.schema[column].metadata.get("ml_attr", {})
+    names = {a["idx"]: a["name"] for kind in about.get("attrs", {}).values() for a in kind if "name" in a}
+    return [names.get(i, f"{column}_{i}") for i in range(about.get("num_attrs", len(names)))]
+
+
 def feature_names(scalar_cols: Sequence[str], array_cols: dict[str, int], prefixes: dict[str, str]) -> list[str]:
     """Output names: scalars as given, array element i as ``<prefix>_<i:03d>``."""
     names = list(scalar_cols)

@@ -122,7 +122,8 @@ def test_pipeline_params_never_see_their_own_fold(spark):
 
     def params(rows):
         pipe = FoldPipeline(["a", "b"], ["c"], text_mode="old", ratios=("a", "b")).fit(spark.createDataFrame(rows, kind), 4)
-        return {name: sorted((tuple(r) for r in t.collect()), key=str) for name, t in pipe.tables.items()}
+        # sums over counted values are taken in any order
+        return {name: sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in t.collect()), key=str) for name, t in pipe.tables.items()}
 
     before, after = params(rows), params([(i, f, 99.0 + i, -7.0, "new") if f == 2 else (i, f, a, b, c) for i, f, a, b, c in rows])
     assert set(before) == {"clip", "median", "scale", "fill", "categories"}
