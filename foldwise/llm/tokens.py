@@ -8,7 +8,8 @@ The library needs about 1 CPU second per MB of text, but its work is independent
 match holds white space after another character. So every place where white space follows another
 character is a match boundary, and the ids of a text are the ids of its units one after another.
 :class:`UnitEncoder` encodes each distinct unit once, through the library, and remembers its ids in
-a table of bounded bytes (emptied when full; long units are not kept). Texts for which this does not hold are encoded whole.
+a table of bounded bytes (when it is full, units that were not asked for since the last time go; long units are
+not kept). Texts for which this does not hold are encoded whole.
 """
 
 from __future__ import annotations
@@ -44,9 +45,17 @@ class _Known(dict):
 
     def __init__(self, tokenizer, keep_space: bool):
         super().__init__()
-        self.tokenizer, self.model, self.keep_space = tokenizer, tokenizer.model, keep_space
+        self.tokenizer, self.model, self.keep_space, self.older = tokenizer, tokenizer.model, keep_space, {}
+
+    def age(self) -> None:
+        """Forget the units that were not asked for since the last time."""
+        self.older = dict(self)
+        self.clear()
 
     def __missing__(self, unit) -> bytes:
+        if (packed := self.older.get(unit)) is not None:
+            self[unit] = packed
+            return packed
         text = unit if self.keep_space else unit.decode()
         simple = _SIMPLE.fullmatch(text)
         if not simple:
@@ -70,10 +79,10 @@ class UnitEncoder:
     ``keep_space=True`` (byte-level vocabularies): a unit is a run of white space and the run of
     other characters after it. ``keep_space=False`` (vocabularies that lower-case and drop white
     space): a unit is a run of other characters between ASCII white space, with A-Z lower-cased.
-    ``max_units``: distinct units remembered, each of at most LONG_UNIT characters.
+    ``max_units``: distinct units remembered (as many older ones beside them), each of at most LONG_UNIT characters.
     """
 
-    def __init__(self, path: str, keep_space: bool, max_units: int = 1_000_000, plain_specials: bool = False):
+    def __init__(self, path: str, keep_space: bool, max_units: int = 200_000, plain_specials: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -95,7 +104,7 @@ class UnitEncoder:
         units = _UNIT.findall(text) if self.keep_space else text.encode().lower().split()
         packed = b"".join(map(self.known.__getitem__, units))
         if len(self.known) > self.max_units:
-            self.known.clear()
+            self.known.age()
         return packed
 
 

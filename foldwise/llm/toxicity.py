@@ -74,8 +74,8 @@ def pieces(text: str | None, seed: int) -> list[bytes]:
 def _each(batches: Iterator[pa.RecordBatch], fn, names: list[str], kinds: list) -> Iterator[pa.RecordBatch]:
     """Rows that ``fn`` makes of each row, a few input rows at a time."""
     for batch in batches:
-        for i in range(0, batch.num_rows, 64):
-            rows = [r for row in batch.slice(i, 64).to_pylist() for r in fn(row)]
+        for i in range(0, batch.num_rows, 4):  # a row of the sample has thousands of words
+            rows = [r for row in batch.slice(i, 4).to_pylist() for r in fn(row)]
             columns = list(zip(*rows)) if rows else [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
