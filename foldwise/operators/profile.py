@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foldwise.operators import gram
 from foldwise.operators.fitting import fit_quantiles, join_null_safe, long_values
 from foldwise.operators.joins import attach
 
@@ -254,9 +255,16 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, exact: bool
 
 # -- correlation ----------------------------------------------------------------------------
 
+#: Pairs of columns that one aggregation holds as expressions.
+MAX_PAIRS = 1000
+
+
 def corr_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson r for every pair (a < b), pairwise-complete, from one aggregation."""
+    """Pearson r for every pair (a < b), pairwise-complete: few pairs by one aggregation, more than ``MAX_PAIRS`` by
+    block products (:mod:`foldwise.operators.gram`)."""
     cols = list(cols)
+    if len(cols) * (len(cols) - 1) // 2 > MAX_PAIRS:
+        return gram.correlations(df, cols).withColumn("r", _r(F.col("r")))
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}") for a, b in pairs])
     parts = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{a}__{b}").alias("r"))
