@@ -9,12 +9,12 @@ from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldwise.operators import bounds, impute, metrics, profile, tracking
+from foldwise.operators import bounds, impute, metrics, profile
 from foldwise.plans.common import cleaned_profile
 from foldwise.plans.registry import query
 from foldwise.plans.views_sql import with_views
 from foldwise.session import scratch_path
-from foldwise.sources import files, tables
+from foldwise.sources import files, records, tables
 
 PROFILE_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("target_raw", T.IntegerType()),
@@ -41,37 +41,102 @@ def csv_roundtrip(spark, d):
 
 @query("prediction_write", with_views("SELECT id, pred AS target FROM rp", "rp"))
 def prediction_write(spark, d):
-    """A3 + A4 + D24: write the rule predictions (and a 'latest' copy), append one stats row,
-    read the stats table back."""
+    """A3: write the rule predictions and a 'latest' copy, and read the latest back."""
     rp = tables.rule_predictions(spark, d)
     base = scratch_path(spark, "predictions")
-    out = files.write_predictions(rp, f"{base}/submission", f"{base}/submission_latest", "pred", "id")
-    stats = out.agg(F.count_if(F.col("target") == 1).alias("n_1"), F.count_if(F.col("target") == 0).alias("n_0"),
-                    F.count(F.lit(1)).alias("total")) \
-        .select(F.current_timestamp().alias("timestamp"), F.lit("rule").alias("experiment"), F.lit("full").alias("mode"),
-                "n_1", "n_0", "total", F.lit(f"{base}/submission").alias("output_file"))
-    files.append_rows(stats, f"{base}/prediction_stats")
-    return spark.read.option("header", True).schema("id long, target int").csv(f"{base}/submission")
+    files.write_predictions(rp, f"{base}/submission", f"{base}/submission_latest", "pred", "id")
+    return spark.read.option("header", True).schema("id long, target int").csv(f"{base}/submission_latest")
 
 
-@query("tracking_append")
+@query("prediction_stats", with_views(
+    "SELECT CASE pred WHEN 1 THEN 'full' ELSE 'fold' END AS mode, count(*) FILTER (WHERE pred = 1) AS n_1, "
+    "count(*) FILTER (WHERE pred = 0) AS n_0, count(*) AS total FROM rp GROUP BY 1", "rp"))
+def prediction_stats(spark, d):
+    """A4: one stats row per prediction run (here the rows of each rule), appended run by run and read back."""
+    rp = tables.rule_predictions(spark, d)
+    table = records.RecordTable(spark, scratch_path(spark, "prediction-stats"), "mode string, n_1 long, n_0 long, total long")
+    for mode, rows in (("full", rp.where("pred = 1")), ("fold", rp.where("pred = 0"))):
+        counts = rows.agg(F.count_if(F.col("pred") == 1).alias("n_1"), F.count_if(F.col("pred") == 0).alias("n_0"), F.count(F.lit(1)).alias("total"))
+        table.append(counts.withColumn("mode", F.lit(mode)), f"run-{mode}")
+    return table.read()
+
+
+_RECORD_SQL = """SELECT CAST(ts AS VARCHAR) AS timestamp, config_file, run_name AS experiment_name, run_name AS experiment_folder,
+  split_part(run_name, '_', 3) AS model_type, split_part(run_name, '_', 4) AS imputation_method, status,
+  CAST(CASE status WHEN 'failed' THEN 1 ELSE 0 END AS INTEGER) AS return_code, CAST(NULL AS DOUBLE) AS mean_accuracy, mean_f1,
+  CAST(NULL AS DOUBLE) AS mean_precision, CAST(NULL AS DOUBLE) AS mean_recall, CAST(NULL AS DOUBLE) AS std_accuracy, std_f1,
+  CAST(NULL AS DOUBLE) AS std_precision, CAST(NULL AS DOUBLE) AS std_recall, CASE status WHEN 'failed' THEN 'exit code 1' END AS error_message FROM r"""
+
+
+def _batch_records(r):
+    """View R as the record rows of batch items."""
+    part = lambda i: F.split_part("run_name", F.lit("_"), F.lit(i))
+    failed = F.col("status") == "failed"
+    return records.with_fields(r.withColumns({
+        "timestamp": F.col("ts").cast("string"), "experiment_name": F.col("run_name"), "experiment_folder": F.col("run_name"), "model_type": part(3),
+        "imputation_method": part(4), "return_code": failed.cast("int"), "error_message": F.when(failed, "exit code 1")}), records.BATCH_FIELDS)
+
+
+@query("tracking_append", with_views(_RECORD_SQL, "r"))
 def tracking_append(spark, d):
-    """Back up the record table, append the new batch (G1 aligns columns by name),
-    write the comparison table, read the record table back."""
+    """Two batches of records appended, the second twice (a retry changes nothing), and the table read back."""
+    r = tables.runs(spark, d)
+    table = records.RecordTable(spark, scratch_path(spark, "records"), records.BATCH_FIELDS)
+    table.append(_batch_records(r.where(F.year("ts") < 1998)), "history")
+    for _ in range(2):
+        table.append(_batch_records(r.where(F.year("ts") >= 1998)), "batch-1998")
+    return table.read()
+
+
+@query("record_versions", with_views("""WITH v AS (SELECT unnest([1, 2]) AS version)
+SELECT CAST(version AS INTEGER) AS version, count(*) AS n, count(DISTINCT config_file) AS configs, round(avg(mean_f1), 6) AS mean_f1
+FROM r, v WHERE version = 2 OR year(ts) < 1998 GROUP BY version""", "r"))
+def record_versions(spark, d):
+    """The record table as it was before and after a batch, by version number."""
     r = tables.runs(spark, d)
-    base = scratch_path(spark, "records")
-    history = r.where(F.year("ts") < 1998)
-    batch = files.experiment_log_row(r.where(F.year("ts") >= 1998).withColumn("max_depth", F.lit(None).cast("int"))
-                                     .withColumn("depth", (F.col("run_id") % 7 + 2).cast("int")))
-    files.append_rows(history, f"{base}/record")
-    files.snapshot(spark, f"{base}/record", f"{base}/record_backup_1")
-    empty = spark.createDataFrame([], history.schema)
-    files.append_rows(tracking.append(empty, batch), f"{base}/record")
-    cur = tracking.latest_per_key(batch.drop("max_depth", "depth", "depth_used"), "config_file")
-    prev = tracking.latest_per_key(history, "config_file", only_success=True)
-    files.write_csv(tracking.compare_to_previous(cur, prev, "config_file", "mean_f1").drop("_prev", "_new", "_delta"),
-                    f"{base}/comparison")
-    return spark.read.option("mergeSchema", True).parquet(f"{base}/record")
+    table, out = records.RecordTable(spark, scratch_path(spark, "records"), records.BATCH_FIELDS), None
+    before = table.append(_batch_records(r.where(F.year("ts") < 1998)), "history")
+    for version in (before, table.append(_batch_records(r.where(F.year("ts") >= 1998)), "batch-1998")):
+        part = table.read(version).agg(F.lit(version).alias("version"), F.count(F.lit(1)).alias("n"), F.count_distinct("config_file").alias("configs"),
+                                       F.round(F.avg("mean_f1"), 6).alias("mean_f1"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("run_records", with_views("""SELECT run_name AS exp_id, CAST(ts AS VARCHAR) AS timestamp, config_file AS name, concat('run of ', config_file) AS description,
+  split_part(run_name, '_', 3) AS model_type, run_id % 2 = 0 AS use_smote, CAST(0.01 AS DOUBLE) * (1 + run_id % 5) AS learning_rate,
+  CAST(2 + run_id % 7 AS INTEGER) AS max_depth, CAST(NULL AS DOUBLE) AS mean_accuracy, CAST(NULL AS DOUBLE) AS std_accuracy, mean_f1, std_f1,
+  CAST(NULL AS DOUBLE) AS mean_precision, CAST(NULL AS DOUBLE) AS std_precision, CAST(NULL AS DOUBLE) AS mean_recall, CAST(NULL AS DOUBLE) AS std_recall,
+  CAST(NULL AS DOUBLE) AS full_train_accuracy, mean_f1 + std_f1 AS full_train_f1, CAST(NULL AS DOUBLE) AS full_train_precision,
+  CAST(NULL AS DOUBLE) AS full_train_recall, 'train_set_only_no_validation' AS full_train_metric_scope FROM r WHERE status = 'success'""", "r"))
+def run_records(spark, d):
+    """A5: the 21-field record of every successful run, the depth from either of two fields, appended in batches by year."""
+    r = tables.runs(spark, d).where("status = 'success'")
+    depth = (2 + F.col("run_id") % 7).cast("int")
+    rows = records.run_record(r.withColumns({
+        "exp_id": F.col("run_name"), "timestamp": F.col("ts").cast("string"), "name": F.col("config_file"), "description": F.concat(F.lit("run of "), "config_file"),
+        "model_type": F.split_part("run_name", F.lit("_"), F.lit(3)), "use_smote": F.col("run_id") % 2 == 0, "learning_rate": 0.01 * (1 + F.col("run_id") % 5),
+        "max_depth": F.when(F.col("run_id") % 3 == 0, depth), "depth": F.when(F.col("run_id") % 3 != 0, depth), "full_train_f1": F.col("mean_f1") + F.col("std_f1")}))
+    table = records.RecordTable(spark, scratch_path(spark, "run-records"), records.RUN_FIELDS)
+    year = F.substring("timestamp", 1, 4)
+    for name, mine in (("early", year < "1995"), ("late", year >= "1995")):
+        table.append(rows.where(mine), name)
+    return table.read()
+
+
+@query("newest_saved_run", with_views("""WITH n AS (SELECT config_file, count(*) AS runs, round(max(mean_f1), 6) AS best FROM r WHERE status = 'success' GROUP BY 1)
+SELECT 'newest' AS chosen, 'exp_002' AS run, runs, best FROM n WHERE config_file = 'cfg_2'
+UNION ALL SELECT 'by id', 'exp_001', runs, best FROM n WHERE config_file = 'cfg_1'""", "r"))
+def newest_saved_run(spark, d):
+    """Of result files written one after another, the newest by its modification time, and the one of a given run."""
+    r, base = tables.runs(spark, d).where("status = 'success'"), scratch_path(spark, "saved-results")
+    for number in (0, 1, 2):
+        result = (r.where(F.col("config_file") == f"cfg_{number}").agg(F.count(F.lit(1)).alias("runs"), F.round(F.max("mean_f1"), 6).alias("best"))
+                  .withColumn("run", F.lit(f"exp_{number:03d}")))
+        result.coalesce(1).write.json(f"{base}/exp_{number:03d}")
+    kind = T._parse_datatype_string("run string, runs long, best double")
+    newest = records.read_newest(spark, base, kind).withColumn("chosen", F.lit("newest"))
+    return newest.unionByName(records.read_newest(spark, base, kind, runs=["exp_001"]).withColumn("chosen", F.lit("by id")))
 
 
 @query("result_json_scan", with_views(

@@ -10,7 +10,8 @@ from foldwise.functions import exprs, names
 from foldwise.operators import fitting, select, tracking
 from foldwise.plans.registry import query
 from foldwise.plans.views_sql import with_views
-from foldwise.sources import tables
+from foldwise.session import scratch_path
+from foldwise.sources import files, tables
 
 CUT_YEAR = 1998          # runs before this year are the history, runs in it the new batch
 # The fixture's run names carry RF/GBT/SVM/DT: the reference's rules plus three more families.
@@ -74,6 +75,18 @@ def run_compare(spark, d):
     return _compare(spark, d).drop("_prev", "_new", "_delta")
 
 
+@query("comparison_file", with_views(
+    "WITH " + _CMP_SQL + "SELECT config_file, status, nullif(previous_run, '') AS previous_run, new_run, printf('%.6f', p) AS prev_mean_f1, "
+    "printf('%.6f', n) AS new_mean_f1, printf('%+.6f', dlt) AS delta_mean_f1 FROM cmp", "r"))
+def comparison_file(spark, d):
+    """The run-over-run comparison written as a table of text, and read back (empty fields are null)."""
+    path = scratch_path(spark, "comparison")
+    table = _compare(spark, d).drop("_prev", "_new", "_delta")
+    files.write_csv(table, path)
+    return spark.read.option("header", True).option("nullValue", "").option("emptyValue", "").schema(table.schema).csv(path).select(
+        *[F.nullif(F.col(c), F.lit("")).alias(c) for c in table.columns])
+
+
 @query("run_counters", with_views(
     "WITH " + _CMP_SQL + "SELECT count(*) AS configs, "
     "count(*) FILTER (WHERE status = 'success' AND p IS NOT NULL AND dlt > 1e-12) AS improved, "
