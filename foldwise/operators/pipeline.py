@@ -55,6 +55,10 @@ class FoldPipeline:
     def scaled(self) -> list[str]:
         return [*self.numeric, *self.derived, *self.longtail]
 
+    @property
+    def inputs(self) -> list[str]:
+        return [*self.numeric, *self.longtail, *self.ordinal, *self.categorical]
+
     @property
     def _table_names(self) -> list[str]:
         return ["clip", "median", "scale", *(["mode"] if self.ordinal else []), *(["fill", "categories"] if self.categorical else [])]
@@ -224,14 +228,22 @@ def cross_validate(df: DataFrame, pipe: FoldPipeline, kind: str, params: Mapping
     with ThreadPoolExecutor(max_workers=min(4, k)) as pool:
         models = list(pool.map(fit_fold, range(k)))
     # one scan: every row through every fold's preparation and model
-    inputs = [*pipe.numeric, *pipe.longtail, *pipe.ordinal, *pipe.categorical]
-    x = df.select(label, fold_col, *[F.col(c).alias(f"_raw_{c}") for c in inputs])
+    x = df.select(label, fold_col, *[F.col(c).alias(f"_raw_{c}") for c in pipe.inputs])
     for f in range(k):
-        x = pipe.features(x.select("*", *[F.col(f"_raw_{c}").alias(c) for c in inputs]), f, x.columns, f"_features{f}")
+        x = pipe.features(x.select("*", *[F.col(f"_raw_{c}").alias(c) for c in pipe.inputs]), f, x.columns, f"_features{f}")
     counts = train.confusion_of(x, [(0, f, m.copy({m.featuresCol: f"_features{f}"})) for f, m in enumerate(models)], label, fold_col)
     return metrics.metrics_from_confusion(counts.drop("candidate"), ["fold", "split"]), models
 
 
+def importances(df: DataFrame, pipe: FoldPipeline, models: Sequence) -> DataFrame:
+    """(fold, feature, importance) of a cross-validation's models, by the names that their vectors carry."""
+    out = None
+    for f, model in enumerate(models):
+        rows = train.importance_rows(df.sparkSession, model, f, vectors.names_of(pipe.features(df, f, [])))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def fit_all(df: DataFrame, pipe: FoldPipeline, kind: str, params: Mapping | None, label: str = "target", class_weight: str | None = "balanced", seed: int = 42):
     """The model on all rows, through the params of all rows."""
     x = pipe.features(df, ALL_ROWS, [label])

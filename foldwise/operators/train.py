@@ -14,13 +14,14 @@ import random
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
+from pyspark.ml.classification import (DecisionTreeClassificationModel, DecisionTreeClassifier, GBTClassificationModel,
+                                       GBTClassifier, LinearSVC, LinearSVCModel, RandomForestClassificationModel,
                                        RandomForestClassifier)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.operators import ensemble, folds, metrics, resample, select, vectors, weights
+from foldwise.operators import boosting, ensemble, folds, metrics, resample, select, vectors, weights
 from foldwise.session import materialize
 
 FAMILIES = ("rf", "gbt", "tree", "svm")
@@ -100,8 +101,8 @@ def oversample_minority(tr: DataFrame, id_col: str = "id", label: str = "label",
     return tr.unionByName(out)
 
 
-def _training_sets(df: DataFrame, kind: str, k: int, fold_col: str, id_col: str, label: str, weight: str | None, early_stopping: float | None,
-                   seed: int, parallelism: int, oversample: bool, class_weight: str | Mapping | None) -> list[tuple[DataFrame, str | None, str | None]]:
+def _training_sets(df: DataFrame, kind: str, k: int, fold_col: str, id_col: str, label: str, weight: str | None,
+                   early_stopping: float | boosting.EarlyStopping | None, seed: int, parallelism: int, oversample: bool, class_weight: str | Mapping | None) -> list[tuple[DataFrame, str | None, str | None]]:
     """For each fold its training rows, their weight column and the column of its early-stopping set."""
 
     def one(f: int):
@@ -111,8 +112,12 @@ def _training_sets(df: DataFrame, kind: str, k: int, fold_col: str, id_col: str,
         wcol = weight
         if class_weight:  # never from the rows that the fold is scored on
             tr, wcol = weights.with_weights(tr, label, weights.class_weights(tr, label, class_weight), "_weight"), "_weight"
-        if early_stopping and kind == "gbt":
-            return _with_stop_set(tr, id_col, early_stopping, seed), wcol, "_is_val"
+        if isinstance(early_stopping, boosting.EarlyStopping):
+            share = early_stopping.share if early_stopping.applies(kind) else None
+        else:
+            share = early_stopping
+        if share and kind == "gbt":
+            return _with_stop_set(tr, id_col, share, seed), wcol, "_is_val"
         return tr, wcol, None
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, k))) as pool:
@@ -120,13 +125,21 @@ def _training_sets(df: DataFrame, kind: str, k: int, fold_col: str, id_col: str,
 
 
 def _fit_all(df: DataFrame, kind: str, candidates: Sequence[Mapping | None], k: int, fold_col: str, id_col: str, label: str, weight: str | None,
-             early_stopping: float | None, seed: int, parallelism: int, oversample: bool, class_weight: str | Mapping | None) -> list[tuple[int, int, object]]:
-    """(candidate, fold, model) of every candidate and fold. A fold's training set is prepared once for all candidates."""
+             early_stopping: float | boosting.EarlyStopping | None, seed: int, parallelism: int, oversample: bool, class_weight: str | Mapping | None,
+             stopped: dict | None = None) -> list[tuple[int, int, object]]:
+    """(candidate, fold, model) of every candidate and fold. A fold's training set is prepared once for all candidates.
+    ``stopped`` takes the rounds of models that stop early, by (candidate, fold)."""
     sets = _training_sets(df, kind, k, fold_col, id_col, label, weight, early_stopping, seed, parallelism, oversample, class_weight)
 
     def fit(at: tuple[int, int]):
         c, f = at
         tr, wcol, vcol = sets[f]
+        if vcol and isinstance(early_stopping, boosting.EarlyStopping):
+            estimator = make_estimator(kind, candidates[c], label, weight=wcol, seed=seed)
+            model, rounds = boosting.fit(estimator, tr.where(~F.col(vcol)), tr.where(vcol), early_stopping)
+            if stopped is not None:
+                stopped[c, f] = rounds
+            return c, f, model
         return c, f, make_estimator(kind, candidates[c], label, weight=wcol, validation_col=vcol, seed=seed).fit(tr)
 
     # the fits are independent Spark jobs: submit them concurrently (the scheduler shares the
@@ -137,19 +150,24 @@ def _fit_all(df: DataFrame, kind: str, candidates: Sequence[Mapping | None], k:
 
 def cross_validate(df: DataFrame, kind: str, params: Mapping | None, k: int, fold_col: str = "fold",
                    id_col: str = "id", label: str = "label", weight: str | None = None,
-                   early_stopping: float | None = None, seed: int = 42, feature_names: Sequence[str] = (),
-                   parallelism: int = 4, oversample: bool = False, class_weight: str | Mapping | None = None):
+                   early_stopping: float | boosting.EarlyStopping | None = None, seed: int = 42, feature_names: Sequence[str] = (),
+                   parallelism: int = 4, oversample: bool = False, class_weight: str | Mapping | None = None, stopped: dict | None = None):
     """Fit on fold ≠ f, predict fold f (validation) and its own training rows (train).
 
     ``oversample`` adds SMOTE rows to each training set (J2); the train-split metrics are still
     computed on the original, un-resampled training rows (S11). ``class_weight`` (J4) fits weights by
-    class on each fold's own training rows. Feature names come from the vector column unless given.
+    class on each fold's own training rows. ``early_stopping`` (J10): rounds and families by
+    :class:`boosting.EarlyStopping`, or the share of the stop set for the library's own rule. Feature names come from the
+    vector column unless given.
 
     Returns (metrics rows (fold, split, tp, fp, fn, tn, accuracy, precision, recall, f1,
     weighted_f1),
     importance rows (fold, feature, importance), fold models).
     """
-    models = _fit_all(df, kind, [params], k, fold_col, id_col, label, weight, early_stopping, seed, parallelism, oversample, class_weight)
+    rounds: dict = {}
+    models = _fit_all(df, kind, [params], k, fold_col, id_col, label, weight, early_stopping, seed, parallelism, oversample, class_weight, rounds)
+    if stopped is not None:
+        stopped.update({f: r for (_, f), r in rounds.items()})
     m = metrics.metrics_from_confusion(confusion_of(df, models, label, fold_col).drop("candidate"), ["fold", "split"])
     names = list(feature_names) or vectors.names_of(df)
     imp = None
@@ -174,7 +192,7 @@ def importance_rows(spark: SparkSession, model, fold: int, feature_names: Sequen
 
 def search(df: DataFrame, kind: str, candidates: Sequence[Mapping], k: int, metric: str = "f1",
            mode: str = "mean_minus_std_minus_gap", gap_lambda: float = 1.0, parallelism: int = 8, fold_col: str = "fold", id_col: str = "id",
-           label: str = "label", weight: str | None = None, early_stopping: float | None = None, seed: int = 42, oversample: bool = False,
+           label: str = "label", weight: str | None = None, early_stopping: float | boosting.EarlyStopping | None = None, seed: int = 42, oversample: bool = False,
            class_weight: str | Mapping | None = None) -> tuple[DataFrame, DataFrame]:
     """Every candidate × fold on the same folds; selection score per candidate (J18) and the best one (F2, first
     candidate wins ties). All models are scored in one scan, whatever the number of candidates. Returns (scores, best)."""
@@ -227,11 +245,10 @@ def save_fold_models(models: Sequence, path: str) -> None:
         m.write().overwrite().save(f"{path.rstrip('/')}/fold={i}")
 
 
+MODELS = {"rf": RandomForestClassificationModel, "gbt": GBTClassificationModel, "tree": DecisionTreeClassificationModel, "svm": LinearSVCModel}
+
+
 def load_fold_models(path: str, k: int, kind: str) -> list:
     """The k fold models saved by :func:`save_fold_models`."""
-    from pyspark.ml.classification import (DecisionTreeClassificationModel, GBTClassificationModel,
-                                           LinearSVCModel, RandomForestClassificationModel)
-    cls = {"rf": RandomForestClassificationModel, "gbt": GBTClassificationModel,
-           "tree": DecisionTreeClassificationModel, "svm": LinearSVCModel}[kind]
-    return [cls.load(f"{path.rstrip('/')}/fold={i}") for i in range(k)]
+    return [MODELS[kind].load(f"{path.rstrip('/')}/fold={i}") for i in range(k)]
 

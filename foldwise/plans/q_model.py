@@ -308,7 +308,7 @@ def prediction_counts(spark, d):
 # ---------------------------------------------------------------------------------------------------
 
 from foldwise.functions import text as tx  # noqa: E402
-from foldwise.operators import train, vectors  # noqa: E402
+from foldwise.operators import boosting, saved_runs, train, vectors  # noqa: E402
 from foldwise.session import materialize, scratch_path  # noqa: E402
 from foldwise.plans.q_text import KEYWORDS_A, KEYWORDS_B, POSITIVE  # noqa: E402
 
@@ -428,15 +428,27 @@ def predict_fold(spark, d):
 
 @query("predict_all_runs")
 def predict_all_runs(spark, d):
-    """One refit per configuration, every model scores the same cached input, long result."""
-    tf = weighted(train_frame(spark, d))
-    u = materialize(unlabelled_frame(spark, d))
-    out = None
+    """Three runs saved in a registry, loaded from storage, and all applied in one scan of the unlabelled documents."""
+    tf, registry = weighted(train_frame(spark, d)), saved_runs.RunRegistry(spark, scratch_path(spark, "registry"))
     for kind in ("rf", "tree", "gbt"):
-        model = train.make_estimator(kind, MODEL_PARAMS[kind], weight="weight").fit(tf)
-        p = train.predict(model, u).select("id", F.lit(kind).alias("run"), "pred")
-        out = p if out is None else out.unionByName(p)
-    return out
+        registry.save(saved_runs.SavedRun(f"run_{kind}", kind, train.make_estimator(kind, MODEL_PARAMS[kind], weight="weight").fit(tf)))
+    return saved_runs.predict_all(unlabelled_frame(spark, d), registry.load())
+
+
+@query("early_stopping_rounds")
+def early_stopping_rounds(spark, d):
+    """The loss on the stop set after each round of every fold's boosted trees, where training stopped, the best round,
+    and whether the cut model's own loss is that of its round."""
+    frame, stopped = train_frame(spark, d), {}
+    stopping = boosting.EarlyStopping(rounds=3, share=0.2)
+    _, _, models = train.cross_validate(frame, "gbt", {"maxIter": 15, "maxDepth": 3}, K, early_stopping=stopping, stopped=stopped)
+    rows = []
+    for f, s in stopped.items():
+        stop_set = frame.where((F.col("fold") != f) & folds.holdout_flag("id", stopping.share, SEED + 1))
+        again = models[f].evaluateEachIteration(stop_set)
+        agrees = len(again) == s.kept and abs(again[-1] - s.losses[s.kept - 1]) < 1e-9
+        rows += [(f, i, loss, s.stop, s.best, s.kept, agrees) for i, loss in enumerate(s.losses, 1)]
+    return spark.createDataFrame(rows, "fold int, round int, loss double, stop_round int, best_round int, kept_rounds int, agrees boolean")
 
 
 # -- J2 SMOTE on the stored embeddings (class = label) ---------------------------------------------

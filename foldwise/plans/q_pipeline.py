@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.classification import DecisionTreeClassificationModel
 from pyspark.sql import functions as F
 
-from foldwise.operators import folds, pipeline
+from foldwise.operators import folds, importance, pipeline
 from foldwise.plans.common import CP_SQL, TARGET, cleaned_profile, r6
 from foldwise.plans.registry import query
 from foldwise.plans.views_sql import with_views
@@ -15,8 +15,8 @@ K, SEED = 5, 42
 _NUM, _CAT = ["num_a", "num_b", "num_c"], ["cat_a", "cat_b"]
 
 
-def profile_folds(spark, d):
-    x = cleaned_profile(spark, d).select("id", TARGET, *_NUM, *_CAT)
+def profile_folds(spark, d, *more):
+    x = cleaned_profile(spark, d).select("id", TARGET, *_NUM, *_CAT, *more)
     return materialize(folds.stratified_folds(x, "id", TARGET, K, SEED))
 
 
@@ -78,3 +78,22 @@ def predict_profile(spark, d):
     pipeline.fit_all(x, pipe, "tree", {"maxDepth": 4}).write().overwrite().save(f"{path}/model")
     again, model = new_pipeline().load(spark, f"{path}/params"), DecisionTreeClassificationModel.load(f"{path}/model")
     return model.transform(again.features(x, pipeline.ALL_ROWS, ["id", TARGET])).select("id", F.col(TARGET).alias("label"), F.col("prediction").cast("int").alias("pred"))
+
+
+def _importances(spark, d):
+    x = profile_folds(spark, d, "long_tail", "ord_a")
+    pipe = pipeline.FoldPipeline(_NUM, _CAT, text_mode="old", ratios=("num_b", "num_a"), longtail=["long_tail"], ordinal=["ord_a"])
+    _, models = pipeline.cross_validate(x, pipe, "rf", {"numTrees": 10, "maxDepth": 4}, K)
+    return importance.cv_mean(importance.normalize(pipeline.importances(x, pipe, models)), K)
+
+
+@query("profile_importance")
+def profile_importance(spark, d):
+    """Mean normalised importances of a cross-validation through all roles, under the vector's own names."""
+    return _importances(spark, d).orderBy(F.desc("cv_mean_importance_norm"), "feature")
+
+
+@query("model_family_share")
+def model_family_share(spark, d):
+    """D27 on fitted models: the share of num, log, ord and cat features in their importances."""
+    return importance.family_share(_importances(spark, d))
