@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from foldwise.llm.common import written
+from foldwise.llm.common import small_batches, written
 from foldwise.llm.tokens import byte_letters, encoder
 
 #: A shard is cut after so many characters of text, or so many documents (a number takes two bytes).
@@ -181,6 +181,8 @@ class _Shard:
 def build(docs: DataFrame, byte_vocabulary: str, piece_model: str, shard_chars: int = SHARD_CHARS) -> DataFrame:
     """Align every whole text of ``docs`` (doc_id, text) and write the shards: postings (``a`` not null) and documents."""
 
+    small_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = _sides(byte_vocabulary, piece_model)
         shard = _Shard(TaskContext.get().partitionId() << 32)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from foldwise.llm.common import written
+from foldwise.llm.common import small_batches, written
 from foldwise.operators.joins import attach
 
 #: [INST] and </s> as instruction-tuned models know them; the other marks are of the same kind.
@@ -185,6 +185,7 @@ def _dealt(rows: DataFrame) -> DataFrame:
 
 def _parts(rows: DataFrame, template: dict, long_rows: int) -> tuple[DataFrame, DataFrame | None]:
     """Formatted short conversations, each whole and in order in one partition, and long ones (None: there are none)."""
+    small_batches(rows.sparkSession)
     machine = Machine(template)  # raises here, not on an executor
     clean = rows.select(rows["conv_id"].cast("long").alias("conv_id"), rows["turn"].cast("long").alias("turn"), F.coalesce(rows["role"], F.lit("")).alias("role"),
                         F.coalesce(rows["text"], F.lit("")).alias("text"), F.xxhash64(F.coalesce(rows["text"], F.lit(""))).alias("_hash"))

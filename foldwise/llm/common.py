@@ -38,6 +38,18 @@ def sampled(df: DataFrame, key: str, rows: int) -> list[Row]:
     return sorted(some, key=lambda r: (r["_hash"], str(r)))[:rows]
 
 
+#: Rows of an Arrow batch between the JVM and Python. Spark's default of 10,000 whole texts is hundreds of MB on either side.
+BATCH_ROWS = 1024
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let this session's Arrow batches hold ``BATCH_ROWS`` rows at most, unless it asks for fewer."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(key))
+    if rows <= 0 or rows > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def map_batches(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict], rows: int = 256) -> DataFrame:
     """``fn`` gets up to ``rows`` rows at a time and returns the output columns by name, in the
     order of ``schema``. Slices are small, so that very long texts do not meet in memory."""
@@ -49,4 +61,5 @@ def map_batches(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict]
                 out = fn(batch.slice(i, rows))
                 yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in map(out.get, names)], names)
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from foldwise.llm.common import written
+from foldwise.llm.common import small_batches, written
 
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: A shard is cut after so many bytes of text, or so many documents (an ordinal takes two bytes).
@@ -225,6 +225,7 @@ class Index:
 
 def build(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> Index:
     """Index every whole text of ``docs`` (doc_id, text) in the shared folder."""
+    small_batches(docs.sparkSession)
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
     n = F.regexp_count("text", F.lit(TERM))
     n_all, l_all = docs.select(n.alias("n")).agg(F.count_if(F.col("n") > 0), F.coalesce(F.sum("n"), F.lit(0))).first()

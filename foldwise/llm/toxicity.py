@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import map_batches, sampled, written
+from foldwise.llm.common import map_batches, sampled, small_batches, written
 
 WINDOW = 96
 LEVEL = 5
@@ -190,6 +190,7 @@ def train(rows: DataFrame, shares: Sequence[float] = (1, 1)) -> Model | None:
     """A model from ``rows`` (at, toxic, text), a bounded sample: in the order of ``at``, the first of each class teach
     the dictionaries. None without rows of both classes. ``shares``: which part of all ordinary and of all toxic
     documents the rows are; the calibration weighs them back. Rows with the same ``at`` are one: the least text."""
+    small_batches(rows.sparkSession)
     rows = rows.groupBy("at", "toxic").agg(F.min("text").alias("text"))
     cut = rows.mapInArrow(lambda b: _each(b, lambda r: [(r["at"], r["toxic"], pieces(r["text"], r["at"]))], ["at", "toxic", "pieces"],
                                           [pa.int64(), pa.int32(), pa.list_(pa.binary())]), "at long, toxic int, pieces array<binary>")
