@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_queries_are_registered():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
 
 
 @pytest.fixture(scope="module")
