@@ -108,3 +108,22 @@ def test_oversampling_a_tiny_class_keeps_ids_unique(spark):
     df = spark.createDataFrame(rows, "id long, label int, v array<double>").select("id", "label", array_to_vector("v").alias("features"))
     new = train.oversample_minority(df).where("id < 0")
     assert new.count() == 3998 == new.select("id").distinct().count()
+
+
+def test_clustered_rows_visit_few_blocks_and_neighbours_stay_exact(spark):
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(24, 5)) * 100
+    x = np.concatenate([c + rng.normal(size=(60, 5)) for c in centres])
+    rows = [(int(i), v.tolist(), int(i) % 2) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, c int").repartition(6)
+    near, visits, blocks = resample.knn_visits(df, "id", "v", "c", 3, block_rows=32)
+    per_class = blocks / 2
+    assert blocks > 30 and visits.count() < 0.25 * len(rows) * (per_class - 1)
+    got = {}
+    for r in resample.knn_within_class(df, "id", "v", "c", 3, block_rows=32).collect():
+        got.setdefault(r["id"], {})[r["rank"]] = (r["neighbour_id"], r["distance"])
+    for i in range(0, len(rows), 37):
+        d = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
+        want = sorted((d[j], j) for j in range(len(rows)) if j != i and j % 2 == i % 2)[:3]
+        assert [got[i][k][0] for k in (1, 2, 3)] == [j for _, j in want]
+        assert [got[i][k][1] for k in (1, 2, 3)] == pytest.approx([a for a, _ in want])
