@@ -310,6 +310,8 @@ def prediction_counts(spark, d):
 from foldwise.functions import text as tx  # noqa: E402
 from foldwise.operators import boosting, saved_runs, train, vectors  # noqa: E402
 from foldwise.session import materialize, scratch_path  # noqa: E402
+from foldwise.sources import files  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
 from foldwise.plans.q_text import KEYWORDS_A, KEYWORDS_B, POSITIVE  # noqa: E402
 
 
@@ -451,6 +453,36 @@ def early_stopping_rounds(spark, d):
     return spark.createDataFrame(rows, "fold int, round int, loss double, stop_round int, best_round int, kept_rounds int, agrees boolean")
 
 
+@query("search_record", with_views(
+    "WITH " + _SEL_SQL.rstrip() + ",\n" + _NORM_SQL.rstrip() + f",\n{_grid_sql()},\n"
+    "b AS (SELECT * FROM s3 ORDER BY score_mean_minus_std_minus_gap DESC, candidate LIMIT 1)\n"
+    "SELECT 'f1' AS search_metric, 'mean_minus_std_minus_gap' AS selection_mode, round(score_mean_minus_std_minus_gap, 6) AS best_selection_score, "
+    "round(b.mean, 6) AS best_metric_mean, round(b.std, 6) AS best_metric_std, round(train_mean, 6) AS best_train_metric_mean, round(gap, 6) AS best_overfit_gap, "
+    "max_depth, learning_rate, n_estimators, round(b.mean, 6) AS cv_f1_score, (SELECT count(*) FROM cm) AS n_features, "
+    "(SELECT feature FROM cm ORDER BY cv_mean_importance_norm DESC, feature LIMIT 1) AS top_feature, "
+    "CAST((SELECT count(*) FROM m WHERE candidate = b.candidate AND split = 'validation') AS INTEGER) AS n_folds, "
+    "round((SELECT avg(value) FROM m WHERE candidate = b.candidate AND split = 'train'), 6) AS train_f1 FROM b JOIN g ON g.candidate = b.candidate", "m", "i"))
+def search_record(spark, d):
+    """The nested record of a search (best parameters, validation and training metrics, importances, model metadata),
+    written as JSON and read back."""
+    record = files.search_record(tables.cv_metrics(spark, d), select.grid_frame(spark, GRID), _imp_mean(spark, d), "random_forest")
+    path = scratch_path(spark, "search-record")
+    files.write_results_json(record, path)
+    r = files.read_results_json(spark, path, T._parse_datatype_string(files.SEARCH_FIELDS))
+    p = lambda c: F.col("best_params")[c].alias(c)
+    return r.select("search_metric", "selection_mode", *[r6(c).alias(c) for c in ("best_selection_score", "best_metric_mean", "best_metric_std", "best_train_metric_mean", "best_overfit_gap")],
+                    p("max_depth"), p("learning_rate"), p("n_estimators"), r6("metadata.cv_f1_score").alias("cv_f1_score"), F.col("metadata.n_features").alias("n_features"),
+                    F.col("feature_importance")[0]["feature"].alias("top_feature"), F.size(F.col("cv_results")["f1"]["folds"]).alias("n_folds"),
+                    r6(F.col("train_results")["f1"]["mean"]).alias("train_f1"))
+
+
+@query("train_baseline")
+def train_baseline(spark, d):
+    """A quick boosted baseline whose positive class weighs three times as much, cross-validated without a search."""
+    m, _, _ = train.cross_validate(train_frame(spark, d), "gbt", {"maxIter": 10, "maxDepth": 3, "stepSize": 0.1}, K, class_weight={0: 1.0, 1: 3.0})
+    return metrics.fold_summary(metrics.metrics_long(m, ["fold", "split"]), ["split"])
+
+
 # -- J2 SMOTE on the stored embeddings (class = label) ---------------------------------------------
 
 from foldwise.operators import resample  # noqa: E402

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foldwise.operators import select
 from foldwise.operators.ordered import global_row_number
 from foldwise.session import materialize
 
@@ -102,6 +103,41 @@ def write_results_json(df: DataFrame, path: str, partition_by: Sequence[str] = (
     w.json(path)
 
 
+# The record of a search. The names of its fields.
+SEARCH_FIELDS = """model_type string, search_metric string, selection_mode string, gap_lambda double, best_selection_score double,
+    best_metric_mean double, best_metric_std double, best_train_metric_mean double, best_overfit_gap double,
+    best_params map<string,string>, cv_results map<string,struct<mean:double,std:double,folds:array<double>>>,
+    train_results map<string,struct<mean:double,std:double,folds:array<double>>>,
+    feature_importance array<struct<feature:string,importance:double>>,
+    metadata struct<model_name:string,cv_f1_score:double,n_features:bigint,feature_names:array<string>>"""
+
+
+def search_record(metrics: DataFrame, params: DataFrame, importances: DataFrame, model_type: str, metric: str = "f1",
+                  mode: str = "mean_minus_std_minus_gap", gap_lambda: float = 1.0) -> DataFrame:
+    """One nested record: the best candidate of ``metrics`` (candidate, fold, split, metric, value) with its parameters,
+    of ``params`` (candidate and a column each), its metrics per fold on validation and training rows, the importances
+    (feature, cv_mean_importance_norm) from the most important down, and the model's metadata."""
+    best = select.best_by(select.selection_scores(metrics, metric, [mode], gap_lambda), f"score_{mode}", "candidate")
+    named = F.map_from_entries(F.array(*[F.struct(F.lit(c), F.col(c).cast("string")) for c in params.columns if c != "candidate"]))
+    chosen = best.join(params.select("candidate", named.alias("best_params")), "candidate", "left")
+    folds = (metrics.join(best.select("candidate"), "candidate", "left_semi").groupBy("split", "metric")
+             .agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.sort_array(F.collect_list(F.struct("fold", "value"))).alias("_f")))  # a row per fold
+    entry = F.struct("metric", F.struct("mean", "std", F.transform("_f", lambda x: x["value"]).alias("folds")))
+    results = folds.agg(*[F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("split") == split, entry)))).alias(name)
+                          for split, name in (("validation", "cv_results"), ("train", "train_results"))])
+    rank = F.array_sort(F.collect_list(F.struct((-F.col("cv_mean_importance_norm")).alias("_o"), "feature", F.col("cv_mean_importance_norm").alias("importance"))))
+    order = importances.agg(rank.alias("_i")).select(F.transform("_i", lambda x: F.struct(x["feature"].alias("feature"), x["importance"].alias("importance"))).alias("feature_importance"))
+    names = F.array_sort(F.transform("feature_importance", lambda x: x["feature"]))
+    alone = lambda t: t.withColumn("_one", F.lit(1))
+    one = alone(chosen).join(alone(results), "_one").join(alone(order), "_one")  # one row each
+    score = F.col(f"score_{mode}")
+    return one.select(F.lit(model_type).alias("model_type"), F.lit(metric).alias("search_metric"), F.lit(mode).alias("selection_mode"), F.lit(float(gap_lambda)).alias("gap_lambda"),
+                      score.alias("best_selection_score"), F.col("mean").alias("best_metric_mean"), F.col("std").alias("best_metric_std"),
+                      F.col("train_mean").alias("best_train_metric_mean"), F.col("gap").alias("best_overfit_gap"), "best_params", "cv_results", "train_results",
+                      "feature_importance", F.struct(F.lit(model_type).alias("model_name"), F.col("mean").alias("cv_f1_score"),
+                                                     F.size("feature_importance").cast("long").alias("n_features"), names.alias("feature_names")).alias("metadata"))
+
+
 def read_results_json(spark: SparkSession, path_glob: str, schema: T.StructType = CV_RESULT_SCHEMA) -> DataFrame:
     """All result files at once, explicit schema; absent keys come back NULL."""
     return spark.read.schema(schema).json(path_glob)
