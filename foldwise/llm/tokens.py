@@ -20,13 +20,19 @@ import struct
 
 #: Characters with the Unicode property White_Space.
 SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_UNIT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+#: Letters of a simple word (ASCII and Latin-1: normalisation changes nothing but their case), and marks that may follow it.
+_WORD, _MARKS = r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]", r"[!-&(-/:-@\[-`{-~]"
+#: A unit, cut between a simple word and its marks, which are matches of their own. Possessive: one pass over any text.
+_UNIT = re.compile(f" ?{_WORD}++(?={_MARKS}*+(?![^{SPACE}]))|{_MARKS}++(?![^{SPACE}])|[{SPACE}]*+[^{SPACE}]++|[{SPACE}]++")
 #: Units of more characters are not remembered: those of text without white space hardly come again.
 LONG_UNIT = 64
+_COMBINING = re.compile("[\u0300-\u036f]")
 
 #: A word of ASCII and Latin-1 letters, then ASCII marks other than the apostrophe: two matches of the
-#: splitting patterns, and the word holds nothing that normalisation changes but its case.
-_SIMPLE = re.compile(r"( ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]*)")
+#: splitting patterns.
+_SIMPLE = re.compile(f"( ?{_WORD}+)({_MARKS}*)")
+#: Where patterns keep white space, one of these before a simple word (and its space) is a match of its own.
+_BREAKS = "\t\n\r"
 
 
 def byte_letters() -> dict[int, str]:
@@ -58,7 +64,9 @@ class _Known(dict):
             return packed
         text = unit if self.keep_space else unit.decode()
         simple = _SIMPLE.fullmatch(text)
-        if not simple:
+        if not simple and self.keep_space and text[0] in _BREAKS and _SIMPLE.fullmatch(text, 1):
+            packed = self[text[0]] + self[text[1:]]
+        elif not simple:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             packed = struct.pack(f"<{len(ids)}I", *ids)
         elif simple[2]:
@@ -66,7 +74,8 @@ class _Known(dict):
             packed = self[word] + self[marks] if self.keep_space else self[word.encode()] + self[marks.encode()]
         else:
             word = text if self.keep_space else text.lower()
-            ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_LETTERS))]
+            letters = word.replace(" ", _LETTERS[32]) if word.isascii() else word.encode().decode("latin-1").translate(_LETTERS)
+            ids = [t.id for t in self.model.tokenize(letters)]
             packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(unit) <= LONG_UNIT:
             self[unit] = packed
@@ -77,28 +86,35 @@ class UnitEncoder:
     """ids of texts as little-endian unsigned 32-bit bytes, by a ``tokenizers`` vocabulary file.
 
     ``keep_space=True`` (byte-level vocabularies): a unit is a run of white space and the run of
-    other characters after it. ``keep_space=False`` (vocabularies that lower-case and drop white
+    other characters after it; a simple word's marks are a unit of their own. ``keep_space=False`` (vocabularies that lower-case and drop white
     space): a unit is a run of other characters between ASCII white space, with A-Z lower-cased.
     ``max_units``: distinct units remembered (as many older ones beside them), each of at most LONG_UNIT characters.
     """
 
-    def __init__(self, path: str, keep_space: bool, max_units: int = 200_000, plain_specials: bool = False):
+    def __init__(self, path: str, keep_space: bool, max_units: int = 400_000, plain_specials: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = plain_specials
         added = tokenizer.get_added_tokens_decoder().values()
-        # texts that are encoded whole: combining marks (lower-casing A-Z first might change what they compose to), special tokens
-        self._whole = re.compile("|".join(["[\u0300-\u036f]", *(re.escape(t.content) for t in added)]),
-                                 re.IGNORECASE if any(t.normalized for t in added) else 0)
+        self._specials = [t.content for t in added if not t.normalized]
+        folded = [re.escape(t.content) for t in added if t.normalized]
+        self._folded = re.compile("|".join(folded), re.IGNORECASE) if folded else None
         self.keep_space, self.max_units, self.known = keep_space, max_units, _Known(tokenizer, keep_space)
 
+    def _whole(self, text: str) -> bool:
+        """Texts that are encoded whole: special tokens, combining marks (lower-casing A-Z first might change what they compose to)."""
+        written = text if self.keep_space else text.lower()  # a unit that is lower-cased could turn into a special token
+        if any(s in written for s in self._specials) or self._folded and self._folded.search(text):
+            return True
+        return not text.isascii() and _COMBINING.search(text) is not None
+
     def encode(self, text: str | None) -> bytes:
         """The ids of one whole text (null: none)."""
         if not text:
             return b""
-        if self._whole.search(text):
+        if self._whole(text):
             ids = self.known.tokenizer.encode(text, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}I", *ids)
         units = _UNIT.findall(text) if self.keep_space else text.encode().lower().split()

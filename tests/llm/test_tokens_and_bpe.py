@@ -62,3 +62,16 @@ def test_edge_rows(docs, no_docs, vocabulary):
         ids = vocabulary.encoding.encode_ordinary(want["text"] or "")
         assert (got["doc_id"], np.frombuffer(got["ids"], "<u4").tolist()) == (want["doc_id"], ids)
     assert bpe.encode_documents(no_docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).count() == 0
+
+
+def test_marks_are_units_of_their_own_and_a_lowered_special_token_is_none():
+    """Before: a unit was remembered for each word with each mark, and `<|EndOfText|>` was read as the special token."""
+    enc = UnitEncoder(P.path("byte_bpe_50k.json"), True)
+    words, marks = [" one", " two", " three", "\nfour"], [",", ".", "!?", "...", ";)"]
+    text = "".join(w + m for w in words for m in marks)
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    assert list(np.frombuffer(enc.encode(text), "<u4")) == library.encode(text, add_special_tokens=False).ids
+    assert enc.known.keys() >= {" one", ",", "..."} and " one," not in enc.known
+    enc, library = UnitEncoder(P.path("word_bpe_49k.json"), False), Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    for text in ("x <|EndOfText|> y", "x<|ENDOFTEXT|>", "x <|endoftext|> y"):
+        assert list(np.frombuffer(enc.encode(text), "<u4")) == library.encode(text, add_special_tokens=False).ids
