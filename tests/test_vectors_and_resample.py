@@ -127,3 +127,55 @@ def test_clustered_rows_visit_few_blocks_and_neighbours_stay_exact(spark):
         want = sorted((d[j], j) for j in range(len(rows)) if j != i and j % 2 == i % 2)[:3]
         assert [got[i][k][0] for k in (1, 2, 3)] == [j for _, j in want]
         assert [got[i][k][1] for k in (1, 2, 3)] == pytest.approx([a for a, _ in want])
+
+
+def test_visits_are_handed_on_in_small_batches():
+    """Before: a task held the visits of all rows of an Arrow batch, whose number grows with that of the blocks."""
+    import pandas as pd
+    rows, blocks = 600, 200
+    pdf = pd.DataFrame({"_class": [1] * rows, "_id": range(rows), "_v": [np.zeros(3)] * rows, "_to": [np.zeros(1)] * rows,
+                        "_block": [i % blocks for i in range(rows)], "_kth": [None] * rows}).astype({"_kth": float})
+    known = {1: (np.arange(blocks), np.zeros(blocks, int), np.zeros(blocks), np.ones(blocks))}
+    got = list(resample._visit_batches(pdf, known))
+    assert max(map(len, got)) <= resample.VISITS_AT_ONCE
+    pairs = pd.concat(got)[["_id", "_block"]]
+    assert len(pairs) == len(pairs.drop_duplicates()) == rows * (blocks - 1) and not (pairs["_id"] % blocks == pairs["_block"]).any()
+
+
+def test_fold_models_vote_in_one_scan(spark):
+    """Before: the table was read, and its features were made, once for each model."""
+    from pyspark.ml.functions import array_to_vector
+    from foldwise.operators import train
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(i if i % 9 else None, i % 2, i % 3, [float(x) for x in rng.normal(size=3) + i % 2]) for i in range(90)],
+                               "id long, label int, fold int, v array<double>").withColumn("features", array_to_vector("v"))
+    models = [train.make_estimator("tree", {"maxDepth": 3}).fit(df.where(F.col("fold") != f)) for f in range(3)]
+    got = train.predict_vote(models, df)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    counts = {}
+    for m in models:
+        for r in m.transform(df).collect():
+            key = r["id"], int(r["prediction"])
+            counts[key] = counts.get(key, 0) + 1
+    want = {i: max((n, -p) for (j, p), n in counts.items() if j == i) for i in {i for i, _ in counts}}
+    assert {r["id"]: (r["votes"], -r["vote"]) for r in got.collect()} == want
+
+
+def test_a_training_table_has_partitions_by_its_rows(spark, monkeypatch):
+    """Before: one partition of up to 64 MB, so that a fit ran in one task."""
+    from foldwise.plans import q_model
+    whole = q_model.train_frame(spark, SF_SMALL)
+    monkeypatch.setattr(q_model, "TRAIN_ROWS", 10)
+    dealt = q_model.train_frame(spark, SF_SMALL)
+    assert dealt.rdd.getNumPartitions() == -(-dealt.count() // 10) > 1
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_word_lists_match_whole_runs_only(spark):
+    from foldwise.functions import text as tx
+    texts = ["i", "I am", "hi", "i-i_i i", "é i", "I’m", "éi iß", "", "a.b a.b", "xa.b", "[ [x", "1i i1 i"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(tx._count_in(F.lower("t"), ["I", "a.b", "["]).alias("n"), tx._holds(F.lower("t"), ["I", "a.b", "["]).alias("h")).collect()
+    import re
+    want = [len(re.findall(r"(?<![^\W])(?:i|a\.b|\[)(?![^\W])", t.lower())) for t in texts]
+    assert [r["n"] for r in got] == want and [r["h"] for r in got] == [n > 0 for n in want]
