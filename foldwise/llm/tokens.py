@@ -22,11 +22,11 @@ import struct
 SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Letters of a simple word (ASCII and Latin-1: normalisation changes nothing but their case), and marks that may follow it.
 _WORD, _MARKS = r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]", r"[!-&(-/:-@\[-`{-~]"
-#: A unit, cut between a simple word and its marks, which are matches of their own. Possessive: one pass over any text.
-_UNIT = re.compile(f" ?{_WORD}++(?={_MARKS}*+(?![^{SPACE}]))|{_MARKS}++(?![^{SPACE}])|[{SPACE}]*+[^{SPACE}]++|[{SPACE}]++")
 #: Units of more characters are not remembered: those of text without white space hardly come again.
 LONG_UNIT = 64
 _COMBINING = re.compile("[\u0300-\u036f]")
+#: Where units are cut inside a run of other characters, and where before white space.
+WORD_MARK, BEFORE_SPACE = re.compile(_WORD + _MARKS), re.compile(f"(?<=[^{SPACE}])[{SPACE}]")
 
 #: A word of ASCII and Latin-1 letters, then ASCII marks other than the apostrophe: two matches of the
 #: splitting patterns.
@@ -35,6 +35,19 @@ _SIMPLE = re.compile(f"( ?{_WORD}+)({_MARKS}*)")
 _BREAKS = "\t\n\r"
 
 
+def unit_pattern(glued: str = "") -> re.Pattern:
+    """The units of a text: each is white space and what follows it up to the next white space, cut between a simple word
+    and its marks, which are matches of their own. No cut is made before white space that starts with a character of
+    ``glued``. Possessive: one pass over any text."""
+    end, more = f"(?![^{SPACE}])", ""
+    if glued:
+        end, more = f"{end}(?![{re.escape(glued)}])", f"(?:[{re.escape(glued)}][{SPACE}]*+[^{SPACE}]*+)*+"
+    return re.compile(f" ?{_WORD}++(?={_MARKS}*+{end})|{_MARKS}++{end}|[{SPACE}]*+[^{SPACE}]++{more}|[{SPACE}]++")
+
+
+_UNIT = unit_pattern()
+
+
 def byte_letters() -> dict[int, str]:
     """The printable character that byte-level vocabularies write for each byte."""
     kept = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
@@ -103,7 +116,7 @@ class UnitEncoder:
         self._folded = re.compile("|".join(folded), re.IGNORECASE) if folded else None
         self.keep_space, self.max_units, self.known = keep_space, max_units, _Known(tokenizer, keep_space)
 
-    def _whole(self, text: str) -> bool:
+    def whole(self, text: str) -> bool:
         """Texts that are encoded whole: special tokens, combining marks (lower-casing A-Z first might change what they compose to)."""
         written = text if self.keep_space else text.lower()  # a unit that is lower-cased could turn into a special token
         if any(s in written for s in self._specials) or self._folded and self._folded.search(text):
@@ -114,11 +127,14 @@ class UnitEncoder:
         """The ids of one whole text (null: none)."""
         if not text:
             return b""
-        if self._whole(text):
+        if self.whole(text):
             ids = self.known.tokenizer.encode(text, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}I", *ids)
-        units = _UNIT.findall(text) if self.keep_space else text.encode().lower().split()
-        packed = b"".join(map(self.known.__getitem__, units))
+        return b"".join(self.encode_units(_UNIT.findall(text) if self.keep_space else text.encode().lower().split()))
+
+    def encode_units(self, units: list) -> list[bytes]:
+        """The ids of each unit of a text that isn't encoded whole."""
+        packed = list(map(self.known.__getitem__, units))
         if len(self.known) > self.max_units:
             self.known.age()
         return packed
@@ -127,10 +143,10 @@ class UnitEncoder:
 _ENCODERS: dict[tuple, UnitEncoder] = {}
 
 
-def encoder(path: str, keep_space: bool, plain_specials: bool = False) -> UnitEncoder:
+def encoder(path: str, keep_space: bool, plain_specials: bool = False, max_units: int = 400_000) -> UnitEncoder:
     """This process's encoder for a vocabulary file; workers keep it between tasks."""
-    key = path, keep_space, plain_specials
+    key = path, keep_space, plain_specials, max_units
     if key not in _ENCODERS:
         _ENCODERS.clear()  # one vocabulary at a time bounds a worker's memory
-        _ENCODERS[key] = UnitEncoder(path, keep_space, plain_specials=plain_specials)
+        _ENCODERS[key] = UnitEncoder(path, keep_space, max_units, plain_specials)
     return _ENCODERS[key]

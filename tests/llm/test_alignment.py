@@ -93,3 +93,47 @@ def test_edge_rows(docs, no_docs, plain):
     want, _ = expected(plain, [r["text"] for r in source])
     assert rows(alignment.align_documents(docs, A, B)) == sorted((str(r["doc_id"]), *w) for r, w in zip(source, want))
     assert alignment.align_documents(no_docs, A, B).count() == 0
+
+
+CUTS = PIECES + ["\r", "\r\n", ";\r\n", "!!", "word;", "(a)", "\x01", "é", "é", "　", "\xa0", " ", "▁", "é,", "L'eau", "x" * 70, "中" * 70, "\x85"]
+
+
+@pytest.mark.parametrize("max_units", [400_000, 3])
+def test_units_of_a_text_align_as_the_whole_text(max_units, monkeypatch):
+    monkeypatch.setattr(alignment, "SLICE_UNITS", 7)
+    aligner, rng = alignment.Aligner(A, B, max_units), random.Random(4)
+    texts = ["".join(rng.choice(CUTS) + rng.choice(["", "", " "]) for _ in range(rng.randint(1, 40))) for _ in range(3000)]
+    clean = [t for t in texts if not set(t) & {"▁", "\x00", "́"}]
+    assert len(clean) > 300 and any("\r" in t for t in clean)
+    for some in (texts, clean):
+        want = [aligner._whole_text(t) for t in some]
+        assert aligner.find(some) == want
+    assert None not in want and len(aligner.known) <= max_units + 7 * 40
+
+
+def test_each_distinct_unit_is_aligned_once(monkeypatch):
+    aligner, asked = alignment.Aligner(A, B), Counter()
+    encode = aligner.b.encode_units
+    monkeypatch.setattr(aligner.b, "encode_units", lambda units: asked.update(units) or encode(units))
+    monkeypatch.setattr(aligner.b, "encode", None)
+    for _ in range(3):
+        aligner.find(["The word, the word\r\nand a word!", "a word;\r\nthe end"] * 5)
+    assert set(asked.values()) == {1} and {" The", " word", ",", " word\r\nand", ";\r\nthe"} - set(asked) == {";\r\nthe"} and " word;\r\nthe" in asked
+
+
+def test_units_are_not_cut_where_a_piece_goes_on():
+    side, pattern = alignment.piece_side(B)
+    assert pattern.findall(" a;\r\nb c!! \r\n\r\n d") == [" a;\r\nb", " c", "!!", " \r\n\r\n d"]
+    ids, n = side.encode_units([" a;\r\nb", "!!", "\n", " \x01"])
+    model = sentencepiece.SentencePieceProcessor(model_file=B)
+    assert n.sum() == len(ids) and ids[:n[0]].tolist() == model.encode("a;\r\nb") and n.tolist()[2] == 1
+
+
+def test_a_model_that_scores_whole_paths_encodes_whole_texts(tmp_path):
+    lines = ["the word and the other word", "a word in the end"] * 50
+    sentencepiece.SentencePieceTrainer.train(sentence_iterator=iter(lines), model_prefix=str(tmp_path / "m"), vocab_size=300, model_type="unigram",
+                                             byte_fallback=True, hard_vocab_limit=False, normalization_rule_name="identity", minloglevel=2)
+    path = str(tmp_path / "m.model")
+    assert alignment.piece_side(path)[1] is None
+    aligner = alignment.Aligner(A, path)
+    assert aligner.find(["the word and"]) == [aligner._whole_text("the word and")]
